@@ -2,15 +2,12 @@
 
 from tallyframe.functions.columns import is_missing, ref, share
 from tallyframe.functions.probabilities import class_probability, confidence, probability_array
-from tallyframe.functions.sort_keys import key_bits, with_sort_key
 
 __all__ = [
     "class_probability",
     "confidence",
     "is_missing",
-    "key_bits",
     "probability_array",
     "ref",
     "share",
-    "with_sort_key",
 ]

@@ -2,134 +2,209 @@
 
 The built-in exact ``percentile`` keeps every distinct value of a column in one aggregation
 buffer, which no single task can hold for a wide-ranging column at scale. Here a quantile is
-found by narrowing: count rows by the leading bits of an order-preserving key, pick the few
-buckets that hold the wanted ranks, and count only those by more bits, until the bits name
-one value. Every pass is a pruned scan with map-side aggregation and shuffles bucket counts
-only, so neither the row count, nor the spread of the values, nor a value shared by a third
-of the rows reaches a single task. Integers take two passes, doubles three.
+found by narrowing: count rows per equal-width bucket, take the few buckets that hold the
+wanted ranks, split only those again, and rank values one by one once a bucket is small.
+
+Each pass is a pruned scan with map-side aggregation, and shuffles bucket counts only; a value
+shared by a third of the rows is one count. What reaches the driver per pass is bounded by the
+parameters (two ranks per quantile and column), never by the data. Up to ``DIRECT_ROWS`` rows
+take two scans, 10**12 rows of most distributions three; integers spanning fewer than
+``BUCKETS`` values always two.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.functions import key_bits, ref, with_sort_key
+from tallyframe.functions import ref
 
 QUARTILES = (0.25, 0.5, 0.75)
 
-# Most bits one pass may resolve: bounds the ranking window at 2**22 rows per column.
-BITS_PER_PASS = 22
+# Buckets per pass and bracket: the length of the cumulative-count window.
+BUCKETS = 2**18
 
-_MOMENTS = ("total", "mean", "stddev", "lowest", "highest")
+# A bracket of at most this many rows is ranked value by value.
+DIRECT_ROWS = 2**22
 
+Rank = tuple[int, int]  # (position of the quantile in the list, 0 below / 1 above)
 
-def _shifts(bits: int) -> list[int]:
-    passes = -(-bits // BITS_PER_PASS)
-    width = -(-bits // passes)
-    return [width * left for left in reversed(range(passes))]
 
+@dataclass
+class _Bracket:
+    """A range of one column's values and the ranks wanted from it, relative to its start."""
 
-def numeric_summary(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float] = QUARTILES
-) -> DataFrame:
-    """count, mean, sample stddev, min, quantiles and max per column; NULL and NaN are skipped.
+    column: str
+    low: float
+    high: float
+    rows: int
+    ranks: dict[Rank, int] = field(default_factory=dict)
+    whole: bool = False  # the whole column, infinities included
+    stuck: bool = False  # splitting made no progress
 
-    One row per column: ``column, n, mean, stddev, min, p25, p50, p75, max`` (for quartiles).
-    A column without values gives n = 0 and NULL statistics.
+    @property
+    def single(self) -> bool:
+        return self.low == self.high and not self.whole
+
+    def holds(self) -> Column:
+        inside = F.col("column") == self.column
+        return inside if self.whole else inside & F.col("value").between(self.low, self.high)
+
+    def bucket(self) -> Column:
+        """Equal-width bucket of a value; halves are taken so that no difference overflows."""
+        value, width = F.col("value"), self.high / 2 - self.low / 2
+        inner = F.floor((value / 2 - self.low / 2) / width * BUCKETS) if width > 0 else F.lit(0).cast("long")
+        return F.when(value < self.low, -1).when(value > self.high, BUCKETS + 1).otherwise(inner)
+
+
+def _in_brackets(df: DataFrame, brackets: Sequence[_Bracket]) -> DataFrame:
+    """``(bracket, value)`` of the values inside the brackets, in one scan for all columns.
+
+    The brackets are told apart after the unpivot, which computes each value once; tests on
+    the input columns would make the optimizer copy whatever expression defines them.
     """
-    bits = max(key_bits(df, c) for c in columns)
-    values = (
+    columns = list(dict.fromkeys(b.column for b in brackets))
+    number = F.coalesce(*[F.when(b.holds(), F.lit(i)) for i, b in enumerate(brackets)])
+    return (
         df.select(*[ref(c).cast("double").alias(c) for c in columns])
         .unpivot([], [ref(c) for c in columns], "column", "value")
         .where(F.col("value").isNotNull() & ~F.isnan("value"))
+        .select(number.alias("bracket"), "value")
+        .where(F.col("bracket").isNotNull())
     )
-    values = with_sort_key(values, bits)
-    shifts = _shifts(bits)
-
-    def position(p: float) -> Column:
-        return F.lit(float(p)) * (F.col("total") - 1)
-
-    # The 0-based rank on either side of each quantile position, as one column each, so that
-    # the grouping keys of the later passes stay primitive.
-    ranks = {}
-    for i, p in enumerate(probabilities):
-        ranks[f"below_{i}"] = F.floor(position(p))
-        ranks[f"above_{i}"] = F.ceil(position(p))
-
-    def narrow(counted: DataFrame) -> DataFrame:
-        """Keep the buckets that hold a wanted rank; make the ranks relative to the bucket."""
-        start = F.col("upto") - F.col("n")
-        relative = {
-            r: F.when((F.col(r) >= start) & (F.col(r) < F.col("upto")), F.col(r) - start) for r in ranks
-        }
-        return (
-            counted.select("column", "bucket", "value", *_MOMENTS, *[e.alias(r) for r, e in relative.items()])
-            .where(F.coalesce(*ranks).isNotNull())
-        )
 
-    # First pass: bucket counts, and the moments merged from the buckets' own moments.
-    whole = Window.partitionBy("column")
-    deviation = F.col("m2") + F.col("n") * F.pow(F.col("centre") - F.col("mean"), 2)
-    counted = (
-        values.groupBy("column", F.shiftright("key", shifts[0]).alias("bucket"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.avg("value").alias("centre"),
-            (F.var_pop("value") * F.count(F.lit(1))).alias("m2"),
-            F.min("value").alias("value"),
-            F.max("value").alias("top"),
-        )
-        .select(
-            "*",
-            F.sum("n").over(whole).alias("total"),
-            (F.sum(F.col("n") * F.col("centre")).over(whole) / F.sum("n").over(whole)).alias("mean"),
-            F.min("value").over(whole).alias("lowest"),
-            F.max("top").over(whole).alias("highest"),
-            F.sum("n").over(whole.orderBy("bucket")).alias("upto"),
-        )
-        .select(
-            "*",
-            F.sqrt(F.try_divide(F.sum(deviation).over(whole), (F.col("total") - 1).cast("double"))).alias("stddev"),
-            *[e.alias(r) for r, e in ranks.items()],
-        )
+
+def _wanted(brackets: Sequence[_Bracket]) -> Column:
+    """Condition on a counted bucket or value: it holds a wanted rank of its bracket."""
+    return reduce(
+        or_,
+        [
+            (F.col("bracket") == i) & (F.col("start") <= rank) & (F.col("start") + F.col("n") > rank)
+            for i, b in enumerate(brackets)
+            for rank in sorted(set(b.ranks.values()))
+        ],
     )
-    chosen = narrow(counted)
-
-    # Later passes: only rows of the chosen buckets. At most 2 * len(probabilities) buckets per
-    # column exist, whatever the data, so the broadcast side has a fixed bound.
-    for outer, inner in zip(shifts, shifts[1:]):
-        picked = chosen.drop("value").withColumnRenamed("bucket", "outer")
-        counted = (
-            values.withColumn("outer", F.shiftright("key", outer))
-            .join(F.broadcast(picked), ["column", "outer"])
-            .groupBy("column", "outer", *_MOMENTS, *ranks, F.shiftright("key", inner).alias("bucket"))
-            .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("value"))
-        )
-        running = Window.partitionBy("column", "outer").orderBy("bucket")
-        chosen = narrow(counted.withColumn("upto", F.sum("n").over(running)))
 
-    # The chosen buckets now hold one value each.
-    found = chosen.groupBy("column", *_MOMENTS).agg(
-        *[F.max(F.when(F.col(r).isNotNull(), F.col("value"))).alias(r) for r in ranks]
+
+def _with_start(counted: DataFrame, order: str) -> DataFrame:
+    """Number of the bracket's values before each bucket or value."""
+    before = Window.partitionBy("bracket").orderBy(order)
+    return counted.withColumn("start", F.sum("n").over(before) - F.col("n"))
+
+
+def _split(df: DataFrame, brackets: Sequence[_Bracket]) -> list[_Bracket]:
+    """One narrowing pass over brackets too large to rank directly."""
+    values = _in_brackets(df, brackets)
+    bucket = F.coalesce(*[F.when(F.col("bracket") == i, b.bucket()) for i, b in enumerate(brackets)])
+    counted = values.groupBy("bracket", bucket.alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
     )
-    quantiles = [
-        (
-            F.col(f"below_{i}")
-            + (F.col(f"above_{i}") - F.col(f"below_{i}")) * (position(p) - F.floor(position(p)))
-        ).alias(f"p{100 * p:g}")
-        for i, p in enumerate(probabilities)
+    found = _with_start(counted, "bucket").where(_wanted(brackets)).collect()
+    narrowed = []
+    for row in found:
+        parent = brackets[row["bracket"]]
+        ranks = {
+            key: rank - row["start"]
+            for key, rank in parent.ranks.items()
+            if row["start"] <= rank < row["start"] + row["n"]
+        }
+        stuck = row["n"] == parent.rows and (row["low"], row["high"]) == (parent.low, parent.high)
+        narrowed.append(_Bracket(parent.column, row["low"], row["high"], row["n"], ranks, stuck=stuck))
+    return narrowed
+
+
+def numeric_summary(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float] = QUARTILES
+) -> DataFrame:
+    """count, mean, sample stddev, min, quantiles and max per column; NULL and NaN are skipped.
+
+    One row per column: ``column, n, mean, stddev, min, p25, p50, p75, max`` (for quartiles).
+    A column without values gives n = 0 and NULL statistics. The moments and the narrowing run
+    when this is called, the last pass when the result is read.
+    """
+    df = df.select(*[ref(c) for c in columns])
+    moments = _moments(df, columns)
+
+    brackets, fractions = [], {}
+    for c in columns:
+        m = moments[c]
+        if not m["n"]:
+            continue
+        ranks = {}
+        for q, p in enumerate(probabilities):
+            position = p * (m["n"] - 1)
+            ranks[q, 0], ranks[q, 1] = math.floor(position), math.ceil(position)
+            fractions[c, q] = position - math.floor(position)
+        low, high = (m["min"] if m[b] is None else m[b] for b in ("finite_min", "finite_max"))
+        brackets.append(_Bracket(c, low, high, m["n"], ranks, whole=m["min"] != m["max"]))
+
+    while large := [b for b in brackets if b.rows > DIRECT_ROWS and not b.single and not b.stuck]:
+        brackets = [b for b in brackets if b not in large] + _split(df, large)
+
+    known = {(b.column, key): F.lit(b.low) for b in brackets if b.single for key in b.ranks}
+    rest = [b for b in brackets if not b.single]
+    if rest:
+        counted = _in_brackets(df, rest).groupBy("bracket", "value").agg(F.count(F.lit(1)).alias("n"))
+        holders = _with_start(counted, "value").where(_wanted(rest))
+        picks = {}
+        for i, b in enumerate(rest):
+            for key, rank in b.ranks.items():
+                here = (F.col("bracket") == i) & (F.col("start") <= rank) & (F.col("start") + F.col("n") > rank)
+                picks[b.column, key] = F.max(F.when(here, F.col("value")))
+        names = {target: f"v{i}" for i, target in enumerate(picks)}
+        found = holders.agg(*[e.alias(names[target]) for target, e in picks.items()])
+        known |= {target: F.col(name) for target, name in names.items()}
+    else:
+        found = df.sparkSession.range(1)
+
+    def quantile(c: str, q: int) -> Column:
+        if (c, q) not in fractions:
+            return F.lit(None).cast("double")
+        low, high = known[c, (q, 0)], known[c, (q, 1)]
+        return low if fractions[c, q] == 0 else low + (high - low) * fractions[c, q]
+
+    def constant(c: str, name: str) -> Column:
+        return F.lit(moments[c][name]).cast("double").alias(name)
+
+    rows = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.lit(moments[c]["n"]).cast("long").alias("n"),
+            constant(c, "mean"),
+            constant(c, "stddev"),
+            constant(c, "min"),
+            *[quantile(c, q).alias(f"p{100 * p:g}") for q, p in enumerate(probabilities)],
+            constant(c, "max"),
+        )
+        for c in columns
     ]
-    names = df.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, columns))).alias("column"))
-    # One row per column on both sides.
-    return names.join(F.broadcast(found), "column", "left").select(
-        "column",
-        F.coalesce("total", F.lit(0)).cast("long").alias("n"),
-        "mean",
-        "stddev",
-        F.col("lowest").alias("min"),
-        *quantiles,
-        F.col("highest").alias("max"),
-    )
+    return found.select(F.inline(F.array(*rows)))
+
+
+def _moments(df: DataFrame, columns: Sequence[str]) -> dict[str, dict]:
+    """Count, mean, stddev and range of every column in one global aggregation."""
+    measures = []
+    for i, c in enumerate(columns):
+        v = ref(c).cast("double")
+        number = F.when(~F.isnan(v), v)
+        finite = F.when(F.abs(v) < float("inf"), v)
+        measures += [
+            F.count(number).alias(f"{i}_n"),
+            F.avg(number).alias(f"{i}_mean"),
+            F.stddev_samp(number).alias(f"{i}_stddev"),
+            F.min(number).alias(f"{i}_min"),
+            F.max(number).alias(f"{i}_max"),
+            F.min(finite).alias(f"{i}_finite_min"),
+            F.max(finite).alias(f"{i}_finite_max"),
+        ]
+    row = df.agg(*measures).first().asDict()
+    prefix = {c: f"{i}_" for i, c in enumerate(columns)}
+    return {
+        c: {k.removeprefix(p): v for k, v in row.items() if k.startswith(p)} for c, p in prefix.items()
+    }
