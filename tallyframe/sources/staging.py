@@ -27,6 +27,7 @@ def stage_parquet(df: DataFrame, path: str) -> DataFrame:
     """Write the frame and read it back: later passes scan pruned columns of a durable table
     instead of repeating its parse or join, whatever executors are lost meanwhile."""
     df.write.mode("overwrite").parquet(path)
+    # A given schema saves the footer read of inference.
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

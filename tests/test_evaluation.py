@@ -1,0 +1,148 @@
+"""Metrics and summaries: published figures, the built-in evaluator, odd inputs."""
+
+import pytest
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tallyframe import sources as src
+from tallyframe.operators import evaluation, report, summary
+from conftest import DATA
+
+# Published confusion table and metrics (fixed values).
+PUBLISHED = [(0.0, 0.0, 703), (0.0, 1.0, 323), (1.0, 0.0, 618), (1.0, 1.0, 356)]
+
+
+@pytest.fixture(scope="module")
+def published_rows(spark):
+    cells = spark.createDataFrame(PUBLISHED, "label_indexed double, prediction double, n long")
+    return cells.select("label_indexed", "prediction", F.explode(F.sequence(F.lit(1), "n"))).drop("col")
+
+
+def one(df):
+    (row,) = df.collect()
+    return row.asDict()
+
+
+def test_published_positive_metrics(published_rows):
+    confusion = evaluation.confusion_counts(published_rows)
+    assert one(evaluation.confusion_matrix(confusion)) == {"tn": 703, "fp": 323, "fn": 618, "tp": 356, "other": 0}
+    got = {k: round(v, 4) for k, v in one(evaluation.binary_metrics(confusion)).items()}
+    assert got == {
+        "accuracy": 0.5295,
+        "positive_precision": 0.5243,
+        "positive_recall": 0.3655,
+        "positive_f1": 0.4307,
+    }
+    long = {(r["section"], r["name"]): r["value"] for r in report.metrics_report(confusion).collect()}
+    assert long == {
+        ("metrics", "precision"): 0.5243,
+        ("metrics", "recall"): 0.3655,
+        ("metrics", "f1_score"): 0.4307,
+        ("metrics", "accuracy"): 0.5295,
+        ("confusion_matrix", "tn"): 703.0,
+        ("confusion_matrix", "fp"): 323.0,
+        ("confusion_matrix", "fn"): 618.0,
+        ("confusion_matrix", "tp"): 356.0,
+    }
+
+
+def test_published_weighted_metrics(published_rows):
+    got = one(evaluation.weighted_metrics(evaluation.confusion_counts(published_rows)))
+    assert got["weighted_precision"] == pytest.approx(0.5283388571829928, abs=1e-12)
+    assert got["weighted_recall"] == pytest.approx(0.5295, abs=1e-12)
+    assert got["weighted_f1"] == pytest.approx(0.5170856159837467, abs=1e-12)
+
+
+@pytest.mark.parametrize("which", ["published", "frozen", "three_classes", "never_predicted"])
+def test_weighted_metrics_equal_the_evaluator(spark, published_rows, which):
+    if which == "published":
+        scored = published_rows
+    elif which == "frozen":
+        scored = src.frozen_scores(src.people(spark, f"{DATA}/sf0.001"))
+    else:
+        pairs = {
+            "three_classes": [(0, 0), (0, 1), (1, 1), (1, 2), (2, 2), (2, 0), (0, 0)],
+            "never_predicted": [(0, 0), (1, 0), (2, 0), (0, 3)],
+        }[which]
+        scored = spark.createDataFrame(
+            [(float(a), float(b)) for a, b in pairs], "label_indexed double, prediction double"
+        )
+    got = one(evaluation.weighted_metrics(evaluation.confusion_counts(scored)))
+    evaluator = MulticlassClassificationEvaluator(labelCol="label_indexed", predictionCol="prediction")
+    for ours, theirs in {
+        "accuracy": "accuracy",
+        "weighted_precision": "weightedPrecision",
+        "weighted_recall": "weightedRecall",
+        "weighted_f1": "f1",
+    }.items():
+        assert got[ours] == pytest.approx(evaluator.evaluate(scored, {evaluator.metricName: theirs}), abs=1e-12)
+
+
+def test_positive_class_can_be_index_zero(published_rows):
+    confusion = evaluation.confusion_counts(published_rows)
+    got = one(evaluation.binary_metrics(confusion, positive=0.0))
+    assert got["positive_precision"] == pytest.approx(703 / (703 + 618))
+    assert got["positive_recall"] == pytest.approx(703 / (703 + 323))
+
+
+def test_undefined_metrics_are_zero(spark):
+    scored = spark.createDataFrame([(0.0, 0.0), (0.0, 0.0)], "label_indexed double, prediction double")
+    assert one(evaluation.binary_metrics(evaluation.confusion_counts(scored))) == {
+        "accuracy": 1.0,
+        "positive_precision": 0.0,
+        "positive_recall": 0.0,
+        "positive_f1": 0.0,
+    }
+
+
+def test_unknown_and_null_labels_are_counted_as_other(spark):
+    scored = spark.createDataFrame(
+        [(1.0, 1.0), (2.0, 1.0), (None, 0.0), (0.0, 2.0)], "label_indexed double, prediction double"
+    )
+    confusion = evaluation.confusion_counts(scored)
+    assert one(evaluation.confusion_matrix(confusion)) == {"tn": 0, "fp": 0, "fn": 0, "tp": 1, "other": 3}
+    assert one(evaluation.binary_metrics(confusion))["accuracy"] == 0.25
+
+
+def test_missing_columns_are_named(spark):
+    with pytest.raises(ValueError, match="label_indexed"):
+        evaluation.confusion_counts(spark.createDataFrame([(1.0,)], "prediction double"))
+
+
+def vectors(spark, entries):
+    schema = T.StructType([T.StructField("prediction", T.DoubleType()), T.StructField("probability", VectorUDT())])
+    return spark.createDataFrame([(p, Vectors.dense(v)) for p, v in entries], schema)
+
+
+@pytest.mark.parametrize(
+    "probabilities, expected",
+    [([[0.7], [0.9]], 0.8), ([[0.7, 0.3], [0.9, 0.1]], 0.2), ([[0.5, 0.4, 0.1], [0.6, 0.2, 0.2]], 0.3)],
+)
+def test_class1_probability_by_vector_length(spark, probabilities, expected):
+    scored = vectors(spark, [(0.0, v) for v in probabilities])
+    got = one(evaluation.class1_probability_summary(scored))
+    assert got["n"] == 2 and got["mean"] == pytest.approx(expected) and got["p50"] == pytest.approx(expected)
+
+
+def test_array_probabilities_work_too(spark):
+    scored = spark.createDataFrame([(0.0, [0.9, 0.1])], "prediction double, probability array<double>")
+    assert one(summary.confidence_stats(summary.confidence_cells(scored)))["max_confidence"] == 0.9
+
+
+def test_bands_include_their_lower_edge_and_empty_ones(spark):
+    scored = vectors(spark, [(0.0, [0.8, 0.2]), (1.0, [0.4, 0.6]), (1.0, [0.25, 0.75])])
+    cells = summary.confidence_cells(scored)
+    got = {r["band"]: (r["count"], round(r["percent"], 4)) for r in summary.confidence_bands(cells).collect()}
+    assert got == {"high": (1, 33.3333), "medium": (2, 66.6667), "low": (0, 0.0)}
+    classes = {r["prediction"]: r["count"] for r in summary.prediction_summary(cells).collect()}
+    assert classes == {0.0: 1, 1.0: 2}
+
+
+def test_fixture_counts_of_the_frozen_scorer(spark):
+    cells = evaluation.outcome_cells(src.frozen_scores(src.people(spark, f"{DATA}/sf0.001")))
+    got = {(r["prediction"], r["label_indexed"]): r["n"] for r in cells.collect()}
+    assert got == {(0.0, 0.0): 2975, (0.0, 1.0): 141, (1.0, 0.0): 29, (1.0, 1.0): 2855}
+    bands = {r["band"]: r["count"] for r in summary.confidence_bands(cells).collect()}
+    assert bands == {"low": 598, "medium": 1353, "high": 4049}
