@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tallyframe import operators as op
 from tallyframe import sources as src
-from tallyframe.functions import probability_array, ref
+from tallyframe.functions import confidence, ref
 from tallyframe.plans import score_file
 
 NUMERIC = ["age", "fnlwgt", "hours_per_week"]
@@ -56,6 +56,10 @@ def fitted(spark: SparkSession, sf_dir: str) -> op.Classifier:
 
 
 def scored_people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.bulk_score(fitted(spark, sf_dir), training_people(spark, sf_dir))
+
+
+def pipeline_people(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.score(fitted(spark, sf_dir), training_people(spark, sf_dir))
 
 
@@ -198,7 +202,7 @@ def feature_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = scored_people(spark, sf_dir)
+    scored = pipeline_people(spark, sf_dir)
     return rounded(op.coefficient_table(spark, fitted(spark, sf_dir), op.slot_names(scored)))
 
 
@@ -206,18 +210,25 @@ def calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(op.calibration(fitted(spark, sf_dir), scored_people(spark, sf_dir)), 3)
 
 
-def score_training(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = scored_people(spark, sf_dir)
+def _scores(scored: DataFrame) -> DataFrame:
     return scored.select(
         *src.PEOPLE_COLUMNS,
         "label_indexed",
         "prediction",
-        F.round(F.array_max(probability_array(scored)), 6).alias("confidence"),
+        F.round(confidence(scored), 6).alias("confidence"),
     )
 
 
+def score_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scores(scored_people(spark, sf_dir))
+
+
+def score_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scores(pipeline_people(spark, sf_dir))
+
+
 def prediction_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.prediction_sample(fitted(spark, sf_dir), scored_people(spark, sf_dir))
+    return op.prediction_sample(fitted(spark, sf_dir), pipeline_people(spark, sf_dir))
 
 
 def score_new(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -317,6 +328,7 @@ def queries() -> dict[str, Query]:
         "model_coefficients": model_coefficients,
         "calibration": calibration,
         "score_training": score_training,
+        "score_pipeline": score_pipeline,
         "prediction_sample": prediction_sample,
         "score_new": score_new,
         "train_report": train_report,

@@ -45,6 +45,7 @@ from tallyframe.operators.profiling import (
 )
 from tallyframe.operators.quantiles import numeric_summary
 from tallyframe.operators.report import metrics_report, write_report
+from tallyframe.operators.scoring import bulk_score
 from tallyframe.operators.summary import (
     confidence_bands,
     confidence_cells,
@@ -58,6 +59,7 @@ __all__ = [
     "assembler",
     "binary_metrics",
     "build_pipeline",
+    "bulk_score",
     "calibration",
     "category_cells",
     "category_counts",

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -102,10 +101,15 @@ def slot_names(assembled: DataFrame, vector: str = "features") -> list[str]:
 def slot_totals(assembled: DataFrame, vector: str = "features") -> DataFrame:
     """Sum and number of non-zero entries per slot.
 
-    Entries are summed exactly and per task before the shuffle, which moves one row per slot
-    and task. (The vector summarizer derives sums from means, which is inexact.)
+    Only stored entries are laid out as rows: one per column of a sparse row, not one per slot.
+    They are summed exactly, and per task before the shuffle, which moves one row per slot and
+    task. (The vector summarizer derives sums from means, which is inexact.)
     """
-    entries = assembled.select(F.posexplode(vector_to_array(ref(vector))).alias("slot", "entry"))
+    vectors = assembled.select(F.unwrap_udt(ref(vector)).alias("v")).select(
+        F.coalesce("v.indices", F.sequence(F.lit(0), F.size("v.values") - 1)).alias("slot"),
+        F.col("v.values").alias("entry"),
+    )
+    entries = vectors.select(F.inline(F.arrays_zip("slot", "entry")))
     totals = (
         entries.where(F.col("entry") != 0)
         .groupBy("slot")

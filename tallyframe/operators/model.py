@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -37,11 +37,15 @@ class ModelParams:
 
 @dataclass(frozen=True)
 class Classifier:
-    """A fitted pipeline with the label values in index order."""
+    """A fitted pipeline with the values of its indexed columns in index order."""
 
     model: PipelineModel
     params: ModelParams
-    labels: list[str] = field(default_factory=list)
+    category_labels: dict[str, list[str]]
+
+    @property
+    def labels(self) -> list[str]:
+        return self.category_labels[self.params.label_col]
 
     @property
     def positive_index(self) -> float:
@@ -96,7 +100,7 @@ def fit_classifier(df: DataFrame, params: ModelParams = ModelParams()) -> Classi
         raise ValueError(f"a binary target needs 2 label values, {params.label_col!r} has {classes[:10]}")
     if params.positive_label not in classes:
         raise ValueError(f"positive label {params.positive_label!r} is not one of {classes}")
-    return Classifier(build_pipeline(params, labels).fit(rows), params, classes)
+    return Classifier(build_pipeline(params, labels).fit(rows), params, labels)
 
 
 def score(classifier: Classifier, df: DataFrame) -> DataFrame:

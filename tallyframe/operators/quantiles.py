@@ -17,10 +17,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.functions import ref
@@ -38,9 +36,9 @@ Rank = tuple[int, int]  # (position of the quantile in the list, 0 below / 1 abo
 
 @dataclass
 class _Bracket:
-    """A range of one column's values and the ranks wanted from it, relative to its start."""
+    """A range of the values of one column (by position) and the ranks wanted from it, relative to its start."""
 
-    column: str
+    slot: int
     low: float
     high: float
     rows: int
@@ -52,62 +50,59 @@ class _Bracket:
     def single(self) -> bool:
         return self.low == self.high and not self.whole
 
-    def holds(self) -> Column:
-        inside = F.col("column") == self.column
-        return inside if self.whole else inside & F.col("value").between(self.low, self.high)
+    def holds(self) -> str:
+        """SQL condition on (name, value); column number i goes by the name v<i>."""
+        if self.whole:
+            return f"name = 'v{self.slot}'"
+        return f"name = 'v{self.slot}' AND value BETWEEN {_sql(self.low)} AND {_sql(self.high)}"
 
-    def bucket(self) -> Column:
+    def bucket(self) -> str:
         """Equal-width bucket of a value; halves are taken so that no difference overflows."""
-        value, width = F.col("value"), self.high / 2 - self.low / 2
-        inner = F.floor((value / 2 - self.low / 2) / width * BUCKETS) if width > 0 else F.lit(0).cast("long")
-        return F.when(value < self.low, -1).when(value > self.high, BUCKETS + 1).otherwise(inner)
+        low, width = _sql(self.low), self.high / 2 - self.low / 2
+        inner = f"floor((value / 2 - {low} / 2) / {_sql(width)} * {BUCKETS})" if width > 0 else "0L"
+        return f"CASE WHEN value < {low} THEN -1L WHEN value > {_sql(self.high)} THEN {BUCKETS + 1}L ELSE {inner} END"
 
 
-def _in_brackets(df: DataFrame, brackets: Sequence[_Bracket]) -> DataFrame:
+def _sql(value: float) -> str:
+    """A double literal that reads back as exactly this value."""
+    return f"{value!r}D" if math.isfinite(value) else f"double('{value}')"
+
+
+def _has(number: int, rank: int) -> str:
+    """SQL condition on a counted bucket or value: it holds this rank of this bracket."""
+    return f"(bracket = {number} AND start <= {rank}L AND start + n > {rank}L)"
+
+
+def _wanted(brackets: Sequence[_Bracket]) -> str:
+    return " OR ".join(_has(i, rank) for i, b in enumerate(brackets) for rank in sorted(set(b.ranks.values())))
+
+
+def _in_brackets(values: DataFrame, brackets: Sequence[_Bracket]) -> DataFrame:
     """``(bracket, value)`` of the values inside the brackets, in one scan for all columns.
 
     The brackets are told apart after the unpivot, which computes each value once; tests on
     the input columns would make the optimizer copy whatever expression defines them.
     """
-    columns = list(dict.fromkeys(b.column for b in brackets))
-    number = F.coalesce(*[F.when(b.holds(), F.lit(i)) for i, b in enumerate(brackets)])
-    return (
-        df.select(*[ref(c).cast("double").alias(c) for c in columns])
-        .unpivot([], [ref(c) for c in columns], "column", "value")
-        .where(F.col("value").isNotNull() & ~F.isnan("value"))
-        .select(number.alias("bracket"), "value")
-        .where(F.col("bracket").isNotNull())
-    )
-
-
-def _wanted(brackets: Sequence[_Bracket]) -> Column:
-    """Condition on a counted bucket or value: it holds a wanted rank of its bracket."""
-    return reduce(
-        or_,
-        [
-            (F.col("bracket") == i) & (F.col("start") <= rank) & (F.col("start") + F.col("n") > rank)
-            for i, b in enumerate(brackets)
-            for rank in sorted(set(b.ranks.values()))
-        ],
-    )
+    number = "CASE " + " ".join(f"WHEN {b.holds()} THEN {i}" for i, b in enumerate(brackets)) + " END"
+    return values.selectExpr(f"{number} AS bracket", "value").where("bracket IS NOT NULL")
 
 
 def _with_start(counted: DataFrame, order: str) -> DataFrame:
     """Number of the bracket's values before each bucket or value."""
-    before = Window.partitionBy("bracket").orderBy(order)
-    return counted.withColumn("start", F.sum("n").over(before) - F.col("n"))
+    upto = Window.partitionBy("bracket").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return counted.withColumn("start", F.sum("n").over(upto) - F.col("n"))
 
 
-def _split(df: DataFrame, brackets: Sequence[_Bracket]) -> list[_Bracket]:
+def _split(values: DataFrame, brackets: Sequence[_Bracket]) -> list[_Bracket]:
     """One narrowing pass over brackets too large to rank directly."""
-    values = _in_brackets(df, brackets)
-    bucket = F.coalesce(*[F.when(F.col("bracket") == i, b.bucket()) for i, b in enumerate(brackets)])
-    counted = values.groupBy("bracket", bucket.alias("bucket")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+    bucket = "CASE bracket " + " ".join(f"WHEN {i} THEN {b.bucket()}" for i, b in enumerate(brackets)) + " END"
+    counted = (
+        _in_brackets(values, brackets)
+        .groupBy("bracket", F.expr(bucket).alias("bucket"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
     )
-    found = _with_start(counted, "bucket").where(_wanted(brackets)).collect()
     narrowed = []
-    for row in found:
+    for row in _with_start(counted, "bucket").where(_wanted(brackets)).collect():
         parent = brackets[row["bracket"]]
         ranks = {
             key: rank - row["start"]
@@ -115,7 +110,7 @@ def _split(df: DataFrame, brackets: Sequence[_Bracket]) -> list[_Bracket]:
             if row["start"] <= rank < row["start"] + row["n"]
         }
         stuck = row["n"] == parent.rows and (row["low"], row["high"]) == (parent.low, parent.high)
-        narrowed.append(_Bracket(parent.column, row["low"], row["high"], row["n"], ranks, stuck=stuck))
+        narrowed.append(_Bracket(parent.slot, row["low"], row["high"], row["n"], ranks, stuck=stuck))
     return narrowed
 
 
@@ -128,83 +123,87 @@ def numeric_summary(
     A column without values gives n = 0 and NULL statistics. The moments and the narrowing run
     when this is called, the last pass when the result is read.
     """
-    df = df.select(*[ref(c) for c in columns])
-    moments = _moments(df, columns)
+    numbered = df.select(*[ref(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
+    moments = _moments(numbered)
 
     brackets, fractions = [], {}
-    for c in columns:
-        m = moments[c]
+    for slot, m in enumerate(moments):
         if not m["n"]:
             continue
         ranks = {}
         for q, p in enumerate(probabilities):
             position = p * (m["n"] - 1)
             ranks[q, 0], ranks[q, 1] = math.floor(position), math.ceil(position)
-            fractions[c, q] = position - math.floor(position)
+            fractions[slot, q] = position - math.floor(position)
         low, high = (m["min"] if m[b] is None else m[b] for b in ("finite_min", "finite_max"))
-        brackets.append(_Bracket(c, low, high, m["n"], ranks, whole=m["min"] != m["max"]))
+        brackets.append(_Bracket(slot, low, high, m["n"], ranks, whole=m["min"] != m["max"]))
 
+    values = numbered.unpivot([], numbered.columns, "name", "value").where("value IS NOT NULL AND NOT isnan(value)")
     while large := [b for b in brackets if b.rows > DIRECT_ROWS and not b.single and not b.stuck]:
-        brackets = [b for b in brackets if b not in large] + _split(df, large)
+        brackets = [b for b in brackets if b not in large] + _split(values, large)
 
-    known = {(b.column, key): F.lit(b.low) for b in brackets if b.single for key in b.ranks}
+    # SQL expressions of the wanted values: literals where a bracket has shrunk to one value,
+    # else picked from the values of the remaining brackets.
+    known = {(b.slot, key): _sql(b.low) for b in brackets if b.single for key in b.ranks}
     rest = [b for b in brackets if not b.single]
     if rest:
-        counted = _in_brackets(df, rest).groupBy("bracket", "value").agg(F.count(F.lit(1)).alias("n"))
-        holders = _with_start(counted, "value").where(_wanted(rest))
-        picks = {}
-        for i, b in enumerate(rest):
-            for key, rank in b.ranks.items():
-                here = (F.col("bracket") == i) & (F.col("start") <= rank) & (F.col("start") + F.col("n") > rank)
-                picks[b.column, key] = F.max(F.when(here, F.col("value")))
-        names = {target: f"v{i}" for i, target in enumerate(picks)}
-        found = holders.agg(*[e.alias(names[target]) for target, e in picks.items()])
-        known |= {target: F.col(name) for target, name in names.items()}
+        counted = _in_brackets(values, rest).groupBy("bracket", "value").agg(F.count(F.lit(1)).alias("n"))
+        picks = {(b.slot, key): _has(i, rank) for i, b in enumerate(rest) for key, rank in b.ranks.items()}
+        found = (
+            _with_start(counted, "value")
+            .where(_wanted(rest))
+            .agg(*[F.expr(f"max(CASE WHEN {has} THEN value END) AS p{i}") for i, has in enumerate(picks.values())])
+        )
+        known |= {target: f"p{i}" for i, target in enumerate(picks)}
     else:
         found = df.sparkSession.range(1)
 
-    def quantile(c: str, q: int) -> Column:
-        if (c, q) not in fractions:
-            return F.lit(None).cast("double")
-        low, high = known[c, (q, 0)], known[c, (q, 1)]
-        return low if fractions[c, q] == 0 else low + (high - low) * fractions[c, q]
-
-    def constant(c: str, name: str) -> Column:
-        return F.lit(moments[c][name]).cast("double").alias(name)
-
-    rows = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.lit(moments[c]["n"]).cast("long").alias("n"),
-            constant(c, "mean"),
-            constant(c, "stddev"),
-            constant(c, "min"),
-            *[quantile(c, q).alias(f"p{100 * p:g}") for q, p in enumerate(probabilities)],
-            constant(c, "max"),
+    def quantile(slot: int, q: int) -> str:
+        if (slot, q) not in fractions:
+            return "double(NULL)"
+        low, high = known[slot, (q, 0)], known[slot, (q, 1)]
+        fraction = fractions[slot, q]
+        return low if fraction == 0 else f"{low} + ({high} - {low}) * {_sql(fraction)}"
+
+    def moment(slot: int, name: str) -> str:
+        value = moments[slot][name]
+        return "double(NULL)" if value is None else _sql(value)
+
+    rows = []
+    for slot in range(len(columns)):
+        quantiles = ", ".join(f"{quantile(slot, q)} AS p{q}" for q in range(len(probabilities)))
+        rows.append(
+            f"struct({slot} AS slot, {moments[slot]['n']}L AS n, {moment(slot, 'mean')} AS mean, "
+            f"{moment(slot, 'stddev')} AS stddev, {moment(slot, 'min')} AS min, {quantiles}, "
+            f"{moment(slot, 'max')} AS max)"
         )
-        for c in columns
-    ]
-    return found.select(F.inline(F.array(*rows)))
+    return found.select(F.inline(F.expr(f"array({', '.join(rows)})"))).select(
+        F.get(F.lit(list(columns)), F.col("slot")).alias("column"),
+        "n",
+        "mean",
+        "stddev",
+        "min",
+        *[F.col(f"p{q}").alias(f"p{100 * p:g}") for q, p in enumerate(probabilities)],
+        "max",
+    )
 
 
-def _moments(df: DataFrame, columns: Sequence[str]) -> dict[str, dict]:
+def _moments(numbered: DataFrame) -> list[dict]:
     """Count, mean, stddev and range of every column in one global aggregation."""
-    measures = []
-    for i, c in enumerate(columns):
-        v = ref(c).cast("double")
-        number = F.when(~F.isnan(v), v)
-        finite = F.when(F.abs(v) < float("inf"), v)
-        measures += [
-            F.count(number).alias(f"{i}_n"),
-            F.avg(number).alias(f"{i}_mean"),
-            F.stddev_samp(number).alias(f"{i}_stddev"),
-            F.min(number).alias(f"{i}_min"),
-            F.max(number).alias(f"{i}_max"),
-            F.min(finite).alias(f"{i}_finite_min"),
-            F.max(finite).alias(f"{i}_finite_max"),
-        ]
-    row = df.agg(*measures).first().asDict()
-    prefix = {c: f"{i}_" for i, c in enumerate(columns)}
-    return {
-        c: {k.removeprefix(p): v for k, v in row.items() if k.startswith(p)} for c, p in prefix.items()
-    }
+    measures = [
+        f"{measure} AS {v}_{name}"
+        for v in numbered.columns
+        for name, measure in {
+            "n": f"count(nanvl({v}, NULL))",
+            "mean": f"avg(nanvl({v}, NULL))",
+            "stddev": f"stddev_samp(nanvl({v}, NULL))",
+            "min": f"min(nanvl({v}, NULL))",
+            "max": f"max(nanvl({v}, NULL))",
+            "finite_min": f"min(CASE WHEN abs({v}) < double('inf') THEN {v} END)",
+            "finite_max": f"max(CASE WHEN abs({v}) < double('inf') THEN {v} END)",
+        }.items()
+    ]
+    row = numbered.selectExpr(*measures).first().asDict()
+    return [
+        {k.removeprefix(f"{v}_"): x for k, x in row.items() if k.startswith(f"{v}_")} for v in numbered.columns
+    ]

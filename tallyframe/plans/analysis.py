@@ -12,7 +12,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyframe.operators import evaluation, model, profiling, quantiles, report, summary
+from tallyframe.operators import evaluation, model, profiling, quantiles, report, scoring, summary
 from tallyframe.operators.features import slot_names
 from tallyframe.sources import read_labelled, read_unlabelled, stage_parquet
 
@@ -56,7 +56,7 @@ def profile_tables(
 
 def score_file(classifier: model.Classifier, new_rows: DataFrame) -> DataFrame:
     """Unlabelled rows with their predicted label and class."""
-    scored = model.score(classifier, new_rows)
+    scored = scoring.bulk_score(classifier, new_rows)
     return scored.select(
         *new_rows.columns, "prediction", model.decoded(classifier.labels).alias("predicted_label")
     )
@@ -83,9 +83,10 @@ def run_analysis(
     for name, table in profile_tables(rows, params, classifier.labels, cells).items():
         keep(name, table)
 
-    scored = model.score(classifier, rows)
-    keep("coefficients", model.coefficient_table(spark, classifier, slot_names(scored)))
-    keep("prediction_sample", model.prediction_sample(classifier, scored))
+    through_stages = model.score(classifier, rows)
+    keep("coefficients", model.coefficient_table(spark, classifier, slot_names(through_stages)))
+    keep("prediction_sample", model.prediction_sample(classifier, through_stages))
+    scored = scoring.bulk_score(classifier, rows)
     outcomes = keep(
         "outcome_cells", evaluation.outcome_cells(scored, label_col=f"{params.label_col}_indexed")
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from tallyframe import sources as src
 from tallyframe.functions import probability_array
-from tallyframe.operators import features, model
+from tallyframe.operators import features, model, scoring
 from tallyframe.operators.model import ModelParams
 from conftest import DATA
 
@@ -31,7 +31,7 @@ def classifier(spark):
 
 @pytest.fixture(scope="module")
 def scored(spark, classifier):
-    return contract.scored_people(spark, SF_DIR)
+    return contract.pipeline_people(spark, SF_DIR)
 
 
 def small(spark, rows):
@@ -135,6 +135,62 @@ def test_scores_equal_a_plain_softmax(spark, classifier, scored):
     assert checked["gap"] < 1e-9 and checked["differ"] == 0
 
 
+@pytest.mark.parametrize("handling", ["keep", "error"])
+def test_bulk_scores_equal_the_pipeline(spark, classifier, handling):
+    people = contract.training_people(spark, SF_DIR)
+    fit = classifier
+    if handling == "error":
+        fit = model.fit_classifier(people, ModelParams(label_handle_invalid="error"))
+    # NULL and unseen categories among the rows.
+    rows = people.withColumn("workclass", F.expr("nullif(workclass, 'N')")).withColumn(
+        "sex", F.expr("if(age = 7, 'never seen', sex)")
+    )
+    key = [F.monotonically_increasing_id().alias("row")]
+    rows = src.stage_parquet(rows.select("*", *key), f"{src.shared_folder(spark)}/bulk-{handling}")
+    ours, theirs = scoring.bulk_score(fit, rows), model.score(fit, rows)
+    assert ours.columns == [*rows.columns, "label_indexed", "probability", "prediction"]
+    both = ours.select("row", "label_indexed", "prediction", F.col("probability").alias("p")).join(
+        theirs.select(
+            "row",
+            F.col("label_indexed").alias("l"),
+            F.col("prediction").alias("c"),
+            probability_array(theirs).alias("q"),
+        ),
+        "row",
+    )
+    gaps = F.transform(F.arrays_zip("p", "q"), lambda z: F.abs(z["p"] - z["q"]))
+    got = both.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if((F.col("label_indexed") != F.col("l")) | (F.col("prediction") != F.col("c"))).alias("differ"),
+        F.max(F.array_max(gaps)).alias("gap"),
+    ).first()
+    assert got["n"] == rows.count() and got["differ"] == 0 and got["gap"] < 1e-12
+
+
+def test_bulk_scoring_of_odd_rows(spark):
+    rows = census() + [(None, "Male", "Gov", 30000, "11th", 40, ">50K")]
+    skipping = ModelParams(numeric_handle_invalid="skip", **FAST)
+    fit = model.fit_classifier(small(spark, rows), skipping)
+    assert scoring.bulk_score(fit, small(spark, rows)).count() == len(rows) - 1
+    strict = model.fit_classifier(small(spark, census()), ModelParams(**FAST))
+    with pytest.raises(Exception, match="missing value in numeric feature age"):
+        scoring.bulk_score(strict, small(spark, rows)).collect()
+    unlabelled = scoring.bulk_score(strict, small(spark, census()).drop("label"))
+    assert "label_indexed" not in unlabelled.columns and unlabelled.count() == len(census())
+    unknown = scoring.bulk_score(strict, small(spark, [(*census()[0][:6], v) for v in (None, "other", "<=50K")]))
+    assert [r["label_indexed"] for r in unknown.collect()] == [2.0, 2.0, float(strict.labels.index("<=50K"))]
+
+
+def test_bulk_scoring_takes_the_indexed_path_for_long_lists(spark, classifier, monkeypatch):
+    people = contract.training_people(spark, SF_DIR).limit(50)
+    direct = scoring.bulk_score(classifier, people)
+    monkeypatch.setattr(scoring, "MAX_INLINE_VALUES", 1)
+    other = scoring.bulk_score(classifier, people)
+    assert other.columns == direct.columns
+    columns = ["label_indexed", "prediction"]
+    assert sorted(map(tuple, other.select(columns).collect())) == sorted(map(tuple, direct.select(columns).collect()))
+
+
 @pytest.mark.parametrize("handling, close", [("keep", 1e-3), ("error", 1e-5)])
 def test_calibration(spark, handling, close):
     people = contract.training_people(spark, SF_DIR)

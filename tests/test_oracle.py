@@ -11,7 +11,14 @@ from conftest import DATA
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", f"{DATA}/sf0.001")
 QUERIES, SQL = contract.queries(), contract.oracle_sql()
-ROWS_ONLY = {"model_coefficients", "score_training", "prediction_sample", "score_new", "train_report"}
+ROWS_ONLY = {
+    "model_coefficients",
+    "score_training",
+    "score_pipeline",
+    "prediction_sample",
+    "score_new",
+    "train_report",
+}
 
 
 def comparable(columns, rows):
@@ -64,6 +71,7 @@ def test_rows_only(spark, name):
     expected = {
         "model_coefficients": 3 * 15,
         "score_training": people,
+        "score_pipeline": people,
         "prediction_sample": 20,
         "score_new": people,
         "train_report": 8,
