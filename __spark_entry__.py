@@ -228,7 +228,7 @@ def score_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prediction_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.prediction_sample(fitted(spark, sf_dir), pipeline_people(spark, sf_dir))
+    return op.prediction_sample(fitted(spark, sf_dir), training_people(spark, sf_dir), hidden=["fnlwgt"])
 
 
 def score_new(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,14 +40,13 @@ def category_labels(
 ) -> dict[str, list[str]]:
     """Values of each categorical column, most frequent first, ties in value order.
 
-    One scan for all columns. Its result is bounded: past ``max_values`` values it raises.
+    One scan for all columns. What is fetched is bounded: past ``max_values`` values it raises.
     """
-    counts = category_counts(df, columns)
-    rows = counts.orderBy("column", F.desc("n"), "value").limit(max_values + 1).collect()
+    rows = category_counts(df, columns).limit(max_values + 1).collect()
     if len(rows) > max_values:
         raise ValueError(f"more than {max_values} distinct values in the categorical columns {list(columns)}")
     labels: dict[str, list[str]] = {c: [] for c in columns}
-    for row in rows:
+    for row in sorted(rows, key=lambda r: (-r["n"], r["value"])):
         labels[row["column"]].append(row["value"])
     empty = [c for c, values in labels.items() if not values]
     if empty:

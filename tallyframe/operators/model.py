@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -114,14 +115,20 @@ def decoded(labels: list[str], prediction_col: str = "prediction") -> Column:
     return F.get(values, ref(prediction_col).cast("int"))
 
 
-def prediction_sample(classifier: Classifier, scored: DataFrame, n: int = 20) -> DataFrame:
-    """First n scored rows in the order of the shown columns."""
+def prediction_sample(
+    classifier: Classifier, rows: DataFrame, n: int = 20, hidden: Sequence[str] = ()
+) -> DataFrame:
+    """First n rows in the order of their columns, with label index and prediction.
+
+    The scores depend on those columns alone, so the rows are picked first and only they are
+    scored.
+    """
     p = classifier.params
-    label_index = feature_stages.indexed(p.label_col)
-    shown = [
-        c for c in scored.columns if c in (*p.numeric_cols, *p.categorical_cols, p.label_col, label_index)
-    ]
-    return scored.select(*[ref(c) for c in shown], "prediction").orderBy(*map(ref, shown), "prediction").limit(n)
+    columns = [c for c in (*p.numeric_cols, *p.categorical_cols, p.label_col) if c in rows.columns]
+    picked = rows.select(*map(ref, columns)).orderBy(*map(ref, columns)).limit(n)
+    scored = score(classifier, picked)
+    shown = [*columns, feature_stages.indexed(p.label_col), "prediction"]
+    return scored.select(*[ref(c) for c in shown if c in scored.columns and c not in hidden])
 
 
 def coefficient_table(spark: SparkSession, classifier: Classifier, names: list[str]) -> DataFrame:

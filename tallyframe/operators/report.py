@@ -42,11 +42,13 @@ def metrics_report(confusion: DataFrame, positive: float = 1.0) -> DataFrame:
 
 
 def write_report(report: DataFrame, path: str, fmt: str = "parquet") -> bool:
-    """Write a report table (parquet or csv); an empty one writes nothing and gives False."""
-    if report.isEmpty():
+    """Write a metrics report (parquet or csv); an empty one writes nothing and gives False.
+
+    The report, eight rows at most, is computed once for both the check and the write.
+    """
+    rows = report.collect()
+    if not rows:
         return False
-    writer = report.coalesce(1).write.mode("overwrite")
-    if fmt == "csv":
-        writer = writer.option("header", True)
-    writer.format(fmt).save(path)
+    table = report.sparkSession.createDataFrame(rows, report.schema)
+    table.coalesce(1).write.mode("overwrite").format(fmt).options(header=True).save(path)
     return True

@@ -85,7 +85,7 @@ def run_analysis(
 
     through_stages = model.score(classifier, rows)
     keep("coefficients", model.coefficient_table(spark, classifier, slot_names(through_stages)))
-    keep("prediction_sample", model.prediction_sample(classifier, through_stages))
+    keep("prediction_sample", model.prediction_sample(classifier, rows))
     scored = scoring.bulk_score(classifier, rows)
     outcomes = keep(
         "outcome_cells", evaluation.outcome_cells(scored, label_col=f"{params.label_col}_indexed")

@@ -271,10 +271,13 @@ def test_scoring_without_label(spark, tmp_path):
     assert scored.where("prediction is null").isEmpty()
 
 
-def test_sample_is_ordered_and_short(classifier, scored):
-    got = model.prediction_sample(classifier, scored, 5)
-    assert got.count() == 5
-    assert "label_indexed" in got.columns and "features" not in got.columns
+def test_sample_is_ordered_and_short(spark, classifier, scored):
+    people = contract.training_people(spark, SF_DIR)
+    got = model.prediction_sample(classifier, people, 5, hidden=["fnlwgt"])
+    shown = ["age", "hours_per_week", "sex", "workclass", "education", "label", "label_indexed", "prediction"]
+    assert got.columns == shown
+    everything = scored.orderBy("age", "fnlwgt", "hours_per_week", "sex", "workclass", "education", "label")
+    assert [tuple(r) for r in got.collect()] == [tuple(r) for r in everything.select(shown).take(5)]
 
 
 def test_coefficient_rows(spark, classifier, scored):
