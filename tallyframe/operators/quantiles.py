@@ -7,9 +7,9 @@ wanted ranks, split only those again, and rank values one by one once a bucket i
 
 Each pass is a pruned scan with map-side aggregation, and shuffles bucket counts only; a value
 shared by a third of the rows is one count. What reaches the driver per pass is bounded by the
-parameters (two ranks per quantile and column), never by the data. Up to ``DIRECT_ROWS`` rows
-take two scans, 10**12 rows of most distributions three; integers spanning fewer than
-``BUCKETS`` values always two.
+parameters (two ranks per quantile and column), never by the data. A column of up to
+``DIRECT_VALUES`` rows, or of integers in a range of that length, takes two scans: moments and
+ranking. For 10**12 spread-out doubles it is four, of which the last two only filter.
 """
 
 from __future__ import annotations
@@ -20,16 +20,17 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyframe.functions import ref
 
 QUARTILES = (0.25, 0.5, 0.75)
 
-# Buckets per pass and bracket: the length of the cumulative-count window.
-BUCKETS = 2**18
+# Buckets per pass and bracket: few enough for each task to fold its rows into a small table.
+BUCKETS = 2**14
 
-# A bracket of at most this many rows is ranked value by value.
-DIRECT_ROWS = 2**22
+# A bracket of at most this many distinct values is ranked value by value.
+DIRECT_VALUES = 2**22
 
 Rank = tuple[int, int]  # (position of the quantile in the list, 0 below / 1 above)
 
@@ -44,8 +45,14 @@ class _Bracket:
     rows: int
     ranks: dict[Rank, int] = field(default_factory=dict)
     whole: bool = False  # the whole column, infinities included
+    integral: bool = False
     stuck: bool = False  # splitting made no progress
 
+    @property
+    def direct(self) -> bool:
+        values = min(self.rows, self.high - self.low + 1) if self.integral else self.rows
+        return self.single or self.stuck or values <= DIRECT_VALUES
+
     @property
     def single(self) -> bool:
         return self.low == self.high and not self.whole
@@ -110,7 +117,11 @@ def _split(values: DataFrame, brackets: Sequence[_Bracket]) -> list[_Bracket]:
             if row["start"] <= rank < row["start"] + row["n"]
         }
         stuck = row["n"] == parent.rows and (row["low"], row["high"]) == (parent.low, parent.high)
-        narrowed.append(_Bracket(parent.slot, row["low"], row["high"], row["n"], ranks, stuck=stuck))
+        narrowed.append(
+            _Bracket(
+                parent.slot, row["low"], row["high"], row["n"], ranks, integral=parent.integral, stuck=stuck
+            )
+        )
     return narrowed
 
 
@@ -126,6 +137,7 @@ def numeric_summary(
     numbered = df.select(*[ref(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
     moments = _moments(numbered)
 
+    types = [df.schema[c].dataType for c in columns]
     brackets, fractions = [], {}
     for slot, m in enumerate(moments):
         if not m["n"]:
@@ -136,10 +148,11 @@ def numeric_summary(
             ranks[q, 0], ranks[q, 1] = math.floor(position), math.ceil(position)
             fractions[slot, q] = position - math.floor(position)
         low, high = (m["min"] if m[b] is None else m[b] for b in ("finite_min", "finite_max"))
-        brackets.append(_Bracket(slot, low, high, m["n"], ranks, whole=m["min"] != m["max"]))
+        integral = isinstance(types[slot], T.IntegralType)
+        brackets.append(_Bracket(slot, low, high, m["n"], ranks, m["min"] != m["max"], integral))
 
     values = numbered.unpivot([], numbered.columns, "name", "value").where("value IS NOT NULL AND NOT isnan(value)")
-    while large := [b for b in brackets if b.rows > DIRECT_ROWS and not b.single and not b.stuck]:
+    while large := [b for b in brackets if not b.direct]:
         brackets = [b for b in brackets if b not in large] + _split(values, large)
 
     # SQL expressions of the wanted values: literals where a bracket has shrunk to one value,

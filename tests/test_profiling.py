@@ -105,7 +105,7 @@ def same(got, want):
 def test_numeric_summary_by_brute_force(spark, monkeypatch, buckets, direct):
     """Small limits force many narrowing passes; the results do not change."""
     monkeypatch.setattr(quantiles, "BUCKETS", buckets)
-    monkeypatch.setattr(quantiles, "DIRECT_ROWS", direct)
+    monkeypatch.setattr(quantiles, "DIRECT_VALUES", direct)
     rng = np.random.default_rng(7)
     n = 300
     columns = {
@@ -127,7 +127,7 @@ def test_numeric_summary_by_brute_force(spark, monkeypatch, buckets, direct):
 
 def test_numeric_summary_with_extreme_values(spark, monkeypatch):
     monkeypatch.setattr(quantiles, "BUCKETS", 16)
-    monkeypatch.setattr(quantiles, "DIRECT_ROWS", 2)
+    monkeypatch.setattr(quantiles, "DIRECT_VALUES", 2)
     inf = float("inf")
     values = [-inf, -1.7e308, -1.0, 0.0, 5e-324, 1e-310, 1.0, 1.7e308, inf]
     df = spark.createDataFrame([(v,) for v in values], "x double")
@@ -136,6 +136,20 @@ def test_numeric_summary_with_extreme_values(spark, monkeypatch):
     assert got[5:11] == (-inf, -1.7e308, -1.0, 5e-324, 1.0, inf)
 
 
+@pytest.mark.parametrize("direct", [0, 6, 1000])
+def test_numeric_summary_of_integer_types(spark, monkeypatch, direct):
+    monkeypatch.setattr(quantiles, "BUCKETS", 8)
+    monkeypatch.setattr(quantiles, "DIRECT_VALUES", direct)
+    values = [(i * 37) % 101 - 50 for i in range(90)] + [2, 2, 2, None]
+    big = [None if v is None else v * 10**12 for v in values]
+    df = spark.createDataFrame(list(zip(values, big, values)), "x int, y bigint, z tinyint")
+    got = {r[0]: r[1:] for r in rows(numeric_summary(df, ["x", "y", "z"]))}
+    floats = [None if v is None else float(v) for v in values]
+    same(got["x"], expected_summary(floats))
+    same(got["z"], expected_summary(floats))
+    same(got["y"], expected_summary([None if v is None else float(v) for v in big]))
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.one_of(st.none(), st.integers(-(2**31), 2**31 - 1)), min_size=1, max_size=40))
 def test_numeric_summary_integers(spark, values):
