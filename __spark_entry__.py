@@ -59,7 +59,7 @@ def scored_people(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.bulk_score(fitted(spark, sf_dir), training_people(spark, sf_dir))
 
 
-def pipeline_people(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stage_scored_people(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.score(fitted(spark, sf_dir), training_people(spark, sf_dir))
 
 
@@ -202,7 +202,7 @@ def feature_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = pipeline_people(spark, sf_dir)
+    scored = stage_scored_people(spark, sf_dir)
     return rounded(op.coefficient_table(spark, fitted(spark, sf_dir), op.slot_names(scored)))
 
 
@@ -223,8 +223,8 @@ def score_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scores(scored_people(spark, sf_dir))
 
 
-def score_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scores(pipeline_people(spark, sf_dir))
+def score_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scores(stage_scored_people(spark, sf_dir))
 
 
 def prediction_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -328,7 +328,7 @@ def queries() -> dict[str, Query]:
         "model_coefficients": model_coefficients,
         "calibration": calibration,
         "score_training": score_training,
-        "score_pipeline": score_pipeline,
+        "score_stages": score_stages,
         "prediction_sample": prediction_sample,
         "score_new": score_new,
         "train_report": train_report,

@@ -13,7 +13,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyframe.operators import evaluation, model, profiling, quantiles, report, scoring, summary
-from tallyframe.operators.features import slot_names
+from tallyframe.operators.features import category_labels, slot_names
 from tallyframe.sources import read_labelled, read_unlabelled, stage_parquet
 
 
@@ -79,10 +79,12 @@ def run_analysis(
     rows = keep("training_rows", read_labelled(spark, training_csv))
     cells = keep("category_cells", profiling.category_cells(rows, params.categorical_cols, params.label_col))
 
-    classifier = model.fit_classifier(rows, params)
-    for name, table in profile_tables(rows, params, classifier.labels, cells).items():
+    # The profile comes first: it is there to be read when the fit refuses the data.
+    labels = category_labels(rows, [params.label_col])[params.label_col]
+    for name, table in profile_tables(rows, params, labels, cells).items():
         keep(name, table)
 
+    classifier = model.fit_classifier(rows, params)
     through_stages = model.score(classifier, rows)
     keep("coefficients", model.coefficient_table(spark, classifier, slot_names(through_stages)))
     keep("prediction_sample", model.prediction_sample(classifier, rows))

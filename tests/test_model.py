@@ -31,7 +31,7 @@ def classifier(spark):
 
 @pytest.fixture(scope="module")
 def scored(spark, classifier):
-    return contract.pipeline_people(spark, SF_DIR)
+    return contract.stage_scored_people(spark, SF_DIR)
 
 
 def small(spark, rows):

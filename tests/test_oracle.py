@@ -14,7 +14,7 @@ QUERIES, SQL = contract.queries(), contract.oracle_sql()
 ROWS_ONLY = {
     "model_coefficients",
     "score_training",
-    "score_pipeline",
+    "score_stages",
     "prediction_sample",
     "score_new",
     "train_report",
@@ -71,7 +71,7 @@ def test_rows_only(spark, name):
     expected = {
         "model_coefficients": 3 * 15,
         "score_training": people,
-        "score_pipeline": people,
+        "score_stages": people,
         "prediction_sample": 20,
         "score_new": people,
         "train_report": 8,

@@ -83,6 +83,16 @@ def test_full_analysis(spark, tmp_path):
     assert out["coefficients"].count() == 3 * 15
 
 
+def test_profile_is_written_even_if_the_fit_is_refused(spark, tmp_path):
+    training, out = str(tmp_path / "training"), str(tmp_path / "out")
+    one_class = [(*r[:6], "<=50K") for r in census()]
+    src.stage_csv(spark.createDataFrame(one_class, src.LABELLED_SCHEMA), training)
+    with pytest.raises(ValueError, match="needs 2 label values"):
+        run_analysis(spark, training, "unused", out)
+    assert not spark.read.parquet(f"{out}/label_check").first()["is_binary"]
+    assert spark.read.parquet(f"{out}/crosstab_sex").columns == ["sex", "le_50k"]
+
+
 def test_label_column_names():
     assert label_column_names(["<=50K", ">50K", "a b", "a-b", "?"]) == {
         "<=50K": "le_50k",
