@@ -116,6 +116,11 @@ def describe_string(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.describe_string(src.people_nulls(spark, sf_dir, columns), columns)
 
 
+def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = src.people_nulls(spark, sf_dir)
+    return rounded(op.column_profile(rows, NUMERIC, [*CATEGORICAL, "label"]), 4)
+
+
 def missing_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["age_or_nan", *NUMERIC]
     return op.missing_counts(src.people_nulls(spark, sf_dir, columns), columns)
@@ -306,6 +311,7 @@ def queries() -> dict[str, Query]:
         "head_rows": head_rows,
         "describe_numeric": describe_numeric,
         "describe_string": describe_string,
+        "column_profile": column_profile,
         "missing_numeric": missing_numeric,
         "missing_string": missing_string,
         "distinct_labels": distinct_labels,
@@ -473,6 +479,21 @@ UNION ALL SELECT 'confusion_matrix', 'tp', CAST(tp AS DOUBLE) FROM metrics""",
             "SELECT '{c}' AS column, count({c}) AS count, CAST(NULL AS DOUBLE) AS mean, "
             "CAST(NULL AS DOUBLE) AS stddev, min({c}) AS min, max({c}) AS max FROM holes",
         ),
+        "column_profile": f"WITH {_NULLS} "
+        + _union(
+            NUMERIC,
+            "SELECT '{c}' AS column, count(*) AS n_rows, count({c}) AS count, "
+            "count(*) FILTER ({c} IS NULL) AS missing, round(avg({c}), 4) AS mean, "
+            "round(stddev_samp({c}), 4) AS stddev, CAST(min({c}) AS DOUBLE) AS min, "
+            "CAST(max({c}) AS DOUBLE) AS max, CAST(NULL AS VARCHAR) AS first, CAST(NULL AS VARCHAR) AS last "
+            "FROM holes",
+        )
+        + " UNION ALL "
+        + _union(
+            strings,
+            "SELECT '{c}', count(*), count({c}), count(*) FILTER ({c} IS NULL), NULL, NULL, NULL, NULL, "
+            "min({c}), max({c}) FROM holes",
+        ),
         "missing_numeric": f"WITH {_NULLS} SELECT "
         + ", ".join(
             f"count(*) FILTER ({c} IS NULL OR isnan(CAST({c} AS DOUBLE))) AS {c}" for c in numeric_missing

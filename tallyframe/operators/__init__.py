@@ -31,6 +31,7 @@ from tallyframe.operators.model import (
 )
 from tallyframe.operators.profiling import (
     category_cells,
+    column_profile,
     crosstab,
     describe_numeric,
     describe_string,
@@ -67,6 +68,7 @@ __all__ = [
     "category_labels",
     "class1_probability_summary",
     "coefficient_table",
+    "column_profile",
     "confidence_bands",
     "confidence_cells",
     "confidence_stats",

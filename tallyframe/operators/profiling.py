@@ -95,6 +95,32 @@ def describe_string(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def column_profile(df: DataFrame, numeric: Sequence[str], strings: Sequence[str]) -> DataFrame:
+    """Row count, describe and missing counts of all columns together, in one pass.
+
+    One row per column; ``min`` and ``max`` are set for numbers, ``first`` and ``last`` (in
+    value order) for strings.
+    """
+    no_number, no_string = F.lit(None).cast("double"), F.lit(None).cast("string")
+
+    def measures(c: str, number: bool) -> dict[str, Column]:
+        v = ref(c)
+        return {
+            "n_rows": F.count(F.lit(1)),
+            "count": F.count(v),
+            "missing": F.count_if(is_missing(df, c)),
+            "mean": F.avg(v) if number else F.max(no_number),
+            "stddev": F.stddev_samp(v) if number else F.max(no_number),
+            "min": F.min(v).cast("double") if number else F.max(no_number),
+            "max": F.max(v).cast("double") if number else F.max(no_number),
+            "first": F.max(no_string) if number else F.min(v),
+            "last": F.max(no_string) if number else F.max(v),
+        }
+
+    columns = {c: measures(c, True) for c in numeric} | {c: measures(c, False) for c in strings}
+    return _one_row_per_column(df, columns)
+
+
 def missing_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row with the number of missing values (NULL, or NaN for floats) of each column."""
     return df.agg(*[F.count_if(is_missing(df, c)).alias(c) for c in columns])

@@ -28,19 +28,22 @@ def label_column_names(labels: list[str]) -> dict[str, str]:
 
 
 def profile_tables(
-    rows: DataFrame, params: model.ModelParams, labels: list[str], cells: DataFrame
+    rows: DataFrame, params: model.ModelParams, labels: list[str], profile: DataFrame, cells: DataFrame
 ) -> dict[str, DataFrame]:
-    """Profiling reports. ``cells`` is ``category_cells`` of the rows, preferably staged."""
-    numeric, categorical, label = list(params.numeric_cols), list(params.categorical_cols), params.label_col
+    """Profiling reports. ``profile`` is the ``column_profile`` and ``cells`` the
+    ``category_cells`` of the rows, both preferably staged: most reports read nothing else."""
+    numeric, categorical = list(params.numeric_cols), list(params.categorical_cols)
+    numbers, strings = (profile.where(profile["column"].isin(c)) for c in (numeric, [*categorical, params.label_col]))
     first = cells.where(cells["column"] == categorical[0])
     tables = {
-        "row_count": profiling.row_count(rows),
+        "row_count": profile.selectExpr("n_rows").limit(1),
         "schema_listing": profiling.schema_listing(rows),
         "head_rows": profiling.head_rows(rows),
-        "describe_numeric": profiling.describe_numeric(rows, numeric),
-        "describe_string": profiling.describe_string(rows, [*categorical, label]),
-        "missing_numeric": profiling.missing_counts(rows, numeric),
-        "missing_string": profiling.missing_counts(rows, [*categorical, label]),
+        "describe_numeric": numbers.select("column", "count", "mean", "stddev", "min", "max"),
+        "describe_string": strings.selectExpr(
+            "column", "count", "mean", "stddev", "`first` AS min", "`last` AS max"
+        ),
+        "missing": profile.select("column", "missing"),
         "numeric_summary": quantiles.numeric_summary(rows, numeric),
         "label_check": profiling.label_check(first, "label"),
         "label_distribution": profiling.label_distribution(first, "label", weight="n"),
@@ -79,9 +82,13 @@ def run_analysis(
     rows = keep("training_rows", read_labelled(spark, training_csv))
     cells = keep("category_cells", profiling.category_cells(rows, params.categorical_cols, params.label_col))
 
+    profile = keep(
+        "column_profile",
+        profiling.column_profile(rows, params.numeric_cols, [*params.categorical_cols, params.label_col]),
+    )
     # The profile comes first: it is there to be read when the fit refuses the data.
     labels = category_labels(rows, [params.label_col])[params.label_col]
-    for name, table in profile_tables(rows, params, labels, cells).items():
+    for name, table in profile_tables(rows, params, labels, profile, cells).items():
         keep(name, table)
 
     classifier = model.fit_classifier(rows, params)

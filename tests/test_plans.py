@@ -74,6 +74,11 @@ def test_full_analysis(spark, tmp_path):
         s: tuple(sum(r[1] == s and r[6] == v for r in rows) for v in (">50K", "<=50K")) for s in ("Male", "Female")
     }
     assert out["label_check"].first()["is_binary"]
+    assert {r["column"]: r["missing"] for r in out["missing"].collect()} == dict.fromkeys(src.LABELLED_SCHEMA.names, 0)
+    ages = [r[0] for r in rows]
+    described = {r["column"]: r for r in out["describe_numeric"].collect()}["age"]
+    assert (described["count"], described["min"], described["max"]) == (len(rows), min(ages), max(ages))
+    assert {r["column"] for r in out["describe_string"].collect()} == {"sex", "workclass", "education", "label"}
     assert out["head_rows"].count() == 10 and out["prediction_sample"].count() == 20
     assert out["new_predictions"].count() == 20
     assert out["metrics_report"].count() == 8 and out["confidence_bands"].count() == 3
