@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyframe.functions import is_missing, ref, share
 
@@ -101,24 +102,30 @@ def column_profile(df: DataFrame, numeric: Sequence[str], strings: Sequence[str]
     One row per column; ``min`` and ``max`` are set for numbers, ``first`` and ``last`` (in
     value order) for strings.
     """
-    no_number, no_string = F.lit(None).cast("double"), F.lit(None).cast("string")
-
-    def measures(c: str, number: bool) -> dict[str, Column]:
-        v = ref(c)
-        return {
-            "n_rows": F.count(F.lit(1)),
-            "count": F.count(v),
-            "missing": F.count_if(is_missing(df, c)),
-            "mean": F.avg(v) if number else F.max(no_number),
-            "stddev": F.stddev_samp(v) if number else F.max(no_number),
-            "min": F.min(v).cast("double") if number else F.max(no_number),
-            "max": F.max(v).cast("double") if number else F.max(no_number),
-            "first": F.max(no_string) if number else F.min(v),
-            "last": F.max(no_string) if number else F.max(v),
-        }
-
-    columns = {c: measures(c, True) for c in numeric} | {c: measures(c, False) for c in strings}
-    return _one_row_per_column(df, columns)
+    columns = [*numeric, *strings]
+    floats = [c for c in numeric if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType))]
+    wide = {"n_rows": F.count(F.lit(1))} | {f"{c} count": F.count(ref(c)) for c in columns}
+    wide |= {f"{c} missing": F.count_if(is_missing(df, c)) for c in floats}
+    wide |= {f"{c} {name}": f(ref(c)) for c in columns for name, f in (("min", F.min), ("max", F.max))}
+    wide |= {f"{c} {name}": f(ref(c)) for c in numeric for name, f in (("mean", F.avg), ("stddev", F.stddev_samp))}
+
+    def measured(c: str, name: str, where: Sequence[str], kind: str) -> Column:
+        return ref(f"{c} {name}").cast(kind) if c in where else F.lit(None).cast(kind)
+
+    rows = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.col("n_rows"),
+            ref(f"{c} count").alias("count"),
+            # Only a float can be missing without being NULL.
+            (ref(f"{c} missing") if c in floats else F.col("n_rows") - ref(f"{c} count")).alias("missing"),
+            *[measured(c, name, numeric, "double").alias(name) for name in ("mean", "stddev", "min", "max")],
+            measured(c, "min", strings, "string").alias("first"),
+            measured(c, "max", strings, "string").alias("last"),
+        )
+        for c in columns
+    ]
+    return df.agg(*[e.alias(name) for name, e in wide.items()]).select(F.inline(F.array(*rows)))
 
 
 def missing_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

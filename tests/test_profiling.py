@@ -21,6 +21,18 @@ def test_missing_counts_null_and_nan(spark):
     assert rows(profiling.missing_counts(df, ["x", "s"])) == [(2, 1)]
 
 
+def test_column_profile_of_nan_and_null(spark):
+    df = spark.createDataFrame([(None, 1, None), (1.0, 3, "b"), (float("nan"), None, "a")], "x double, i int, s string")
+    got = {r["column"]: r.asDict() for r in profiling.column_profile(df, ["x", "i"], ["s"]).collect()}
+    assert {c: (r["n_rows"], r["count"], r["missing"]) for c, r in got.items()} == {
+        "x": (3, 2, 2),
+        "i": (3, 2, 1),
+        "s": (3, 2, 1),
+    }
+    assert (got["i"]["mean"], got["i"]["min"], got["i"]["max"], got["i"]["first"]) == (2.0, 1.0, 3.0, None)
+    assert (got["s"]["mean"], got["s"]["min"], got["s"]["first"], got["s"]["last"]) == (None, None, "a", "b")
+
+
 def test_crosstab_drops_null_keys_and_labels_and_fills_zero(spark):
     df = spark.createDataFrame(
         [("M", "a"), ("M", "a"), ("F", "b"), (None, "a"), ("F", None)], "sex string, label string"
