@@ -14,6 +14,12 @@ from tallyframe import sources as src
 from tallyframe.functions import confidence, ref
 from tallyframe.plans import score_file
 
+try:  # the operators of this package and their pipeline are optional
+    import corpus_pipeline
+    from tallyframe.llm import queries as llm
+except ImportError:
+    corpus_pipeline = llm = None
+
 NUMERIC = ["age", "fnlwgt", "hours_per_week"]
 CATEGORICAL = ["sex", "workclass", "education"]
 LABELS = {"<=50K": "le_50k", ">50K": "gt_50k"}
@@ -302,6 +308,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    optional = {} if llm is None else {**llm.queries(), "pipeline": corpus_pipeline.run}
+    return core_queries() | optional
+
+
+def core_queries() -> dict[str, Query]:
     return {
         "typed_csv_scan": typed_csv_scan,
         "scoring_scan": scoring_scan,
@@ -443,6 +454,13 @@ def _slots_sql(relation: str, first_slot: int) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    optional = {} if llm is None else dict(llm.oracle_sql())
+    if llm is not None and corpus_pipeline.ORACLE_SQL is not None:
+        optional["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return core_oracle_sql() | optional
+
+
+def core_oracle_sql() -> dict[str, str]:
     types = dict(zip(src.PEOPLE_COLUMNS, ["int", "string", "string", "int", "string", "int", "string"]))
     listing = " UNION ALL ".join(
         f"SELECT CAST({i} AS INTEGER) AS position, '{c}' AS column, '{t}' AS type, TRUE AS nullable, "

@@ -10,7 +10,7 @@ import __spark_entry__ as contract
 from conftest import DATA
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", f"{DATA}/sf0.001")
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = contract.core_queries(), contract.core_oracle_sql()
 ROWS_ONLY = {
     "model_coefficients",
     "score_training",

@@ -14,7 +14,7 @@ from conftest import DATA
 from test_model import NEW_ROWS, census
 
 SF_DIR = f"{DATA}/sf0.001"
-PLANNED = sorted(set(contract.queries()) - {"typed_csv_scan", "scoring_scan", "metrics_report", "score_new"})
+PLANNED = sorted(set(contract.core_queries()) - {"typed_csv_scan", "scoring_scan", "metrics_report", "score_new"})
 
 
 def physical(df):
@@ -23,7 +23,7 @@ def physical(df):
 
 @pytest.mark.parametrize("name", PLANNED)
 def test_plans_hold_at_scale(spark, name):
-    plan = physical(contract.queries()[name](spark, SF_DIR))
+    plan = physical(contract.core_queries()[name](spark, SF_DIR))
     for operator in ("PythonUDF", "InPandas", "MapPartitions", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert operator not in plan, operator
     # A global sort or an exchange into one task may only follow an aggregation.
@@ -41,14 +41,14 @@ def test_scans_are_pruned(spark):
         "confusion_matrix": {"l_quantity", "l_returnflag", "l_extendedprice", "l_discount"},
     }
     for name, expected in reads.items():
-        plan = physical(contract.queries()[name](spark, SF_DIR))
+        plan = physical(contract.core_queries()[name](spark, SF_DIR))
         got = {c.split(":")[0] for s in re.findall(r"ReadSchema: struct<(.*?)>", plan) for c in s.split(",") if c}
         assert got == expected, name
 
 
 def test_metrics_of_one_table_take_one_scan(spark):
     for name in ("weighted_metrics", "binary_metrics", "confidence_bands", "prediction_summary"):
-        plan = physical(contract.queries()[name](spark, SF_DIR))
+        plan = physical(contract.core_queries()[name](spark, SF_DIR))
         assert plan.count("FileScan") == 1, name
 
 
