@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import chat, decontaminate, lines
+from tallyframe.llm import chat, decontaminate, lines, mixing
 from tallyframe.llm.staging import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,11 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents", ["doc_id", "text", "source"]))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages", ["page_id", "url", "html"]).select(
         "page_id", lines.url_host(F.col("url")).alias("host"), lines.html_lines(F.col("html")).alias("page_text")
@@ -62,6 +67,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_chat_format": op1_chat_format,
         "op8_decontaminate": op8_decontaminate,
+        "op9_mix_sources": op9_mix_sources,
         "op10_line_dedup": op10_line_dedup,
     }
 
