@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import chat, decontaminate, lines, mixing
+from tallyframe.llm import chat, decontaminate, lines, minhash, mixing
 from tallyframe.llm.staging import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,11 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    return found.select("doc_id", "class_id", "kept")
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark", ["item_id", "text"]))
@@ -66,6 +71,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_chat_format": op1_chat_format,
+        "op2_minhash_dedup": op2_minhash_dedup,
         "op8_decontaminate": op8_decontaminate,
         "op9_mix_sources": op9_mix_sources,
         "op10_line_dedup": op10_line_dedup,
