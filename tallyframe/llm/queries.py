@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import chat, decontaminate, lines, minhash, mixing
+from tallyframe.llm import chat, decontaminate, embeddings, language, lines, minhash, mixing, quality, toxicity
+from tallyframe.llm.learning import in_fold
 from tallyframe.llm.staging import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +42,36 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "kept")
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.linked(table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"]))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    labels = table(spark, sf_dir, "labels", ["doc_id", "toxic"])
+    held_out = in_fold(F.col("doc_id"), 3, 1)
+    lexicon = toxicity.learn_lexicon(docs, labels.where(~held_out))
+    scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.toxicity(lexicon, spark)("text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
+    held_out = in_fold(F.col("doc_id"), 4, 2)
+    prototypes = language.learn_prototypes(docs.where(~held_out).select("text", "lang"))
+    found = docs.select("doc_id", held_out.alias("held_out"), language.language(prototypes, spark)("text").alias("found"))
+    return found.select("doc_id", "held_out", "found.lang_pred", "found.score")
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    labels = table(spark, sf_dir, "labels", ["doc_id", "quality"])
+    held_out = in_fold(F.col("doc_id"), 5, 0)
+    model = quality.learn_quality(docs, labels.where(~held_out))
+    scored = docs.select("doc_id", held_out.alias("held_out"), quality.quality(model, spark)("text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark", ["item_id", "text"]))
@@ -72,6 +103,10 @@ def queries() -> dict[str, Query]:
     return {
         "op1_chat_format": op1_chat_format,
         "op2_minhash_dedup": op2_minhash_dedup,
+        "op3_embedding_dedup": op3_embedding_dedup,
+        "op4_toxicity": op4_toxicity,
+        "op5_language": op5_language,
+        "op6_quality": op6_quality,
         "op8_decontaminate": op8_decontaminate,
         "op9_mix_sources": op9_mix_sources,
         "op10_line_dedup": op10_line_dedup,
@@ -98,6 +133,17 @@ joined AS (SELECT conv_id, count(*) AS n_turns,
   FROM turns GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(told) AS turns_sha256, length(trained) AS loss_chars,
   sha256(trained) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars FROM joined""",
+        "op3_embedding_dedup": """WITH RECURSIVE plain AS (
+  SELECT vec_id, label, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS v FROM embeddings),
+valid AS (SELECT * FROM plain WHERE label IS NOT NULL AND len(v) > 0
+  AND len(list_filter(v, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, x -> x <> 0)) > 0),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM valid a JOIN valid b
+  ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+reach(x, y) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
+component AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
+counts AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN component ON vec_id = component.x LEFT JOIN counts ON vec_id = counts.x""",
         "op8_decontaminate": f"""WITH items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
 sized AS (SELECT item_id, w, least(10, len(w)) AS m FROM items WHERE len(w) > 0),
 windows AS (SELECT DISTINCT item_id, m, array_to_string(list_slice(w, j, j + m - 1), ' ') AS said
