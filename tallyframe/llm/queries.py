@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import chat, decontaminate, embeddings, language, lines, minhash, mixing, quality, toxicity
+from tallyframe.llm import chat, decontaminate, embeddings, language, licenses, lines, minhash, mixing, quality, toxicity
 from tallyframe.llm.learning import in_fold
 from tallyframe.llm.staging import table
 
@@ -72,6 +72,17 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    found = docs.select("doc_id", licenses.licenses()("text").alias("found"))
+    return found.select(
+        "doc_id",
+        F.size("found").cast("bigint").alias("n_licenses"),
+        F.array_join(F.transform("found", lambda x: x["license"]), ",").alias("licenses"),
+        F.coalesce(F.array_max(F.transform("found", lambda x: x["containment"])), F.lit(0.0)).alias("containment"),
+    )
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark", ["item_id", "text"]))
@@ -107,6 +118,7 @@ def queries() -> dict[str, Query]:
         "op4_toxicity": op4_toxicity,
         "op5_language": op5_language,
         "op6_quality": op6_quality,
+        "op7_license_scan": op7_license_scan,
         "op8_decontaminate": op8_decontaminate,
         "op9_mix_sources": op9_mix_sources,
         "op10_line_dedup": op10_line_dedup,
