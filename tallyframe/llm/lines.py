@@ -6,8 +6,8 @@ they occur on its pages. A line on fewer than ``min_pages`` pages of the host is
 that hosts of a few pages keep their texts. Lines are compared after trimming white space.
 
 The lines to drop are few: those of one host number at most the lines of its average page divided by
-``max_ratio``. They are gathered per host and joined to the pages by host, which Spark turns into a
-broadcast if it finds the table small, and whose hot hosts it splits otherwise.
+``max_ratio``. They are gathered per host, written, and joined to the pages by host: as a broadcast if the
+written table is below Spark's own size limit, else by a shuffle whose hot hosts Spark splits.
 
 Defined results: pages without a host (null) form one site; null texts have no lines and stay null;
 empty lines are never dropped; repeated rows are pages of their own; an empty table has no lines.
@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.staging import columns_of, fresh
+from tallyframe.llm.staging import Workspace, columns_of, fresh
 
 MAX_RATIO = 0.1
 MIN_PAGES = 3
@@ -56,11 +56,15 @@ def boilerplate(pages: DataFrame, max_ratio: float = MAX_RATIO, min_pages: int =
             )
         ).alias("line"),
     )
-    counts = lines.groupBy("site", "line").agg(F.count(F.lit(1)).alias("n"))
-    lines_of_site = counts.where("line IS NOT NULL AND n >= %d" % min_pages)
+    # Both tables are small and read more than once or joined, so they are written: then Spark knows their size.
+    work = Workspace(pages.sparkSession, "lines")
+    counts = work.keep(
+        lines.groupBy("site", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("line").isNull() | (F.col("n") >= min_pages))
+    )
     totals = counts.where("line IS NULL").select(F.col("site").alias("of"), F.col("n").alias("total"))
-    return (
-        lines_of_site.join(totals, F.col("site").eqNullSafe(F.col("of")))
+    return work.keep(
+        counts.where("line IS NOT NULL")
+        .join(totals, F.col("site").eqNullSafe(F.col("of")))
         .where(F.col("n") > F.col("total") * F.lit(max_ratio))
         .groupBy("site")
         .agg(F.collect_list("line").alias("dropped"))

@@ -1,0 +1,93 @@
+"""The pipeline's stages in order against a brute-force version, and on odd input."""
+
+import random
+
+import pytest
+
+import __spark_entry__ as contract
+import corpus_pipeline
+from tallyframe.llm import lines
+from test_decontaminate import brute
+from test_lines import brute_lines
+from test_minhash import components_of, weighted_similarities
+from test_mixing import brute_targets
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, found string, score int"
+
+
+def fixture(rng):
+    """Documents with toxic ones, boilerplate, copies and benchmark passages."""
+    vocabulary = [f"w{i}" for i in range(3000)]
+    prose = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    items = [(k, prose(12)) for k in range(5)]
+    texts, labels = [], []
+    for i in range(160):
+        text = prose(rng.randrange(20, 80)) + "\n" + prose(rng.randrange(5, 30))
+        if i % 8 == 1:
+            text = text.replace("\n", " you idiot \n such scum ")
+        labels.append((i, int(i % 8 == 1)))
+        if i % 10 == 2:
+            text += "\n" + items[i % 5][1]
+        if i % 12 == 3:
+            words = texts[i - 3].split(" ")
+            words[5] = "changed"
+            text = " ".join(words)
+        if i % 3 == 0:
+            text = f"Boilerplate of {i % 4}\n{text}"
+        texts.append(text)
+    texts += ["", None, "short one", texts[0]]
+    rows = [(i, t, "en", f"s{i % 4}" if i % 9 else None, len(t or ""), "x", 1) for i, t in enumerate(texts)]
+    return rows + [rows[4], (None, "without id", None, "s1", None, None, None)], labels, items
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("data"))
+    rows, labels, items = fixture(random.Random(5))
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id bigint, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{path}/benchmark.parquet")
+    return path, rows, items
+
+
+def brute_force(rows, items):
+    docs = [r for r in rows if "idiot" not in (r[1] or "")]
+    texts = brute_lines([(r[3], r[1]) for r in docs], lines.MAX_RATIO, lines.MIN_PAGES)
+    docs = [(r[0], t, r[2], r[3], r[4] if t == r[1] else len(t)) for r, t in zip(docs, texts)]
+    classes = components_of(range(len(docs)), [k for k, s in weighted_similarities([d[1] for d in docs]).items() if s >= 0.8])
+    least = {}
+    for i, c in classes.items():
+        if docs[i][0] is not None:
+            least[c] = min(least.get(c, docs[i][0]), docs[i][0])
+    docs = {d for i, d in enumerate(docs) if d[0] is None or least[classes[i]] == d[0]}
+    return {d for d in docs if not brute(d[1], [t for _, t in items], 10)[1]}
+
+
+def test_pipeline_equals_brute_force(spark, folder):
+    path, rows, items = folder
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, path)
+        assert docs.columns == [c.split()[0] for c in SCHEMA.split(", ")]
+    kept = brute_force(rows, items)
+    assert sorted([tuple(r)[:5] for r in docs.collect()], key=str) == sorted(kept, key=str)
+    assert 60 < len(kept) < len(rows) - 30
+
+    got = contract.queries()["pipeline"](spark, path).collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(d[0]) for d in kept)
+    words = {d[0]: len((d[1] or "").split()) for d in kept}
+    assert all(r.size == words[r.doc_id] and 0 <= r.taken <= 3 * r.size for r in got)
+    sources = sorted({d[3] for d in kept}, key=lambda s: (s is None, s))
+    sizes = [sum(words[d[0]] for d in kept if d[3] == s) for s in sources]
+    for source, target in zip(sources, brute_targets(sizes)):
+        own = [r for r in got if r.source == source]
+        assert all(r.target == pytest.approx(target) for r in own)
+        assert abs(sum(r.taken for r in own) - target) <= max(r.size for r in own)
+
+
+def test_empty_documents(spark, folder):
+    path, _, _ = folder
+    docs = spark.read.parquet(f"{path}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, path)
+        assert docs.collect() == []
