@@ -26,8 +26,25 @@ LABELS = {"<=50K": "le_50k", ">50K": "gt_50k"}
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# A three-class model of our own; category values that the data has are missing from its lists.
+FIXED = op.LinearModel(
+    op.ModelParams(numeric_handle_invalid="skip"),
+    {
+        "sex": ["O", "F"],
+        "workclass": ["N", "A"],
+        "education": ["PROMO", "STANDARD", "ECONOMY"],
+        "label": [">50K", "<=50K"],
+    },
+    [
+        [0.02, 0.00007, -0.01, 0.3, -0.2, 0.1, 0.4, 0.25, -0.15, 0.05],
+        [-0.01, -0.00006, 0.02, -0.1, 0.2, 0.15, -0.3, -0.25, 0.35, 0.1],
+        [0.005, 0.00001, -0.03, 0.05, 0.05, -0.4, 0.2, 0.1, 0.1, -0.5],
+    ],
+    [-3.0, 2.5, -0.5],
+)
+
 _staged: dict[tuple[str, str], str] = {}
-_fitted: dict[tuple[str, str], op.Classifier] = {}
+_fitted: dict[tuple[str, str, op.ModelParams], op.Classifier] = {}
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -47,20 +64,29 @@ def training_people(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _staged:
-        path = f"{src.shared_folder(spark)}/people-{len(_staged)}"
+        path = src.run_folder(spark, "people")
         src.stage_parquet(src.people(spark, sf_dir, for_training=True), path)
         _staged[key] = path
     return spark.read.schema(src.LABELLED_SCHEMA).parquet(_staged[key])
 
 
-def fitted(spark: SparkSession, sf_dir: str) -> op.Classifier:
-    """The classifier of a data folder, fitted once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def fitted(spark: SparkSession, sf_dir: str, params: op.ModelParams = op.ModelParams()) -> op.Classifier:
+    """The classifier of a data folder, fitted once per application and parameters."""
+    key = (spark.sparkContext.applicationId, sf_dir, params)
     if key not in _fitted:
-        _fitted[key] = op.fit_classifier(training_people(spark, sf_dir))
+        _fitted[key] = op.fit_classifier(training_people(spark, sf_dir), params)
     return _fitted[key]
 
 
+def release_staged(spark: SparkSession) -> None:
+    """Delete the staged people tables of this application and forget what was fitted on them."""
+    app = spark.sparkContext.applicationId
+    for key in [k for k in _staged if k[0] == app]:
+        src.release(spark, _staged.pop(key))
+    for key in [k for k in _fitted if k[0] == app]:
+        del _fitted[key]
+
+
 def scored_people(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.bulk_score(fitted(spark, sf_dir), training_people(spark, sf_dir))
 
@@ -81,19 +107,19 @@ def frozen_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def typed_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = f"{src.shared_folder(spark)}/typed_csv_scan"
+    folder = src.run_folder(spark, "typed_csv_scan")
     return src.read_labelled(spark, src.stage_csv(src.people_nulls(spark, sf_dir), folder))
 
 
 def scoring_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = f"{src.shared_folder(spark)}/scoring_scan"
+    folder = src.run_folder(spark, "scoring_scan")
     unlabelled = src.people_nulls(spark, sf_dir, src.FEATURE_SCHEMA.names)
     return src.read_unlabelled(spark, src.stage_csv(unlabelled, folder))
 
 
 def metrics_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = op.metrics_report(frozen_cells(spark, sf_dir))
-    folder = f"{src.shared_folder(spark)}/metrics_report"
+    folder = src.run_folder(spark, "metrics_report")
     op.write_report(report, folder)
     return spark.read.schema(report.schema).parquet(folder)
 
@@ -177,6 +203,14 @@ def numeric_summary_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(op.numeric_summary(src.people_nulls(spark, sf_dir, columns), columns), 4)
 
 
+def numeric_summary_narrowed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact quartiles with so low a limit on ranking that every column is narrowed first."""
+    rows = src.read_table(spark, sf_dir, "lineitem").selectExpr(
+        "l_extendedprice", "l_extendedprice * l_discount AS rebate", "ln(l_extendedprice) * 1e-3 AS scaled"
+    )
+    return rounded(op.numeric_summary(rows, rows.columns, direct_values=500), 4)
+
+
 # --- features
 
 
@@ -202,11 +236,12 @@ def one_hot_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     hot = Pipeline(stages=stages).fit(rows).transform(rows)
     # All three vectors side by side, summed as one: still a single pass.
     joined = op.assembler([], CATEGORICAL).transform(hot)
-    return op.slot_totals(joined).select("slot", "feature", F.col("total").cast("long").alias("n"))
+    return op.slot_totals(joined).select("slot", "feature", F.col("exact_total").cast("long").alias("n"))
 
 
 def feature_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.slot_totals(_assembled(spark, sf_dir)).withColumn("total", F.col("total").cast("long"))
+    totals = op.slot_totals(_assembled(spark, sf_dir))
+    return totals.select("slot", "feature", F.col("exact_total").cast("long").alias("total"), "non_zero")
 
 
 # --- model
@@ -247,7 +282,7 @@ def score_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     unlabelled = src.people(spark, sf_dir, src.FEATURE_SCHEMA.names).withColumn(
         "workclass", F.expr("nullif(workclass, 'N')")
     )
-    path = src.stage_csv(unlabelled, f"{src.shared_folder(spark)}/score_new")
+    path = src.stage_csv(unlabelled, src.run_folder(spark, "score_new"))
     return score_file(fitted(spark, sf_dir), src.read_unlabelled(spark, path))
 
 
@@ -257,6 +292,49 @@ def train_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.metrics_report(op.confusion_counts(scored_people(spark, sf_dir)), classifier.positive_index)
 
 
+def fit_optimality(handling: str, tolerance: float) -> Query:
+    """Whether every coefficient of the fit satisfies its optimality condition on the training rows."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        classifier = fitted(spark, sf_dir, op.ModelParams(label_handle_invalid=handling))
+        return op.fit_optimality(classifier, training_people(spark, sf_dir), tolerance)
+
+    return run
+
+
+def train_margins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Actual labels in the report of the training rows: negatives, positives, all."""
+    report = train_report(spark, sf_dir)
+    cell = {c: F.sum(F.when(F.col("name") == c, F.col("value"))) for c in ("tn", "fp", "fn", "tp")}
+    return report.agg(
+        (cell["tn"] + cell["fp"]).cast("long").alias("negatives"),
+        (cell["fn"] + cell["tp"]).cast("long").alias("positives"),
+        (cell["tn"] + cell["fp"] + cell["fn"] + cell["tp"]).cast("long").alias("n_rows"),
+    )
+
+
+def _fixed_scores(scored: DataFrame, columns: list[str]) -> DataFrame:
+    p = [F.round(F.get("probability", F.lit(k)), 6).alias(f"p{k}") for k in range(3)]
+    return scored.select(*columns, "prediction", *p, op.decoded(FIXED.labels).alias("predicted_label"))
+
+
+def score_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """People scored by a given three-class model, by the code that scores with a fitted one."""
+    scored = op.bulk_score(FIXED, src.people(spark, sf_dir))
+    return _fixed_scores(scored, [*src.PEOPLE_COLUMNS, "label_indexed"])
+
+
+def score_fixed_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without label, with NULL and unseen categories; those without age are skipped."""
+    rows = src.people_nulls(spark, sf_dir, src.FEATURE_SCHEMA.names)
+    return _fixed_scores(op.bulk_score(FIXED, rows), src.FEATURE_SCHEMA.names)
+
+
+def sample_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first rows that are scored, though rows without age come before them."""
+    return op.prediction_sample(FIXED, src.people_nulls(spark, sf_dir))
+
+
 def decoded_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = src.frozen_scores(src.people(spark, sf_dir))
     return scored.select(
@@ -288,7 +366,7 @@ def class1_probability_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prediction_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(op.prediction_summary(frozen_cells(spark, sf_dir)))
+    return rounded(op.prediction_summary(frozen_cells(spark, sf_dir), src.FROZEN_LABELS))
 
 
 def confidence_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -336,6 +414,7 @@ def core_queries() -> dict[str, Query]:
         "category_cells": category_cells,
         "numeric_summary": numeric_summary,
         "numeric_summary_nulls": numeric_summary_nulls,
+        "numeric_summary_narrowed": numeric_summary_narrowed,
         "index_sex": index_of("sex"),
         "index_workclass": index_of("workclass"),
         "index_education": index_of("education"),
@@ -349,6 +428,12 @@ def core_queries() -> dict[str, Query]:
         "prediction_sample": prediction_sample,
         "score_new": score_new,
         "train_report": train_report,
+        "fit_optimality": fit_optimality("keep", 5e-3),
+        "fit_optimality_two_classes": fit_optimality("error", 1e-4),
+        "train_margins": train_margins,
+        "score_fixed": score_fixed,
+        "score_fixed_new": score_fixed_new,
+        "sample_fixed": sample_fixed,
         "decoded_predictions": decoded_predictions,
         "confusion_counts": confusion_counts,
         "confusion_matrix": confusion_matrix,
@@ -442,6 +527,45 @@ FROM (SELECT CAST({{c}} AS DOUBLE) AS v FROM {relation}) WHERE NOT isnan(v)""",
     )
 
 
+def _fixed_sql(relation: str) -> str:
+    """The fixed model over a relation as SQL: margins m0 to m2 and probabilities p0 to p2."""
+    slots = ["age", "fnlwgt", "hours_per_week"]
+    slots += [
+        f"CASE WHEN {c} = '{v}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END" for c in CATEGORICAL for v in FIXED.category_labels[c]
+    ]
+    margins = [
+        " + ".join([f"({b}::DOUBLE)", *[f"({w}::DOUBLE) * {x}" for w, x in zip(row, slots)]])
+        for row, b in zip(FIXED.weights, FIXED.intercepts)
+    ]
+    return f"""margins AS (SELECT *, {", ".join(f"{m} AS m{k}" for k, m in enumerate(margins))} FROM {relation} WHERE age IS NOT NULL),
+fixed AS (SELECT *, CASE WHEN m0 >= greatest(m1, m2) THEN 0.0::DOUBLE WHEN m1 >= m2 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS prediction,
+  {", ".join(f"round(exp(m{k} - greatest(m0, m1, m2)) / (exp(m0 - greatest(m0, m1, m2)) + exp(m1 - greatest(m0, m1, m2)) + exp(m2 - greatest(m0, m1, m2))), 6) AS p{k}" for k in range(3))}
+  FROM margins)"""
+
+
+_FIXED_LABEL = (
+    "CASE prediction WHEN 0 THEN '>50K' WHEN 1 THEN '<=50K' ELSE '__unknown' END AS predicted_label"
+)
+_FIXED_INDEX = (
+    "CASE label WHEN '>50K' THEN 0.0::DOUBLE WHEN '<=50K' THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS label_indexed"
+)
+
+
+def _optimality_sql(classes: list[int]) -> str:
+    """Every class with every slot, in the order of the indexes; every condition holds."""
+    lists = " UNION ALL ".join(
+        f"SELECT {i} AS part, '{c}_encoded_' || {c} AS feature, n, {c} AS value FROM "
+        f"(SELECT {c}, count(*) AS n FROM people GROUP BY {c})"
+        for i, c in enumerate(CATEGORICAL)
+    )
+    return f"""WITH {_PEOPLE}, slots AS (
+  SELECT -1 AS slot, 'intercept' AS feature
+  UNION ALL SELECT * FROM (VALUES (0, 'age'), (1, 'fnlwgt'), (2, 'hours_per_week'))
+  UNION ALL SELECT 2 + row_number() OVER (ORDER BY part, n DESC, value), feature FROM ({lists}))
+SELECT class_index, CAST(slot AS INTEGER) AS slot, feature, TRUE AS ok
+FROM slots, (SELECT unnest({classes}) AS class_index)"""
+
+
 def _slots_sql(relation: str, first_slot: int) -> str:
     """One-hot slots: each column's values by count, after the numeric slots."""
     counted = _union(
@@ -576,8 +700,23 @@ SELECT round(accuracy, 6) AS accuracy, round(p_1, 6) AS positive_precision,
   round(r_1, 6) AS positive_recall, round(f_1, 6) AS positive_f1 FROM metrics""",
         "class1_probability_summary": f"WITH {_SCORED}, class1 AS (SELECT p1 AS class1_probability FROM scored) "
         + _summary_sql("class1", ["class1_probability"], 6),
+        "numeric_summary_narrowed": "WITH prices AS (SELECT l_extendedprice, l_extendedprice * l_discount AS rebate, "
+        "ln(l_extendedprice) * 1e-3 AS scaled FROM lineitem) " + _summary_sql("prices", ["l_extendedprice", "rebate", "scaled"], 4),
+        "fit_optimality": _optimality_sql([0, 1, 2]),
+        "fit_optimality_two_classes": _optimality_sql([1]),
+        "train_margins": f"""WITH {_PEOPLE}
+SELECT count(*) FILTER (label = '<=50K') AS negatives, count(*) FILTER (label = '>50K') AS positives, count(*) AS n_rows
+FROM people""",
+        "score_fixed": f"""WITH {_PEOPLE}, {_fixed_sql("people")}
+SELECT {", ".join(src.PEOPLE_COLUMNS)}, {_FIXED_INDEX}, prediction, p0, p1, p2, {_FIXED_LABEL} FROM fixed""",
+        "score_fixed_new": f"""WITH {_NULLS}, {_fixed_sql("holes")}
+SELECT {", ".join(src.FEATURE_SCHEMA.names)}, prediction, p0, p1, p2, {_FIXED_LABEL} FROM fixed""",
+        "sample_fixed": f"""WITH {_NULLS}, {_fixed_sql("holes")}
+SELECT age, fnlwgt, hours_per_week, sex, workclass, education, label, {_FIXED_INDEX}, prediction FROM fixed
+ORDER BY age NULLS FIRST, fnlwgt NULLS FIRST, hours_per_week NULLS FIRST, sex NULLS FIRST, workclass NULLS FIRST,
+  education NULLS FIRST, label NULLS FIRST LIMIT 20""",
         "prediction_summary": f"""WITH {_SCORED}
-SELECT prediction, count(*) AS count, round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM scored), 6) AS percent
+SELECT prediction, CASE prediction WHEN 0 THEN '>50K' ELSE '<=50K' END AS predicted_label, count(*) AS count, round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM scored), 6) AS percent
 FROM scored GROUP BY prediction""",
         "confidence_stats": f"""WITH {_SCORED}
 SELECT round(avg(confidence), 6) AS mean_confidence, round(min(confidence), 6) AS min_confidence,

@@ -13,21 +13,26 @@ from tallyframe.operators.model import ModelParams
 from tallyframe.plans import run_analysis
 
 
-def main() -> None:
+def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     parser.add_argument("training_csv")
     parser.add_argument("scoring_csv")
     parser.add_argument("out_dir")
-    parser.add_argument("--positive-label", default=ModelParams.positive_label)
-    parser.add_argument("--label-handle-invalid", default="keep", choices=["keep", "error", "skip"])
-    args = parser.parse_args()
+    defaults = ModelParams()
+    parser.add_argument("--positive-label", default=defaults.positive_label)
+    parser.add_argument("--label-handle-invalid", default=defaults.label_handle_invalid, choices=["keep", "error", "skip"])
+    parser.add_argument("--numeric-handle-invalid", default=defaults.numeric_handle_invalid, choices=["error", "skip"])
+    parser.add_argument("--keep-null-labels", action="store_true")
+    parser.add_argument("--max-iter", type=int, default=defaults.max_iter)
+    parser.add_argument("--reg-param", type=float, default=defaults.reg_param)
+    parser.add_argument("--elastic-net", type=float, default=defaults.elastic_net)
+    parser.add_argument("--max-category-values", type=int, default=None)
+    args = vars(parser.parse_args(argv))
+    paths = [args.pop(name) for name in ("training_csv", "scoring_csv", "out_dir")]
 
     spark = SparkSession.builder.appName("tallyframe-analysis").getOrCreate()
-    params = ModelParams(
-        positive_label=args.positive_label, label_handle_invalid=args.label_handle_invalid
-    )
-    results = run_analysis(spark, args.training_csv, args.scoring_csv, args.out_dir, params)
-    for name in ("row_count", "label_distribution", "metrics_report", "prediction_summary", "confidence_bands"):
+    results = run_analysis(spark, *paths, ModelParams(**args))
+    for name in ("table_counts", "label_distribution", "metrics_report", "prediction_summary", "confidence_bands"):
         print(name)
         results[name].show(truncate=False)
     spark.stop()

@@ -26,7 +26,6 @@ from tallyframe.operators.model import (
     coefficient_table,
     decoded,
     fit_classifier,
-    prediction_sample,
     score,
 )
 from tallyframe.operators.profiling import (
@@ -46,7 +45,7 @@ from tallyframe.operators.profiling import (
 )
 from tallyframe.operators.quantiles import numeric_summary
 from tallyframe.operators.report import metrics_report, write_report
-from tallyframe.operators.scoring import bulk_score
+from tallyframe.operators.scoring import LinearModel, bulk_score, fit_optimality, linear_model, prediction_sample, scorable
 from tallyframe.operators.summary import (
     confidence_bands,
     confidence_cells,
@@ -56,6 +55,7 @@ from tallyframe.operators.summary import (
 
 __all__ = [
     "Classifier",
+    "LinearModel",
     "ModelParams",
     "assembler",
     "binary_metrics",
@@ -80,9 +80,11 @@ __all__ = [
     "describe_string",
     "distinct_labels",
     "fit_classifier",
+    "fit_optimality",
     "head_rows",
     "index_counts",
     "label_check",
+    "linear_model",
     "label_distribution",
     "label_proportions",
     "metrics_report",

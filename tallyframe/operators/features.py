@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
@@ -10,11 +11,6 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions import ref
 
-# The fitted label lists live on the driver and in every scoring task, as in any Spark ML
-# indexer. Beyond this many distinct values in all categorical columns together the fit is
-# refused (with an error, never by leaving values out).
-MAX_CATEGORY_VALUES = 1_000_000
-
 
 def indexed(column: str) -> str:
     return f"{column}_indexed"
@@ -35,15 +31,15 @@ def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def category_labels(
-    df: DataFrame, columns: Sequence[str], max_values: int = MAX_CATEGORY_VALUES
-) -> dict[str, list[str]]:
+def category_labels(df: DataFrame, columns: Sequence[str], max_values: int | None = None) -> dict[str, list[str]]:
     """Values of each categorical column, most frequent first, ties in value order.
 
-    One scan for all columns. What is fetched is bounded: past ``max_values`` values it raises.
+    One scan for all columns. The lists live on the driver and in every scoring task, as in any
+    Spark ML indexer; with ``max_values``, more values than that in all columns together raise.
     """
-    rows = category_counts(df, columns).limit(max_values + 1).collect()
-    if len(rows) > max_values:
+    counts = category_counts(df, columns)
+    rows = (counts if max_values is None else counts.limit(max_values + 1)).collect()
+    if max_values is not None and len(rows) > max_values:
         raise ValueError(f"more than {max_values} distinct values in the categorical columns {list(columns)}")
     labels: dict[str, list[str]] = {c: [] for c in columns}
     for row in sorted(rows, key=lambda r: (-r["n"], r["value"])):
@@ -98,28 +94,37 @@ def slot_names(assembled: DataFrame, vector: str = "features") -> list[str]:
 
 
 def slot_totals(assembled: DataFrame, vector: str = "features") -> DataFrame:
-    """Sum and number of non-zero entries per slot.
+    """Sum and number of non-zero entries per slot: ``slot, feature, total, exact_total, non_zero``.
 
     Only stored entries are laid out as rows: one per column of a sparse row, not one per slot.
-    They are summed exactly, and per task before the shuffle, which moves one row per slot and
-    task. (The vector summarizer derives sums from means, which is inexact.)
+    They are summed per task before the shuffle, which moves one row per slot and task.
+    ``exact_total`` is a decimal sum, past 2**53 too; it is NULL for a slot with an entry that nine
+    decimals do not hold exactly. (The vector summarizer derives sums from means, which is inexact.)
     """
     vectors = assembled.select(F.unwrap_udt(ref(vector)).alias("v")).select(
         F.coalesce("v.indices", F.sequence(F.lit(0), F.size("v.values") - 1)).alias("slot"),
         F.col("v.values").alias("entry"),
     )
-    entries = vectors.select(F.inline(F.arrays_zip("slot", "entry")))
-    totals = (
-        entries.where(F.col("entry") != 0)
-        .groupBy("slot")
-        .agg(F.sum("entry").alias("total"), F.count(F.lit(1)).alias("non_zero"))
-    )
-    names = assembled.sparkSession.range(1).select(
-        F.posexplode(F.array(*map(F.lit, slot_names(assembled, vector)))).alias("slot", "feature")
+    names = slot_names(assembled, vector)
+    every_slot = assembled.sparkSession.range(len(names)).select(
+        F.col("id").cast("int").alias("slot"), F.lit(0.0).alias("entry")
     )
-    return names.join(totals, "slot", "left").select(
-        "slot",
-        "feature",
-        F.coalesce("total", F.lit(0.0)).alias("total"),
-        F.coalesce("non_zero", F.lit(0)).alias("non_zero"),
+    entries = vectors.select(F.inline(F.arrays_zip("slot", "entry"))).unionByName(every_slot)
+    decimal = F.expr("try_cast(entry AS decimal(28, 9))")
+    held = F.coalesce(decimal.cast("double") == F.col("entry"), F.lit(False))
+    feature = F.from_json(F.lit(json.dumps(names)), "array<string>")
+    return (
+        entries.groupBy("slot")
+        .agg(
+            F.sum("entry").alias("total"),
+            F.when(F.bool_and(held), F.sum(decimal)).alias("exact_total"),
+            F.count_if(F.col("entry") != 0).alias("non_zero"),
+        )
+        .select(
+            "slot",
+            F.get(feature, F.col("slot")).alias("feature"),
+            F.coalesce(F.col("exact_total").cast("double"), F.col("total")).alias("total"),
+            "exact_total",
+            "non_zero",
+        )
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -29,9 +28,12 @@ class ModelParams:
     keep_null_labels: bool = False
     # Rows with a NULL numeric feature: "error" stops the job, "skip" leaves the row out.
     numeric_handle_invalid: str = "error"
+    # Defaults of the regression (fixed values).
     max_iter: int = 100
     reg_param: float = 0.01
     elastic_net: float = 0.8
+    # Refuse a fit with more distinct category values than this; None: any number.
+    max_category_values: int | None = None
     # Depth of the gradient reduction; raise it for very many partitions or slots.
     aggregation_depth: int = 2
 
@@ -95,7 +97,9 @@ def fit_classifier(df: DataFrame, params: ModelParams = ModelParams()) -> Classi
     those itself, so a cached input would hold the data twice.
     """
     rows = training_rows(df, params)
-    labels = feature_stages.category_labels(rows, [*params.categorical_cols, params.label_col])
+    labels = feature_stages.category_labels(
+        rows, [*params.categorical_cols, params.label_col], params.max_category_values
+    )
     classes = labels[params.label_col]
     if len(classes) != 2:
         raise ValueError(f"a binary target needs 2 label values, {params.label_col!r} has {classes[:10]}")
@@ -115,22 +119,6 @@ def decoded(labels: list[str], prediction_col: str = "prediction") -> Column:
     return F.get(values, ref(prediction_col).cast("int"))
 
 
-def prediction_sample(
-    classifier: Classifier, rows: DataFrame, n: int = 20, hidden: Sequence[str] = ()
-) -> DataFrame:
-    """First n rows in the order of their columns, with label index and prediction.
-
-    The scores depend on those columns alone, so the rows are picked first and only they are
-    scored.
-    """
-    p = classifier.params
-    columns = [c for c in (*p.numeric_cols, *p.categorical_cols, p.label_col) if c in rows.columns]
-    picked = rows.select(*map(ref, columns)).orderBy(*map(ref, columns)).limit(n)
-    scored = score(classifier, picked)
-    shown = [*columns, feature_stages.indexed(p.label_col), "prediction"]
-    return scored.select(*[ref(c) for c in shown if c in scored.columns and c not in hidden])
-
-
 def coefficient_table(spark: SparkSession, classifier: Classifier, names: list[str]) -> DataFrame:
     """``class_index, class_label, slot, feature, coefficient``; slot -1 is the intercept.
 

@@ -157,7 +157,12 @@ def label_distribution(df: DataFrame, label: str, weight: str | None = None) ->
 def label_proportions(
     df: DataFrame, label: str, values: Sequence[str], weight: str | None = None
 ) -> DataFrame:
-    """Percent of all rows (NULL labels included) per given label; 0 if absent, NULL if no rows."""
+    """Percent of all rows (NULL labels included) per given label; 0 if absent, NULL if no rows.
+
+    No row if no label is given.
+    """
+    if not values:
+        return df.select(ref(label).cast("string").alias(label), F.lit(0.0).alias("percent")).limit(0)
     return _one_row_per_column(
         df, {v: {"part": _tally(ref(label) == v, weight), "whole": _tally(None, weight)} for v in values}
     ).select(F.col("column").alias(label), (100 * share(F.col("part"), F.col("whole"))).alias("percent"))
@@ -173,8 +178,11 @@ def crosstab(
     """Rows per key and label, one column per label; ``values`` maps label value to column name.
 
     Rows with a NULL key or label do not count. Conditional counts need one shuffle of partial
-    counts where a pivot needs two, and an absent cell is 0 without filling.
+    counts where a pivot needs two, and an absent cell is 0 without filling. Without values there is
+    nothing to count, and no row.
     """
+    if not values:
+        return df.select(ref(key)).limit(0)
     return (
         df.where(ref(key).isNotNull() & ref(label).isNotNull())
         .groupBy(ref(key))

@@ -2,19 +2,22 @@
 
 The built-in exact ``percentile`` keeps every distinct value of a column in one aggregation
 buffer, which no single task can hold for a wide-ranging column at scale. Here a quantile is
-found by narrowing: count rows per equal-width bucket, take the few buckets that hold the
-wanted ranks, split only those again, and rank values one by one once a bucket is small.
-
-Each pass is a pruned scan with map-side aggregation, and shuffles bucket counts only; a value
-shared by a third of the rows is one count. What reaches the driver per pass is bounded by the
-parameters (two ranks per quantile and column), never by the data. A column of up to
-``DIRECT_VALUES`` rows, or of integers in a range of that length, takes two scans: moments and
-ranking. For 10**12 spread-out doubles it is four, of which the last two only filter.
+found by narrowing: count rows per bucket, take the few buckets that hold the wanted ranks, split
+only those again, and rank values one by one once a bucket is small.
+
+Buckets are ranges of an order-preserving integer key of the doubles (``sort_keys``), so their number
+does not depend on how the values are spread: a pass leaves 1 / ``BUCKETS`` of a bracket's keys, and
+five passes are the most there can be for 64-bit values. Each is a pruned scan with map-side
+aggregation that shuffles bucket counts only; a value shared by a third of the rows is one
+count. What reaches the driver per pass is bounded by the parameters (two ranks per quantile and
+column), never by the data, and a task ranks at most ``direct_values`` values of a bracket. A column
+of up to so many rows, or of integers in a range of that length, takes two scans: moments and ranking.
 """
 
 from __future__ import annotations
 
 import math
+import struct
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -23,18 +26,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.functions import ref
+from tallyframe.functions.sort_keys import with_sort_key
 
 QUARTILES = (0.25, 0.5, 0.75)
 
 # Buckets per pass and bracket: few enough for each task to fold its rows into a small table.
 BUCKETS = 2**14
 
-# A bracket of at most this many distinct values is ranked value by value.
-DIRECT_VALUES = 2**22
+# A bracket of at most this many rows or distinct values is ranked value by value.
+DIRECT_VALUES = 2**16
 
 Rank = tuple[int, int]  # (position of the quantile in the list, 0 below / 1 above)
 
 
+def _half_key(value: float) -> int:
+    """Half of the sort key of a double, so that differences of two fit 64 bits."""
+    bits = struct.unpack(">q", struct.pack(">d", abs(value)))[0]
+    return (-bits if value < 0 else bits) >> 1
+
+
 @dataclass
 class _Bracket:
     """A range of the values of one column (by position) and the ranks wanted from it, relative to its start."""
@@ -44,30 +54,25 @@ class _Bracket:
     high: float
     rows: int
     ranks: dict[Rank, int] = field(default_factory=dict)
-    whole: bool = False  # the whole column, infinities included
     integral: bool = False
-    stuck: bool = False  # splitting made no progress
 
-    @property
-    def direct(self) -> bool:
+    def direct(self, most: int) -> bool:
         values = min(self.rows, self.high - self.low + 1) if self.integral else self.rows
-        return self.single or self.stuck or values <= DIRECT_VALUES
+        # Two doubles at most share half a key.
+        return values <= most or _half_key(self.low) == _half_key(self.high)
 
     @property
     def single(self) -> bool:
-        return self.low == self.high and not self.whole
+        return self.low == self.high
 
     def holds(self) -> str:
         """SQL condition on (name, value); column number i goes by the name v<i>."""
-        if self.whole:
-            return f"name = 'v{self.slot}'"
         return f"name = 'v{self.slot}' AND value BETWEEN {_sql(self.low)} AND {_sql(self.high)}"
 
     def bucket(self) -> str:
-        """Equal-width bucket of a value; halves are taken so that no difference overflows."""
-        low, width = _sql(self.low), self.high / 2 - self.low / 2
-        inner = f"floor((value / 2 - {low} / 2) / {_sql(width)} * {BUCKETS})" if width > 0 else "0L"
-        return f"CASE WHEN value < {low} THEN -1L WHEN value > {_sql(self.high)} THEN {BUCKETS + 1}L ELSE {inner} END"
+        """Number of the range of keys, all of the same length, that holds a value's key."""
+        low, high = _half_key(self.low), _half_key(self.high)
+        return f"(shiftright(key, 1) - ({low}L)) DIV {(high - low) // BUCKETS + 1}L"
 
 
 def _sql(value: float) -> str:
@@ -104,7 +109,7 @@ def _split(values: DataFrame, brackets: Sequence[_Bracket]) -> list[_Bracket]:
     """One narrowing pass over brackets too large to rank directly."""
     bucket = "CASE bracket " + " ".join(f"WHEN {i} THEN {b.bucket()}" for i, b in enumerate(brackets)) + " END"
     counted = (
-        _in_brackets(values, brackets)
+        with_sort_key(_in_brackets(values, brackets), 64)
         .groupBy("bracket", F.expr(bucket).alias("bucket"))
         .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
     )
@@ -116,24 +121,24 @@ def _split(values: DataFrame, brackets: Sequence[_Bracket]) -> list[_Bracket]:
             for key, rank in parent.ranks.items()
             if row["start"] <= rank < row["start"] + row["n"]
         }
-        stuck = row["n"] == parent.rows and (row["low"], row["high"]) == (parent.low, parent.high)
-        narrowed.append(
-            _Bracket(
-                parent.slot, row["low"], row["high"], row["n"], ranks, integral=parent.integral, stuck=stuck
-            )
-        )
+        narrowed.append(_Bracket(parent.slot, row["low"], row["high"], row["n"], ranks, parent.integral))
     return narrowed
 
 
 def numeric_summary(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float] = QUARTILES
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float] = QUARTILES,
+    direct_values: int | None = None,
 ) -> DataFrame:
     """count, mean, sample stddev, min, quantiles and max per column; NULL and NaN are skipped.
 
     One row per column: ``column, n, mean, stddev, min, p25, p50, p75, max`` (for quartiles).
     A column without values gives n = 0 and NULL statistics. The moments and the narrowing run
-    when this is called, the last pass when the result is read.
+    when this is called, the last pass when the result is read. ``direct_values`` is how many values
+    of a bracket one task may rank (``DIRECT_VALUES`` if not given).
     """
+    most = DIRECT_VALUES if direct_values is None else direct_values
     numbered = df.select(*[ref(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
     moments = _moments(numbered)
 
@@ -147,12 +152,11 @@ def numeric_summary(
             position = p * (m["n"] - 1)
             ranks[q, 0], ranks[q, 1] = math.floor(position), math.ceil(position)
             fractions[slot, q] = position - math.floor(position)
-        low, high = (m["min"] if m[b] is None else m[b] for b in ("finite_min", "finite_max"))
         integral = isinstance(types[slot], T.IntegralType)
-        brackets.append(_Bracket(slot, low, high, m["n"], ranks, m["min"] != m["max"], integral))
+        brackets.append(_Bracket(slot, m["min"], m["max"], m["n"], ranks, integral))
 
     values = numbered.unpivot([], numbered.columns, "name", "value").where("value IS NOT NULL AND NOT isnan(value)")
-    while large := [b for b in brackets if not b.direct]:
+    while large := [b for b in brackets if not b.direct(most)]:
         brackets = [b for b in brackets if b not in large] + _split(values, large)
 
     # SQL expressions of the wanted values: literals where a bracket has shrunk to one value,
@@ -212,8 +216,6 @@ def _moments(numbered: DataFrame) -> list[dict]:
             "stddev": f"stddev_samp(nanvl({v}, NULL))",
             "min": f"min(nanvl({v}, NULL))",
             "max": f"max(nanvl({v}, NULL))",
-            "finite_min": f"min(CASE WHEN abs({v}) < double('inf') THEN {v} END)",
-            "finite_max": f"max(CASE WHEN abs({v}) < double('inf') THEN {v} END)",
         }.items()
     ]
     row = numbered.selectExpr(*measures).first().asDict()

@@ -42,13 +42,9 @@ def metrics_report(confusion: DataFrame, positive: float = 1.0) -> DataFrame:
 
 
 def write_report(report: DataFrame, path: str, fmt: str = "parquet") -> bool:
-    """Write a metrics report (parquet or csv); an empty one writes nothing and gives False.
+    """Write a metrics report (parquet or csv) over an earlier one; False if it has no rows.
 
-    The report, eight rows at most, is computed once for both the check and the write.
+    An empty report is written too, so that no earlier one stays to be read as current.
     """
-    rows = report.collect()
-    if not rows:
-        return False
-    table = report.sparkSession.createDataFrame(rows, report.schema)
-    table.coalesce(1).write.mode("overwrite").format(fmt).options(header=True).save(path)
-    return True
+    report.coalesce(1).write.mode("overwrite").format(fmt).options(header=True).save(path)
+    return not report.sparkSession.read.schema(report.schema).format(fmt).options(header=True).load(path).isEmpty()

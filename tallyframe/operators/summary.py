@@ -6,11 +6,15 @@ All three read the cells of one grouped pass (:func:`confidence_cells`, or
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.functions import confidence, ref, share
+from tallyframe.operators.model import decoded
 
+# Limits of the confidence bands (fixed values).
 HIGH_CONFIDENCE = 0.8
 MEDIUM_CONFIDENCE = 0.6
 
@@ -39,12 +43,13 @@ def confidence_cells(
     )
 
 
-def prediction_summary(cells: DataFrame) -> DataFrame:
-    """Rows and percent of all rows per predicted class."""
+def prediction_summary(cells: DataFrame, labels: Sequence[str] | None = None) -> DataFrame:
+    """Rows and percent of all rows per predicted class, with its ``predicted_label`` if labels are given."""
     per_class = cells.groupBy("prediction").agg(F.sum("n").alias("count"))
     # The window spans one row per class of the model.
     total = F.sum("count").over(Window.partitionBy())
-    return per_class.select("prediction", "count", (100 * share(F.col("count"), total)).alias("percent"))
+    label = [] if labels is None else [decoded(list(labels)).alias("predicted_label")]
+    return per_class.select("prediction", "count", (100 * share(F.col("count"), total)).alias("percent"), *label)
 
 
 def confidence_stats(cells: DataFrame) -> DataFrame:

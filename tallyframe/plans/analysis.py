@@ -11,9 +11,10 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyframe.operators import evaluation, model, profiling, quantiles, report, scoring, summary
-from tallyframe.operators.features import category_labels, slot_names
+from tallyframe.operators.features import slot_names
 from tallyframe.sources import read_labelled, read_unlabelled, stage_parquet
 
 
@@ -37,7 +38,7 @@ def profile_tables(
     first = cells.where(cells["column"] == categorical[0])
     tables = {
         "row_count": profile.selectExpr("n_rows").limit(1),
-        "schema_listing": profiling.schema_listing(rows),
+        "schema_listing": _schema_listing(rows, profile),
         "head_rows": profiling.head_rows(rows),
         "describe_numeric": numbers.select("column", "count", "mean", "stddev", "min", "max"),
         "describe_string": strings.selectExpr(
@@ -57,6 +58,16 @@ def profile_tables(
     return tables
 
 
+def _schema_listing(rows: DataFrame, profile: DataFrame) -> DataFrame:
+    """The schema with the filled values the profile has counted."""
+    fields = rows.sparkSession.createDataFrame(
+        [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(rows.schema.fields)],
+        "position int, column string, type string, nullable boolean",
+    )
+    counted = profile.select(F.col("column"), (F.col("n_rows") - F.col("missing")).alias("filled"))
+    return fields.join(counted, "column").select("position", "column", "type", "nullable", "filled")
+
+
 def score_file(classifier: model.Classifier, new_rows: DataFrame) -> DataFrame:
     """Unlabelled rows with their predicted label and class."""
     scored = scoring.bulk_score(classifier, new_rows)
@@ -65,6 +76,12 @@ def score_file(classifier: model.Classifier, new_rows: DataFrame) -> DataFrame:
     )
 
 
+def _labels(cells: DataFrame, column: str) -> list[str]:
+    """Label values, most frequent first; every row is in the cells of each categorical column."""
+    counts = cells.where((cells["column"] == column) & cells["label"].isNotNull()).groupBy("label")
+    return [r["label"] for r in counts.agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "label").collect()]
+
+
 def run_analysis(
     spark: SparkSession,
     training_csv: str,
@@ -86,15 +103,16 @@ def run_analysis(
         "column_profile",
         profiling.column_profile(rows, params.numeric_cols, [*params.categorical_cols, params.label_col]),
     )
-    # The profile comes first: it is there to be read when the fit refuses the data.
-    labels = category_labels(rows, [params.label_col])[params.label_col]
+    # The profile comes first: it is there to be read when the fit refuses the data. The labels come
+    # from the cells, a small table, and may be none.
+    labels = _labels(cells, params.categorical_cols[0])
     for name, table in profile_tables(rows, params, labels, profile, cells).items():
         keep(name, table)
 
     classifier = model.fit_classifier(rows, params)
     through_stages = model.score(classifier, rows)
     keep("coefficients", model.coefficient_table(spark, classifier, slot_names(through_stages)))
-    keep("prediction_sample", model.prediction_sample(classifier, rows))
+    keep("prediction_sample", scoring.prediction_sample(classifier, rows))
     scored = scoring.bulk_score(classifier, rows)
     outcomes = keep(
         "outcome_cells", evaluation.outcome_cells(scored, label_col=f"{params.label_col}_indexed")
@@ -105,11 +123,12 @@ def run_analysis(
     keep("train_weighted_metrics", evaluation.weighted_metrics(outcomes))
     keep("metrics_report", report.metrics_report(outcomes, positive))
     keep("class1_probability_summary", evaluation.class1_probability_summary(scored))
-    keep(
-        "prediction_summary",
-        summary.prediction_summary(outcomes).withColumn("predicted_label", model.decoded(classifier.labels)),
-    )
+    keep("prediction_summary", summary.prediction_summary(outcomes, classifier.labels))
     keep("confidence_stats", summary.confidence_stats(outcomes))
     keep("confidence_bands", summary.confidence_bands(outcomes))
-    keep("new_predictions", score_file(classifier, read_unlabelled(spark, scoring_csv)))
+    new_rows = keep("scoring_rows", read_unlabelled(spark, scoring_csv))
+    predictions = keep("new_predictions", score_file(classifier, new_rows))
+    counted = {"training_rows": rows, "scoring_rows": new_rows, "new_predictions": predictions}
+    counts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("table"), "n_rows") for n, df in counted.items()]
+    keep("table_counts", counts[0].unionByName(counts[1]).unionByName(counts[2]))
     return written

@@ -2,7 +2,7 @@
 
 from tallyframe.sources.csv_tables import FEATURE_SCHEMA, LABELLED_SCHEMA, read_csv, read_labelled, read_unlabelled
 from tallyframe.sources.people import FROZEN_LABELS, PEOPLE_COLUMNS, frozen_scores, people, people_nulls, read_table
-from tallyframe.sources.staging import shared_folder, stage_csv, stage_parquet
+from tallyframe.sources.staging import release, run_folder, shared_folder, stage_csv, stage_parquet
 
 __all__ = [
     "FEATURE_SCHEMA",
@@ -16,6 +16,8 @@ __all__ = [
     "read_labelled",
     "read_table",
     "read_unlabelled",
+    "release",
+    "run_folder",
     "shared_folder",
     "stage_csv",
     "stage_parquet",

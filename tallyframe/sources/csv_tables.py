@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+# Column names, order and types of the two CSV files (fixed values).
 FEATURE_SCHEMA = T.StructType(
     [
         T.StructField("age", T.IntegerType()),

@@ -181,14 +181,53 @@ def test_bulk_scoring_of_odd_rows(spark):
     assert [r["label_indexed"] for r in unknown.collect()] == [2.0, 2.0, float(strict.labels.index("<=50K"))]
 
 
-def test_bulk_scoring_takes_the_indexed_path_for_long_lists(spark, classifier, monkeypatch):
-    people = contract.training_people(spark, SF_DIR).limit(50)
-    direct = scoring.bulk_score(classifier, people)
-    monkeypatch.setattr(scoring, "MAX_INLINE_VALUES", 1)
-    other = scoring.bulk_score(classifier, people)
-    assert other.columns == direct.columns
-    columns = ["label_indexed", "prediction"]
-    assert sorted(map(tuple, other.select(columns).collect())) == sorted(map(tuple, direct.select(columns).collect()))
+@pytest.mark.parametrize("n", [2, 64, 65, 200])
+def test_scores_have_one_type_for_any_number_of_categories(spark, n):
+    rows = small(spark, [(*r[:2], f"w{i % n}", *r[3:]) for i, r in enumerate(census(400))])
+    fit = model.fit_classifier(rows, ModelParams(**FAST))
+    ours, theirs = scoring.bulk_score(fit, rows), model.score(fit, rows)
+    assert dict(ours.dtypes)["probability"] == "array<double>"
+    assert ours.dtypes[:-3] == rows.dtypes and [c for c, _ in ours.dtypes[-3:]] == ["label_indexed", "probability", "prediction"]
+    q = theirs.select(*rows.columns, "label_indexed", probability_array(theirs).alias("probability"), "prediction")
+    key = lambda r: str(r[:7])
+    for a, b in zip(sorted(ours.collect(), key=key), sorted(q.collect(), key=key)):
+        assert a[:8] == b[:8] and a.prediction == b.prediction
+        assert list(a.probability) == pytest.approx(list(b.probability), abs=1e-12)
+
+
+@pytest.mark.parametrize("skipped", ["numeric", "label"])
+def test_sample_holds_scored_rows_though_skipped_ones_sort_first(spark, skipped):
+    good = census(100)
+    if skipped == "numeric":
+        rows, params = good + [(None, *good[0][1:])] * 25, ModelParams(numeric_handle_invalid="skip", **FAST)
+    else:
+        rows, params = good + [(1, *good[0][1:6], v) for v in ("other", None)] * 12, ModelParams(label_handle_invalid="skip", **FAST)
+    fit = model.fit_classifier(small(spark, good), params)
+    got = scoring.prediction_sample(fit, small(spark, rows))
+    assert got.count() == 20 and got.where("age is null or label_indexed is null or age = 1").isEmpty()
+    assert scoring.bulk_score(fit, small(spark, rows)).count() == 100
+
+
+def test_optimality_fails_for_a_disturbed_weight(spark):
+    rows = small(spark, census(400))
+    for handling, close in (("keep", 5e-3), ("error", 1e-4)):
+        fit = scoring.linear_model(model.fit_classifier(rows, ModelParams(label_handle_invalid=handling)))
+        assert scoring.fit_optimality(fit, rows, close).where("not ok").isEmpty()
+        weights = [list(w) for w in fit.weights]
+        weights[0][0] += 0.05
+        worse = scoring.LinearModel(fit.params, fit.category_labels, weights, fit.intercepts)
+        assert not scoring.fit_optimality(worse, rows, close).where("not ok").isEmpty()
+        none = scoring.LinearModel(fit.params, fit.category_labels, [[0.0] * len(w) for w in weights], fit.intercepts)
+        assert not scoring.fit_optimality(none, rows, close).where("not ok").isEmpty()
+
+
+def test_exact_slot_sums(spark):
+    big = 2**53
+    frame = spark.createDataFrame([(float(big), 0.5), (1.0, 0.25), (1.0, 0.0), (1.0, 1e300)], "a double, b double")
+    vector = features.assembler(["a", "b"], []).transform(frame)
+    a, b = features.slot_totals(vector).orderBy("slot").collect()
+    assert (a["feature"], int(a["exact_total"]), a["non_zero"]) == ("a", big + 3, 4)
+    assert (b["feature"], b["exact_total"], b["total"], b["non_zero"]) == ("b", None, 1e300, 3)
 
 
 @pytest.mark.parametrize("handling, close", [("keep", 1e-3), ("error", 1e-5)])
@@ -273,7 +312,7 @@ def test_scoring_without_label(spark, tmp_path):
 
 def test_sample_is_ordered_and_short(spark, classifier, scored):
     people = contract.training_people(spark, SF_DIR)
-    got = model.prediction_sample(classifier, people, 5, hidden=["fnlwgt"])
+    got = scoring.prediction_sample(classifier, people, 5, hidden=["fnlwgt"])
     shown = ["age", "hours_per_week", "sex", "workclass", "education", "label", "label_indexed", "prediction"]
     assert got.columns == shown
     everything = scored.orderBy("age", "fnlwgt", "hours_per_week", "sex", "workclass", "education", "label")

@@ -14,7 +14,7 @@ from conftest import DATA
 from test_model import NEW_ROWS, census
 
 SF_DIR = f"{DATA}/sf0.001"
-PLANNED = sorted(set(contract.core_queries()) - {"typed_csv_scan", "scoring_scan", "metrics_report", "score_new"})
+PLANNED = sorted(contract.core_queries())
 
 
 def physical(df):
@@ -81,6 +81,10 @@ def test_full_analysis(spark, tmp_path):
     assert {r["column"] for r in out["describe_string"].collect()} == {"sex", "workclass", "education", "label"}
     assert out["head_rows"].count() == 10 and out["prediction_sample"].count() == 20
     assert out["new_predictions"].count() == 20
+    counts = {r["table"]: r["n_rows"] for r in out["table_counts"].collect()}
+    assert counts == {"training_rows": len(rows), "scoring_rows": 20, "new_predictions": 20}
+    listing = out["schema_listing"].orderBy("position").collect()
+    assert [(r["column"], r["filled"]) for r in listing] == [(c, len(rows)) for c in src.LABELLED_SCHEMA.names]
     assert out["metrics_report"].count() == 8 and out["confidence_bands"].count() == 3
     assert sum(out["confusion_matrix"].first()) == len(rows)
     assert out["prediction_summary"].agg({"count": "sum"}).first()[0] == len(rows)
@@ -98,6 +102,16 @@ def test_profile_is_written_even_if_the_fit_is_refused(spark, tmp_path):
     assert spark.read.parquet(f"{out}/crosstab_sex").columns == ["sex", "le_50k"]
 
 
+def test_profile_is_written_without_any_label(spark, tmp_path):
+    training, out = str(tmp_path / "training"), str(tmp_path / "out")
+    src.stage_csv(spark.createDataFrame([(*r[:6], None) for r in census()], src.LABELLED_SCHEMA), training)
+    with pytest.raises(ValueError):
+        run_analysis(spark, training, "unused", out)
+    for name in ("schema_listing", "numeric_summary", "label_distribution", "label_proportions", "crosstab_education"):
+        spark.read.parquet(f"{out}/{name}").count()
+    assert spark.read.parquet(f"{out}/row_count").first()[0] == len(census())
+
+
 def test_label_column_names():
     assert label_column_names(["<=50K", ">50K", "a b", "a-b", "?"]) == {
         "<=50K": "le_50k",

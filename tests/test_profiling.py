@@ -162,6 +162,27 @@ def test_numeric_summary_of_integer_types(spark, monkeypatch, direct):
     same(got["y"], expected_summary([None if v is None else float(v) for v in big]))
 
 
+def test_passes_do_not_depend_on_the_spread(spark, monkeypatch):
+    """Narrowing scans of log-uniform values over ever wider ranges."""
+    split, passes = quantiles._split, []
+    monkeypatch.setattr(quantiles, "_split", lambda *args: passes.append(1) or split(*args))
+    rng = np.random.default_rng(3)
+    for power in (10, 40, 100, 300):
+        values = 10.0 ** rng.uniform(-power, power, 20000)
+        df = spark.createDataFrame([(float(v),) for v in values], "x double")
+        passes.clear()
+        (got,) = rows(numeric_summary(df, ["x"], direct_values=100))
+        assert got[5:8] == pytest.approx(np.quantile(values, [0.25, 0.5, 0.75]), rel=1e-12)
+        assert 1 <= len(passes) <= 3
+    # All values next to each other: the most passes there can be.
+    close = 1.0 + np.arange(5000) * 2.0**-52
+    df = spark.createDataFrame([(float(v),) for v in [*close, -1e300, 1e300]], "x double")
+    passes.clear()
+    (got,) = rows(numeric_summary(df, ["x"], direct_values=2))
+    assert got[5:8] == tuple(np.quantile([*close, -1e300, 1e300], [0.25, 0.5, 0.75]))
+    assert len(passes) <= 5
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.one_of(st.none(), st.integers(-(2**31), 2**31 - 1)), min_size=1, max_size=40))
 def test_numeric_summary_integers(spark, values):

@@ -1,7 +1,8 @@
 """CSV reading, staging, the people tables, and sinks."""
 
-import os
+import pytest
 
+import __spark_entry__ as contract
 from tallyframe import sources as src
 from tallyframe.operators import evaluation, report
 from conftest import DATA
@@ -64,8 +65,36 @@ def test_report_sink(spark, tmp_path):
         assert back.exceptAll(out).isEmpty() and back.count() == 8
 
 
-def test_report_sink_writes_nothing_without_results(spark, tmp_path):
-    nothing = spark.createDataFrame([], "label_indexed double, prediction double")
-    path = str(tmp_path / "none")
-    assert report.write_report(report.metrics_report(evaluation.confusion_counts(nothing)), path) is False
-    assert not os.path.exists(path)
+def test_empty_report_leaves_no_earlier_rows(spark, tmp_path):
+    cells = spark.createDataFrame([(0.0, 0.0, 3)], "label_indexed double, prediction double, n long")
+    nothing = report.metrics_report(evaluation.confusion_counts(spark.createDataFrame([], "label_indexed double, prediction double")))
+    for fmt in ("parquet", "csv"):
+        path = str(tmp_path / f"report-{fmt}")
+        assert report.write_report(report.metrics_report(cells), path, fmt)
+        assert report.write_report(nothing, path, fmt) is False
+        assert spark.read.schema(nothing.schema).option("header", True).format(fmt).load(path).isEmpty()
+
+
+def test_a_cluster_needs_the_shared_folder(spark, monkeypatch):
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Context:
+        applicationId, master = "app", "spark://host:7077"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        src.shared_folder(Session())
+    Context.master = "local[2]"
+    assert src.shared_folder(Session()).endswith("tallyframe-app")
+
+
+def test_two_data_folders_stay_readable(spark):
+    for name in ("typed_csv_scan", "scoring_scan", "metrics_report"):
+        first = contract.queries()[name](spark, f"{DATA}/sf0.001")
+        second = contract.queries()[name](spark, f"{DATA}/sf0.01")
+        assert first.count() == (8 if name == "metrics_report" else 6000)
+        assert second.count() == (8 if name == "metrics_report" else 60000)
