@@ -160,7 +160,7 @@ def learn_prototypes(docs: DataFrame) -> Prototypes:
     return Prototypes([r["lang"] for r in rows], totals)
 
 
-def language(prototypes: Prototypes, spark) -> "F.udf":
+def language(prototypes: Prototypes, spark):
     """Column function: lang_pred and score of a text."""
     known = spark.sparkContext.broadcast(prototypes)
 

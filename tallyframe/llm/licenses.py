@@ -156,7 +156,7 @@ def build_index(templates: dict[str, str]) -> Index:
     return Index(names, classes, ordered, parts, lengths, known)
 
 
-def licenses(templates: dict[str, str] | None = None) -> "F.udf":
+def licenses(templates: dict[str, str] | None = None):
     """Column function: the licenses a text holds, an array of license, containment and first word.
 
     The index goes to the tasks with the function; it is as small as the templates are.

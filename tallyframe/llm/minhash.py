@@ -215,7 +215,7 @@ def band_keys(bounds: np.ndarray, sampled: np.ndarray) -> pa.ListArray:
     return list_array(np.concatenate(([0], np.cumsum(has * BANDS))), pa.array(keys))
 
 
-def banded(weights) -> F.udf:
+def banded(weights):
     """Column function: the band keys of a text; ``weights`` is a broadcast of Weights."""
 
     @F.arrow_udf("array<bigint>")

@@ -160,7 +160,7 @@ def learn_quality(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAINING)
     return Model(weights / max(1, trained["shard"].nunique()))
 
 
-def quality(model: Model, spark) -> "F.udf":
+def quality(model: Model, spark):
     """Column function: the score of a text."""
     known = spark.sparkContext.broadcast(model)
 

@@ -2,11 +2,11 @@
 
 The lexicon has a short fixed list of insults and the words that labelled documents show to be
 insults: frequent in toxic ones and nearly absent from the others. A word's reliability is the share of
-toxic documents among the labelled ones that have it. All terms form a trie; the trie is intersected
-with the automata that accept a term with up to k errors (insertion, deletion, substitution or swap
-of neighbours; none below five letters, one below eight, two from there on), and the intersection is made
-deterministic once, so that matching a word costs a table lookup per byte. Misspellings must keep the first
-letter. Words that automata accept but labelled documents show to be harmless are exempt.
+toxic documents among the labelled ones that have it. The terms form tries, one for each number of
+errors allowed (insertions, deletions, substitutions or swaps of neighbours; none below five letters, one
+below eight, two from there on). The tries are intersected with the Levenshtein automata of that many
+errors, and the intersection is made deterministic once, so that matching a word costs a table lookup per
+byte. Misspellings must keep the first letter. Words that automata accept but labelled documents show to be harmless are exempt.
 
 Each hit is scored in its window of six words to both sides: less if it stands in quotation marks or the
 window speaks about words (quotation), more if it addresses somebody (abuse). The score is the chance
@@ -98,8 +98,8 @@ class Automaton:
 def build_automaton(terms: list[bytes]) -> Automaton:
     """Walk the trie of the terms and the automata's error counts together, one byte class at a time.
 
-    A state is a set of (trie node, errors left, byte still owed by a swap). Terms with different
-    numbers of allowed errors share the trie; each start carries what its terms allow.
+    A state is a set of (trie node, errors left, byte still owed by a swap); the start holds the roots
+    of all tries.
     """
     alphabet = sorted({b for t in terms for b in t})
     classes = np.full(256, len(alphabet), np.int64)
@@ -270,7 +270,7 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAINING)
     return Lexicon(automaton, np.array([reliability[t] for t in terms]), frozenset(r["word"].encode() for r in exempt))
 
 
-def toxicity(lexicon: Lexicon, spark) -> "F.udf":
+def toxicity(lexicon: Lexicon, spark):
     """Column function: the score of a text."""
     known = spark.sparkContext.broadcast(lexicon)
 

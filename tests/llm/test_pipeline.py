@@ -35,7 +35,7 @@ def fixture(rng):
         if i % 3 == 0:
             text = f"Boilerplate of {i % 4}\n{text}"
         texts.append(text)
-    texts += ["", None, "short one", texts[0]]
+    texts += ["", None, "short one", texts[0], prose(20_000)]
     rows = [(i, t, "en", f"s{i % 4}" if i % 9 else None, len(t or ""), "x", 1) for i, t in enumerate(texts)]
     return rows + [rows[4], (None, "without id", None, "s1", None, None, None)], labels, items
 
