@@ -45,9 +45,12 @@ SEEDS = (
     "pathetic retard scum shithead stupid trash vermin worthless"
 ).split()
 SEED_RELIABILITY = 0.9
-#: What a hit counts by its number of errors, and in its context (fixed values).
-EXACTNESS = (0.85, 0.75, 0.6)
+#: What a hit counts by its number of errors, and in its context (fixed values). An exact insult is enough
+#: for the threshold; misspelled ones, which may be other words, need company.
+EXACTNESS = (0.85, 0.65, 0.5)
 QUOTED, REPORTED, ADDRESSED = 0.25, 0.5, 1.1
+#: Ordinary words that are a small error away from an insult (fixed values).
+HARMLESS = "idiom idioms jerky looser lower moon moons motion".split()
 #: Words that speak about words, and words that address somebody (fixed values).
 REPORTING = frozenset(
     "word words term terms phrase called calls calling quote quoted quotes said says wrote writes written means "
@@ -267,7 +270,7 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAINING)
 
     harmless = by_word.where((F.col("clean") > F.col("toxic")) & (F.length("word") <= automaton.longest) & (F.length("word") >= 4))
     exempt = harmless.where(errors_of("word") > 0).select("word").collect()
-    return Lexicon(automaton, np.array([reliability[t] for t in terms]), frozenset(r["word"].encode() for r in exempt))
+    return Lexicon(automaton, np.array([reliability[t] for t in terms]), frozenset([w.encode() for w in HARMLESS] + [r["word"].encode() for r in exempt]))
 
 
 def toxicity(lexicon: Lexicon, spark):

@@ -86,6 +86,7 @@ LEXICON = Lexicon(AUTOMATON, np.full(len(TERMS), 0.95), frozenset([b"motion"]))
         ("they said: «moron»", False),
         ("nothing at all", False),
         ("slow motion", False),
+        ("an idoit of a village, once", False),
         ("", False),
         (None, False),
     ],
