@@ -52,7 +52,7 @@ HEAVY_SHARE = 1 << 17
 BLOCK_DOCS, BLOCK_BYTES = 256, 16 << 20
 _TABLE = 1 << 14
 _ROWS_AT_ONCE = 4096
-_COLUMNS_AT_ONCE = 1 << 15
+_COLUMNS_AT_ONCE = 1 << 13
 _CLOSE = 1e-9
 
 
@@ -310,8 +310,12 @@ def _compared(rows: DataFrame, keys: list[str], weights, similarity: float) -> D
     return rows.select("node", "cluster", "text", *keys).groupBy(*keys).applyInPandas(compare, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, text_md5, class_id (the smallest doc_id of the class), kept (doc_id = class_id), a row for each row."""
+def text_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """Two tables: a row per document (doc_id, text_md5, comparable) and one per comparable text (text_md5, node, class).
+
+    ``node`` is the smallest doc_id that has the text, ``class`` the smallest of its class. Documents
+    without id or words are not comparable.
+    """
     work = Workspace(docs.sparkSession, "minhash")
     weights = work.spark.sparkContext.broadcast(shingle_weights(work, docs.select("text")))
     signed = work.keep(
@@ -367,8 +371,11 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     large = stored.where(~small)
     if not large.isEmpty():
         labelled = large.join(classes, "node", "left").withColumn("class", F.coalesce("component", "node")).drop("component")
-        open_ = labelled.groupBy("cluster").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low != high")
-        labelled = labelled.join(open_.select("cluster"), "cluster", "left_semi")
+        # Written, so that Spark knows how small it is: the texts need not move to join it.
+        open_ = work.keep(
+            labelled.groupBy("cluster").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low != high").select("cluster")
+        )
+        labelled = labelled.join(open_, "cluster", "left_semi")
         pairs = F.transform(
             every_block,
             lambda other: F.struct(
@@ -382,9 +389,17 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     work.drop(stored, shared)
 
     named = texts.select("text_md5", "node").join(classes, "node", "left")
-    named = named.select(F.col("text_md5").alias("of"), F.coalesce("component", "node").alias("found"))
-    result = signed.join(named, (F.col("text_md5") == F.col("of")) & F.col("doc_id").isNotNull(), "left")
-    class_id = F.coalesce("found", "doc_id")
+    named = named.select("text_md5", "node", F.coalesce("component", "node").alias("class"))
+    comparable = F.col("doc_id").isNotNull() & (F.size("bands") > 0)
+    return signed.select("doc_id", "text_md5", comparable.alias("comparable")), named
+
+
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, text_md5, class_id (the smallest doc_id of the class), kept (doc_id = class_id), a row for each row."""
+    signed, named = text_classes(docs, similarity)
+    named = named.select(F.col("text_md5").alias("of"), F.col("class"))
+    result = signed.join(named, (F.col("text_md5") == F.col("of")) & F.col("comparable"), "left")
+    class_id = F.coalesce("class", "doc_id")
     return result.select(
         "doc_id", "text_md5", class_id.alias("class_id"), F.coalesce(F.col("doc_id") == class_id, F.lit(True)).alias("kept")
     )
@@ -394,7 +409,11 @@ def deduplicated(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The documents with one of each class, that of the smallest id; of repeated rows, one stays."""
     id_, md5 = fresh(docs, "kept_id", "kept_md5")
     (own,) = fresh(docs, "own_md5")
-    keys = near_duplicates(docs, similarity).where("kept").select(F.col("doc_id").alias(id_), F.col("text_md5").alias(md5)).distinct()
+    signed, named = text_classes(docs, similarity)
+    # A document stays if it has the smallest id of its class, which is a row of the texts.
+    chosen = named.where("class = node").select(F.col("node").alias(id_), F.col("text_md5").alias(md5))
+    alone = signed.where("NOT comparable").select(F.col("doc_id").alias(id_), F.col("text_md5").alias(md5))
+    keys = chosen.unionByName(alone)
     marked = docs.withColumn(own, F.md5(F.coalesce("text", F.lit(""))))
     matched = marked.join(keys, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(own) == F.col(md5)), "left_semi")
     with_id = matched.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", own])
