@@ -4,7 +4,7 @@ A word is a run of ASCII letters and digits and of any bytes outside ASCII in th
 A-Z lower-cased; as a pattern, ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing. Words are
 represented by 64-bit hashes, so equality of words is equality of hashes.
 
-Work goes on in chunks of whole documents of about a megabyte: memory follows the chunk, or the one
+Work goes on in chunks of whole documents of about half a megabyte: memory follows the chunk, or the one
 document that is longer than that, never the batch. Null texts are empty texts.
 """
 
@@ -17,7 +17,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _LETTER = np.arange(256)
 _UPPER = (_LETTER >= 65) & (_LETTER <= 90)
@@ -118,7 +118,7 @@ def split_words(first: int, data: np.ndarray, offsets: np.ndarray) -> Words:
     opens[edges] = inside[edges]
     closes[edges - 1] = inside[edges - 1]
     starts, ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
-    power, inverse = _powers(1 << max(20, int(n).bit_length()))
+    power, inverse = _powers(1 << max(19, int(n).bit_length()))
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_VALUE[data] * power[:n], out=sums[1:])
     hashes = mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
