@@ -146,9 +146,9 @@ joined AS (SELECT conv_id, count(*) AS n_turns,
 SELECT conv_id, n_turns, sha256(told) AS turns_sha256, length(trained) AS loss_chars,
   sha256(trained) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars FROM joined""",
         "op3_embedding_dedup": """WITH RECURSIVE plain AS (
-  SELECT vec_id, label, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS v FROM embeddings),
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
 valid AS (SELECT * FROM plain WHERE label IS NOT NULL AND len(v) > 0
-  AND len(list_filter(v, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, x -> x <> 0)) > 0),
+  AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
 links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM valid a JOIN valid b
   ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
 reach(x, y) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
