@@ -1,8 +1,12 @@
 """Toxicity by a lexicon matched through Levenshtein automata, with context windows.
 
-The lexicon has a short fixed list of insults and the words that labelled documents show to be
-insults: frequent in toxic ones and nearly absent from the others. A word's reliability is the share of
-toxic documents among the labelled ones that have it. The terms form tries, one for each number of
+The lexicon has a short fixed list of insults and the words that labelled documents prove to go with
+toxic ones, however rare: the log-likelihood ratio of a word's toxic share to that of all labelled
+documents must exceed what the best of all words tested reaches by chance. A word's reliability is the
+toxic share of the labelled documents that have it, drawn to the overall share by ``PRIOR_DOCS``, so that
+words of little evidence count less and reach the threshold together only; each counts once in a text.
+The ``MAX_TERMS`` most frequent of the nearly sure words and the fixed list are terms that also match
+misspelled; all others match exactly, by their hash. The terms form tries, one for each number of
 errors allowed (insertions, deletions, substitutions or swaps of neighbours; none below five letters, one
 below eight, two from there on). The tries are intersected with the Levenshtein automata of that many
 errors, and the intersection is made deterministic once, so that matching a word costs a table lookup per
@@ -34,7 +38,9 @@ from tallyframe.llm.words import LOWERED, Words, word_chunks
 
 MAX_TRAINING = 20_000
 MAX_TERMS = 200
-MIN_SHARE, MIN_DOCS, MIN_RELIABILITY = 0.05, 5, 0.9
+MIN_DOCS, MIN_SHARE, MIN_RELIABILITY = 5, 0.6, 0.9
+#: The chance of one false word among all words tested, and documents of the overall share added to a word's.
+CHANCE, PRIOR_DOCS = 0.05, 2
 THRESHOLD = 0.7
 NO_HIT = 0.01
 WINDOW = 6
@@ -191,11 +197,29 @@ class Lexicon:
     automaton: Automaton
     reliability: np.ndarray  # of each term
     exempt: frozenset[bytes]  # words the automata accept that are harmless
+    exact: dict[bytes, float] = field(default_factory=dict)  # reliability of the words that match exactly only
+
+    def __post_init__(self) -> None:
+        hashes = np.array([next(word_chunks(pa.array([w.decode()]))).hashes[0] for w in self.exact], np.uint64)
+        order = np.argsort(hashes)
+        self._hashes, self._known = hashes[order], np.array(list(self.exact.values()), np.float64)[order]
+
+    def _exact_hits(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """(word, place in the table) of the words that match exactly."""
+        if not len(self._hashes) or not len(words.hashes):
+            none = np.zeros(0, np.int64)
+            return none, none
+        at = np.minimum(np.searchsorted(self._hashes, words.hashes), len(self._hashes) - 1)
+        found = np.flatnonzero(self._hashes[at] == words.hashes)
+        return found, at[found]
 
     def scores(self, texts: pa.Array) -> np.ndarray:
         out = np.full(len(texts), NO_HIT)
         for words in word_chunks(texts):
+            known, place = self._exact_hits(words)
             word, term, errors = self.automaton.match(words)
+            other = ~np.isin(word, known)
+            word, term, errors = word[other], term[other], errors[other]
             doc = np.searchsorted(words.begins, word, "right") - 1
             clean = np.ones(words.n_docs)
             for w, t, e, d in zip(word.tolist(), term.tolist(), errors.tolist(), doc.tolist()):
@@ -203,6 +227,12 @@ class Lexicon:
                     continue
                 hit = self.reliability[t] * EXACTNESS[e] * context_factor(words, w, d)
                 clean[d] *= 1 - min(hit, 0.99)
+            best: dict[tuple[int, int], float] = {}
+            for w, k, d in zip(known.tolist(), place.tolist(), (np.searchsorted(words.begins, known, "right") - 1).tolist()):
+                hit = self._known[k] * EXACTNESS[0] * context_factor(words, w, d)
+                best[d, k] = max(best.get((d, k), 0.0), hit)
+            for (d, _), hit in best.items():
+                clean[d] *= 1 - min(hit, 0.99)
             out[words.first : words.first + words.n_docs] = np.maximum(NO_HIT, 1 - clean)
         return out
 
@@ -239,24 +269,29 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAINING)
         .groupBy("word")
         .agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean"))
     )
-    # Both lists below are bounded: MAX_TERMS words, and what few errors can make of them.
+    # The lists below are bounded by the sample: words that many of its toxic documents have, and what few errors make of terms.
     total = by_word.where("word = ''").first()
-    n_toxic = total["toxic"] if total else 0
-    share = F.col("toxic") / (F.col("toxic") + F.col("clean") + 1)
-    learned = (
-        by_word.where((F.length("word") >= 4) & (F.col("toxic") >= max(MIN_DOCS, MIN_SHARE * n_toxic)) & (share >= MIN_RELIABILITY))
-        .orderBy(F.col("toxic").desc(), "word")
-        .limit(MAX_TERMS)
-        .collect()
-    )
+    n_toxic, n_all = (total["toxic"], total["toxic"] + total["clean"]) if total else (0, 0)
+    overall = min(max(n_toxic / max(n_all, 1), 1e-9), 1 - 1e-9)
+    tested = by_word.where((F.length("word") >= 4) & (F.col("toxic") >= MIN_DOCS))
+    n = F.col("toxic") + F.col("clean")
+    ratio = F.col("toxic") * F.log(F.col("toxic") / n / overall) + F.when(
+        F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / n / (1 - overall))
+    ).otherwise(0.0)
+    needed = np.log(max(tested.count(), 1) / CHANCE)
+    proven = tested.where((F.col("toxic") > overall * n) & (F.col("toxic") >= MIN_SHARE * n) & (ratio >= float(needed)))
+    rows = proven.orderBy(F.col("toxic").desc(), "word").collect()
+    share = {r["word"].encode(): (r["toxic"] + PRIOR_DOCS * overall) / (r["toxic"] + r["clean"] + PRIOR_DOCS) for r in rows}
+    sure = [r["word"].encode() for r in rows if r["toxic"] / (r["toxic"] + r["clean"] + 1) >= MIN_RELIABILITY][:MAX_TERMS]
+    reliability = {w: share[w] for w in sure}
     seen = {r["word"]: r for r in by_word.where(F.col("word").isin(SEEDS)).collect()}
-    reliability = {r["word"].encode(): (r["toxic"] + 0.5) / (r["toxic"] + r["clean"] + 0.5) for r in learned}
     for seed in SEEDS:
         row = seen.get(seed)
         known = row is not None and row["toxic"] + row["clean"] >= MIN_DOCS
         share_of = (row["toxic"] + 0.5) / (row["toxic"] + row["clean"] + 0.5) if known else SEED_RELIABILITY
         reliability.setdefault(seed.encode(), share_of)
     terms = sorted(reliability)
+    exact = {w: p for w, p in share.items() if w not in reliability}
     automaton = build_automaton(terms)
     marked = docs.sparkSession.sparkContext.broadcast(automaton)
 
@@ -270,7 +305,7 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAINING)
 
     harmless = by_word.where((F.col("clean") > F.col("toxic")) & (F.length("word") <= automaton.longest) & (F.length("word") >= 4))
     exempt = harmless.where(errors_of("word") > 0).select("word").collect()
-    return Lexicon(automaton, np.array([reliability[t] for t in terms]), frozenset([w.encode() for w in HARMLESS] + [r["word"].encode() for r in exempt]))
+    return Lexicon(automaton, np.array([reliability[t] for t in terms]), frozenset([w.encode() for w in HARMLESS] + [r["word"].encode() for r in exempt]), exact)
 
 
 def toxicity(lexicon: Lexicon, spark):

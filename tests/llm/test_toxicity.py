@@ -8,9 +8,13 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from tallyframe.llm import toxicity
+from tallyframe.llm.learning import in_fold
 from tallyframe.llm.toxicity import NO_HIT, Lexicon, build_automaton, errors_allowed
 from tallyframe.llm.words import word_chunks
+from test_oracle import SF_DIR
 
 
 def distance(a, b):
@@ -120,3 +124,35 @@ def test_learning(spark):
     none = toxicity.learn_lexicon(docs.limit(0), known.limit(0))
     assert none.automaton.terms == sorted(s.encode() for s in toxicity.SEEDS)
     assert NO_HIT == none.scores(pa.array(["good"]))[0]
+
+
+def test_rare_proven_words_are_learned(spark):
+    """Fifty insults that stand in 2% of the toxic documents each, and as many weaker words that need company."""
+    rng = random.Random(12)
+    rows, labels = [], []
+    for i in range(6000):
+        toxic = i % 10 == 0
+        words = [f"filler{rng.randrange(200)}" for _ in range(20)]
+        if toxic:
+            words[3], words[9] = f"rareinsult{'abcdefghij'[i // 10 % 10]}{'klmno'[i // 100 % 5]}", f"weak{'abcde'[i // 10 % 5]}"
+        elif i % 30 == 1:
+            words[9] = f"weak{'abcde'[i // 30 % 5]}"
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    lexicon = toxicity.learn_lexicon(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int"))
+    texts = ["such a rareinsultak here", "just filler1 filler2", "a weaka", "a weaka, a weakb and a weakc", "a weaka, a weaka, a weaka"]
+    scores = lexicon.scores(pa.array(texts))
+    assert (scores >= toxicity.THRESHOLD).tolist() == [True, False, False, True, False]
+
+
+def test_held_out_precision_and_recall(spark):
+    folder = SF_DIR.replace("sf0.001", "sf0.1")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where("toxic IS NOT NULL")
+    held_out = in_fold(F.col("doc_id"), 3, 1)
+    lexicon = toxicity.learn_lexicon(docs, labels.where(~held_out))
+    rows = docs.join(labels.where(held_out), "doc_id").select("text", "toxic").collect()
+    found = lexicon.scores(pa.array([r.text for r in rows], pa.string())) >= toxicity.THRESHOLD
+    toxic = np.array([r.toxic == 1 for r in rows])
+    assert (found & toxic).sum() >= 0.8 * toxic.sum() and (found & toxic).sum() >= 0.9 * found.sum()
