@@ -10,7 +10,10 @@ misspelled; all others match exactly, by their hash. The terms form tries, one f
 errors allowed (insertions, deletions, substitutions or swaps of neighbours; none below five letters, one
 below eight, two from there on). The tries are intersected with the Levenshtein automata of that many
 errors, and the intersection is made deterministic once, so that matching a word costs a table lookup per
-byte. Misspellings must keep the first letter. Words that automata accept but labelled documents show to be harmless are exempt.
+byte. Misspellings must keep the first letter. A misspelled hit counts what labelled documents show about the
+misspellings of its term with that many errors, if they have ``MIN_DOCS`` of them, else a fixed part of an
+exact one. Words that automata accept are exempt if ``MIN_CLEAN`` clean labelled documents or more
+have them, and more than toxic ones.
 
 Each hit is scored in its window of six words to both sides: less if it stands in quotation marks or the
 window speaks about words (quotation), more if it addresses somebody (abuse). The score is the chance
@@ -41,6 +44,7 @@ MAX_TERMS = 200
 MIN_DOCS, MIN_SHARE, MIN_RELIABILITY = 5, 0.6, 0.9
 #: The chance of one false word among all words tested, and documents of the overall share added to a word's.
 CHANCE, PRIOR_DOCS = 0.05, 2
+MIN_CLEAN = 3
 THRESHOLD = 0.7
 NO_HIT = 0.01
 WINDOW = 6
@@ -52,7 +56,7 @@ SEEDS = (
 ).split()
 SEED_RELIABILITY = 0.9
 #: What a hit counts by its number of errors, and in its context (fixed values). An exact insult is enough
-#: for the threshold; misspelled ones, which may be other words, need company.
+#: for the threshold; misspelled ones, which may be other words, need company unless labelled documents show them to be insults.
 EXACTNESS = (0.85, 0.65, 0.5)
 QUOTED, REPORTED, ADDRESSED = 0.25, 0.5, 1.1
 #: Ordinary words that are a small error away from an insult (fixed values).
@@ -198,8 +202,12 @@ class Lexicon:
     reliability: np.ndarray  # of each term
     exempt: frozenset[bytes]  # words the automata accept that are harmless
     exact: dict[bytes, float] = field(default_factory=dict)  # reliability of the words that match exactly only
+    misspelled: dict[tuple[int, int], float] = field(default_factory=dict)  # reliability by term and errors, where known
 
     def __post_init__(self) -> None:
+        self.worth = self.reliability[:, None] * np.array(EXACTNESS)
+        for (t, e), share in self.misspelled.items():
+            self.worth[t, e] = share * EXACTNESS[0]
         hashes = np.array([next(word_chunks(pa.array([w.decode()]))).hashes[0] for w in self.exact], np.uint64)
         order = np.argsort(hashes)
         self._hashes, self._known = hashes[order], np.array(list(self.exact.values()), np.float64)[order]
@@ -225,7 +233,7 @@ class Lexicon:
             for w, t, e, d in zip(word.tolist(), term.tolist(), errors.tolist(), doc.tolist()):
                 if e and LOWERED[words.data[words.starts[w] : words.ends[w]]].tobytes() in self.exempt:
                     continue
-                hit = self.reliability[t] * EXACTNESS[e] * context_factor(words, w, d)
+                hit = self.worth[t, e] * context_factor(words, w, d)
                 clean[d] *= 1 - min(hit, 0.99)
             best: dict[tuple[int, int], float] = {}
             for w, k, d in zip(known.tolist(), place.tolist(), (np.searchsorted(words.begins, known, "right") - 1).tolist()):
@@ -295,17 +303,32 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAINING)
     automaton = build_automaton(terms)
     marked = docs.sparkSession.sparkContext.broadcast(automaton)
 
-    @F.arrow_udf("int")
-    def errors_of(words: pa.Array) -> pa.Array:
-        out = np.full(len(words), -1)
+    @F.arrow_udf("struct<term int, errors int>")
+    def matched(words: pa.Array) -> pa.Array:
+        terms_of, errors_of = np.full(len(words), -1), np.zeros(len(words), np.int64)
         for chunk in word_chunks(words):
-            word, _, errors = marked.value.match(chunk)
-            out[chunk.first + np.searchsorted(chunk.begins, word, "right") - 1] = errors
-        return pa.array(out, pa.int32())
-
-    harmless = by_word.where((F.col("clean") > F.col("toxic")) & (F.length("word") <= automaton.longest) & (F.length("word") >= 4))
-    exempt = harmless.where(errors_of("word") > 0).select("word").collect()
-    return Lexicon(automaton, np.array([reliability[t] for t in terms]), frozenset([w.encode() for w in HARMLESS] + [r["word"].encode() for r in exempt]), exact)
+            word, term, errors = marked.value.match(chunk)
+            at = chunk.first + np.searchsorted(chunk.begins, word, "right") - 1
+            terms_of[at], errors_of[at] = term, errors
+        return pa.StructArray.from_arrays([pa.array(terms_of, pa.int32()), pa.array(errors_of, pa.int32())], ["term", "errors"])
+
+    short = by_word.where((F.length("word") <= automaton.longest) & (F.length("word") >= 4))
+    near = short.withColumn("match", matched("word")).where("match.errors > 0").select("word", "toxic", "clean", "match.*")
+    harmless = (F.col("clean") > F.col("toxic")) & (F.col("clean") >= MIN_CLEAN)
+    exempt = [w.encode() for w in HARMLESS] + [r["word"].encode() for r in near.where(harmless).select("word").collect()]
+    # At most a row for each term and number of errors.
+    seen_near = (
+        near.where(~harmless & ~F.col("word").isin(HARMLESS))
+        .join(F.broadcast(proven.select("word")), "word", "left_anti")
+        .groupBy("term", "errors")
+        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    )
+    misspelled = {
+        (r["term"], r["errors"]): (r["toxic"] + PRIOR_DOCS * overall) / (r["toxic"] + r["clean"] + PRIOR_DOCS)
+        for r in seen_near.collect()
+        if r["toxic"] + r["clean"] >= MIN_DOCS
+    }
+    return Lexicon(automaton, np.array([reliability[t] for t in terms]), frozenset(exempt), exact, misspelled)
 
 
 def toxicity(lexicon: Lexicon, spark):

@@ -156,3 +156,26 @@ def test_held_out_precision_and_recall(spark):
     found = lexicon.scores(pa.array([r.text for r in rows], pa.string())) >= toxicity.THRESHOLD
     toxic = np.array([r.toxic == 1 for r in rows])
     assert (found & toxic).sum() >= 0.8 * toxic.sum() and (found & toxic).sum() >= 0.9 * found.sum()
+
+
+def test_misspelled_hits_count_by_evidence(spark):
+    """Labelled misspellings make a single one enough, unless quoted; one clean document exempts no word."""
+    rng = random.Random(13)
+    rows, labels = [], []
+    for i in range(600):
+        toxic = i % 6 == 0
+        words = [f"filler{rng.randrange(50)}" for _ in range(20)]
+        if toxic:
+            j = i // 6 % 4 + 1
+            words[5] = "moron"[:j] + rng.choice("abcdefghijklpqstuvwxyz") + "moron"[j:]
+        elif i == 1:
+            words[5] = "morron"
+        elif i % 6 == 2:
+            words[5] = "idioz"
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    lexicon = toxicity.learn_lexicon(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int"))
+    assert b"morron" not in lexicon.exempt and b"idioz" in lexicon.exempt
+    texts = ["what a morron, once", 'the word "morron" is an insult', "what an idioz, once"]
+    assert (lexicon.scores(pa.array(texts)) >= toxicity.THRESHOLD).tolist() == [True, False, False]
