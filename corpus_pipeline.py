@@ -22,8 +22,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that more than a tenth of their source's documents have."""
-    return lines.lines_deduplicated(docs)
+    """All documents, without the lines that more than a twentieth of their source's documents have, and three at least."""
+    return lines.lines_deduplicated(docs, lines.SOURCE_RATIO)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,6 +22,8 @@ from tallyframe.llm.staging import Workspace, columns_of, fresh
 
 MAX_RATIO = 0.1
 MIN_PAGES = 3
+#: The ratio where the site is a document's source: a source mixes many sites, so its boilerplate is rarer than a host's.
+SOURCE_RATIO = 0.05
 
 #: Tags that end a line, and text between tags that is none (fixed values).
 _SILENT = r"(?is)<(script|style)\b.*?</(script|style)>|<!--.*?-->"

@@ -91,3 +91,12 @@ def test_empty_documents(spark, folder):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, path)
         assert docs.collect() == []
+
+
+@pytest.mark.parametrize("percent", [6, 7, 10])
+def test_boilerplate_of_a_source_in_few_documents(spark, percent):
+    rows = [(i, (f"Sign up here\nstory {i}" if i % 100 < percent else f"story {i}"), "s") for i in range(400)]
+    rows += [(1000 + i, f"twice\nother {i}", "small") for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {r.doc_id: r.text for r in corpus_pipeline.drop_boilerplate(spark, docs, "").collect()}
+    assert got == {i: (f"story {i}" if i < 1000 else t) for i, t, _ in rows}
