@@ -8,7 +8,8 @@ with a window of the template, so one of the 32 bands agrees with probability 0.
 without any shingle of any template have no band in common with one, so only the others are hashed.
 
 Each template retrieved is verified around its windows, as far as the template is long: the share of its
-shingles that occur there, counted exactly, must be ``CONTAINMENT`` or more.
+shingles that occur there, counted exactly, must be ``CONTAINMENT`` or more, and those with a word of a
+version or variant (any digit, or one of ``VARIANTS``) must all be there.
 
 Defined results: null and empty texts hold no license; a template that occurs again counts once, at its
 first place with the highest containment. An empty set of templates finds nothing.
@@ -31,7 +32,10 @@ BANDS, ROWS = 32, 2
 _SEEDS = stream(70, BANDS * ROWS)
 _AT_ONCE = 1 << 12
 
-#: Public license notices (fixed values).
+#: Words that tell the variants of a license apart (fixed values); so do words with digits.
+VARIANTS = frozenset("sa nc nd lesser library affero".split())
+#: Public license notices (fixed values): short ones of the common licenses, not their full texts. Those of a
+#: family share less than ``CONTAINMENT`` of their shingles.
 TEMPLATES = {
     "apache-2.0": "Licensed under the Apache License, Version 2.0",
     "apache-1.1": "Licensed under the Apache License, Version 1.1",
@@ -44,8 +48,13 @@ TEMPLATES = {
     "provided that the following conditions are met",
     "isc-notice": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee "
     "is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
-    "gpl-2": "This work is licensed under the GNU General Public License, version 2",
-    "gpl-3": "This work is licensed under the GNU General Public License, version 3",
+    "gpl-2": "GNU General Public License, version 2",
+    "gpl-3": "GNU General Public License, version 3",
+    "lgpl-2.1": "Lesser General Public License, version 2.1",
+    "lgpl-3": "Lesser General Public License, version 3",
+    "agpl-3": "Affero General Public License, version 3",
+    "epl-1.0": "Eclipse Public License, version 1.0",
+    "epl-2.0": "Eclipse Public License, version 2.0",
     "gpl-notice": "you can redistribute it and/or modify it under the terms of the GNU General Public License as "
     "published by the Free Software Foundation",
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
@@ -101,6 +110,7 @@ class Index:
     shingles: list[np.ndarray]
     lengths: list[int]
     known: np.ndarray
+    decisive: list[np.ndarray]  # the shingles of each template that hold a version or variant
 
     def scan(self, words: Words) -> list[tuple[int, int, float, int]]:
         """(document, template, containment, first word) of the chunk's documents."""
@@ -121,12 +131,12 @@ class Index:
                     places.setdefault((int(doc[w]), template), []).append((int(start[w]), int(stop[w])))
         found = []
         for (d, t), near in sorted(places.items()):
-            wanted, best = self.shingles[t], (0.0, 0)
+            wanted, decisive, best = self.shingles[t], self.decisive[t], (0.0, 0)
             for a, b in sorted(set(near)):
                 a, b = max(bounds[d], a - self.lengths[t]), min(bounds[d + 1], b + self.lengths[t])
                 there = np.isin(hashes[a:b], wanted)
                 share = len(np.intersect1d(hashes[a:b][there], wanted)) / len(wanted)
-                if share > best[0]:
+                if share > best[0] and np.isin(decisive, hashes[a:b]).all():
                     best = (share, int(a + np.argmax(there) - bounds[d]))
             if best[0] >= CONTAINMENT - 1e-9:
                 found.append((d, t, *best))
@@ -136,7 +146,7 @@ class Index:
 def build_index(templates: dict[str, str]) -> Index:
     names = sorted(templates)
     keys: dict[int, list] = {}
-    parts, lengths, classes = [], [], []
+    parts, lengths, classes, decisive = [], [], [], []
     for t, name in enumerate(names):
         (words,) = word_chunks(pa.array([templates[name]]))
         bounds, hashes = _runs(words)
@@ -144,6 +154,10 @@ def build_index(templates: dict[str, str]) -> Index:
         _, start, stop = windows(bounds, size)
         keys.setdefault(size, []).append((window_bands(hashes, start, stop).reshape(-1), t))
         parts.append(np.sort(np.array(sorted(set(hashes.tolist())), np.uint64)))
+        said = [words.data[a:b].tobytes().decode().lower() for a, b in zip(words.starts, words.ends)]
+        telling = [i for i, w in enumerate(said) if w in VARIANTS or any(c.isdigit() for c in w)]
+        at = {i for k in telling for i in range(k - SHINGLE_WORDS + 1, k + 1) if 0 <= i < len(hashes)}
+        decisive.append(np.unique(hashes[sorted(at)]))
         lengths.append(len(words.hashes))
         classes.append(size)
     ordered = {}
@@ -153,7 +167,7 @@ def build_index(templates: dict[str, str]) -> Index:
         order = np.argsort(key, kind="stable")
         ordered[size] = key[order], owner[order]
     known = np.array(sorted({x for p in parts for x in p.tolist()}), np.uint64)
-    return Index(names, classes, ordered, parts, lengths, known)
+    return Index(names, classes, ordered, parts, lengths, known, decisive)
 
 
 def licenses(templates: dict[str, str] | None = None):

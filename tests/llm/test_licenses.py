@@ -72,3 +72,12 @@ def test_query_equals_brute_force(spark, folder):
         i: ",".join(sorted(found)) for i, found in expected.items() if found
     }
     assert any(expected.values())
+
+
+def test_versions_and_variants_are_told_apart():
+    gpl = "This work is licensed under the GNU General Public License, version {}"
+    mpl = licenses.TEMPLATES["mpl-2.0"]
+    texts = [gpl.format(2), gpl.format(3), mpl, mpl.replace("2.0", "1.1"), *licenses.TEMPLATES.values()]
+    found = [set(x) for x in scan(texts)]
+    assert found[:4] == [{"gpl-2"}, {"gpl-3"}, {"mpl-2.0"}, set()]
+    assert found[4:] == [{name} for name in licenses.TEMPLATES]
