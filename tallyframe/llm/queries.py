@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm import (
@@ -19,6 +19,7 @@ from tallyframe.llm import (
     mixing,
     negatives,
     quality,
+    repair,
     tokens,
     toxicity,
 )
@@ -139,6 +140,24 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
+
+    def said(name: str) -> Column:
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    fault = F.crc32(F.concat(said("conv_id"), F.lit(":"), said("turn")).cast("binary")) % 20
+    text = F.when(fault == 1, F.lit("")).when(fault == 2, F.regexp_replace(said("text"), "[.!?]", "")).otherwise(said("text"))
+    damaged = turns.select(
+        "conv_id",
+        "turn",
+        F.when(fault == 4, F.lit("user")).otherwise(said("role")).alias("role"),
+        text.alias("text"),
+        F.when(fault == 0, F.lit(0)).when(fault == 3, F.lit(2)).otherwise(F.lit(1)).alias("copies"),
+    )
+    return repair.repair_report(damaged, F.col("copies"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_chat_format": op1_chat_format,
@@ -153,6 +172,7 @@ def queries() -> dict[str, Query]:
         "op10_line_dedup": op10_line_dedup,
         "op11_token_count": op11_token_count,
         "op12_hard_negatives": op12_hard_negatives,
+        "op13_conversation_repair": op13_conversation_repair,
     }
 
 
