@@ -184,8 +184,53 @@ def _escaped_sql(text: str) -> str:
     return rf"regexp_replace({text}, '([<\[])(\\*)(\||/?s>|/?INST\])', '\1\\\2\3', 'g')"
 
 
+_REPAIR_SQL = r"""WITH RECURSIVE bits(n, k, c) AS (
+  SELECT range, 0, range FROM range(256) UNION ALL
+  SELECT n, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY n) AS crcs FROM bits WHERE k = 8),
+told AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(4294967295, list_reduce(
+    list_concat([4294967295], list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' ||
+      coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda x, y: xor(x >> 8, crcs[1 + xor(x & 255, y)]))) % 20 AS fault FROM conversations, crc),
+damaged AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role, CASE fault WHEN 1 THEN ''
+    WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM told, range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again FROM numbered),
+turns AS (SELECT *, left(role, 1) AS initial, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
+    WHEN again THEN 'duplicate' WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 'truncated' ELSE '' END AS fault,
+  coalesce(lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1), 'su') AS pair FROM placed),
+convs AS (SELECT conv_id, count(initial) AS n, count(DISTINCT turn) AS n_seen, max(turn) - min(turn) + 1 AS width,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN turns t USING (conv_id) GROUP BY conv_id),
+inserts(state, n, reached, said) AS (SELECT s, 0, s, '' FROM (VALUES (''), ('s'), ('u'), ('a')) v(s) UNION ALL
+  SELECT state, n + 1, CASE reached WHEN 'u' THEN 'a' ELSE 'u' END, said || chr(10) || CASE reached WHEN 'u' THEN 'assistant:'
+    ELSE 'user:' END FROM inserts WHERE n < 3),
+best(conv_id, i, state, cost, audit, said) AS (SELECT conv_id, 0, '', 0, '', '' FROM convs UNION ALL
+  SELECT b.conv_id, CAST(t.i AS INTEGER), next, b.cost + 5 * n + price AS paid, b.audit || repeat('I', n) || edit AS edits,
+    b.said || s.said || CASE edit WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || role || ':' || text
+      ELSE chr(10) || CASE next WHEN 'u' THEN 'user:' ELSE 'assistant:' END || text END
+  FROM best b JOIN turns t ON b.conv_id = t.conv_id AND t.i = b.i + 1 JOIN inserts s ON b.state = s.state,
+    LATERAL (VALUES ('D', reached, 2),
+      ('K', initial, CASE WHEN fault IN ('blank', 'duplicate') OR reached || initial NOT IN ('s', 'u', 'su', 'ua', 'au')
+        OR initial = '' THEN NULL WHEN fault = 'truncated' THEN 5 ELSE 0 END),
+      ('R', CASE reached WHEN 'u' THEN 'a' ELSE 'u' END,
+        CASE WHEN fault IN ('blank', 'duplicate') THEN NULL WHEN fault = 'truncated' THEN 6 ELSE 1 END)) e(edit, next, price)
+  WHERE price IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY b.conv_id, next ORDER BY paid, edits) = 1),
+ends AS (SELECT b.conv_id, b.cost + 5 * s.n AS cost, audit || repeat('I', s.n) AS audit, b.said || s.said AS said
+  FROM best b JOIN convs c ON b.conv_id = c.conv_id AND b.i = c.n JOIN inserts s ON b.state = s.state WHERE reached IN ('', 'a')
+  QUALIFY row_number() OVER (PARTITION BY b.conv_id ORDER BY b.cost + 5 * s.n, audit || repeat('I', s.n)) = 1)
+SELECT conv_id, coalesce(width - n_seen, 0) AS gaps, blank, duplicate, truncated, illegal, CAST(cost AS BIGINT) AS cost, audit,
+  sha256(substr(said, 2)) AS repaired_sha256 FROM convs JOIN ends USING (conv_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op13_conversation_repair": _REPAIR_SQL,
         "op1_chat_format": f"""WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '{FORGED}' UNION ALL SELECT -1, 1, 'assistant', '{FORGED}'),

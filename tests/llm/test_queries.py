@@ -12,7 +12,7 @@ SQL = llm.oracle_sql()
 def test_registered():
     assert set(llm.queries()) <= set(contract.queries())
     assert set(SQL) <= set(contract.oracle_sql())
-    assert {int(name[2:].split("_")[0]) for name in llm.queries()} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in llm.queries()} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
