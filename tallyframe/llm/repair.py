@@ -378,7 +378,7 @@ _PLACE = {"part": "int", "number": "bigint"}
 _TURNS = "array<struct<role:string,text:string,edit:string>>"
 
 
-def sorted_chunks(turns: DataFrame, copies: Column, rows: int, size: int) -> DataFrame:
+def sorted_chunks(work: Workspace, turns: DataFrame, copies: Column, rows: int, size: int) -> DataFrame:
     """The rows as chunks of one conversation, in its order by part and number."""
     said = turns.select(
         "conv_id",
@@ -388,7 +388,7 @@ def sorted_chunks(turns: DataFrame, copies: Column, rows: int, size: int) -> Dat
         copies.cast("bigint").alias("copies"),
     )
     when = F.struct(F.col("turn").isNotNull(), F.col("turn"))
-    again = (
+    again = work.keep(
         said.where("copies > 0")
         .select("conv_id", "role", F.md5("text").alias("digest"), when.alias("at"))
         .groupBy("conv_id", "role", "digest")
@@ -459,8 +459,11 @@ def _entries(work: Workspace, chunks: DataFrame, costs: Costs, block: int) -> Da
 def _solved(turns: DataFrame, copies: Column, costs: Costs, block: int, rows: int, size: int) -> tuple[DataFrame, DataFrame]:
     """The solved chunks of conversations with one chunk, and of those with several."""
     work = Workspace(turns.sparkSession, "repair")
-    chunks = work.keep(sorted_chunks(turns, copies, rows, size))
-    several = chunks.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("conv_id").alias("of"))
+    chunks = work.keep(sorted_chunks(work, turns, copies, rows, size))
+    # Written, so that Spark knows its size and need not shuffle the chunks where it is small.
+    several = work.keep(
+        chunks.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("conv_id").alias("of"))
+    )
     same = F.col("conv_id").eqNullSafe(F.col("of"))
     shared = work.keep(chunks.join(several, same, "left_semi"))
     last = tables_for(costs, block).last
