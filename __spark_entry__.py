@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 
 from tallyframe import operators as op
 from tallyframe import sources as src
-from tallyframe.functions import confidence, ref
+from tallyframe.functions import class_probability, confidence, ref
 from tallyframe.plans import score_file
 
 try:  # the operators of this package and their pipeline are optional
@@ -43,8 +44,12 @@ FIXED = op.LinearModel(
     [-3.0, 2.5, -0.5],
 )
 
-_staged: dict[tuple[str, str], str] = {}
-_fitted: dict[tuple[str, str, op.ModelParams], op.Classifier] = {}
+_staged: dict[tuple[str, ...], str] = {}
+_fitted: dict[tuple, op.Classifier] = {}
+
+TWO_CLASSES = op.ModelParams(label_handle_invalid="error")
+HELD_OUT, FOLDS = 0.2, 3
+CANDIDATES = [TWO_CLASSES, op.ModelParams(label_handle_invalid="error", reg_param=0.1)]
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -78,6 +83,26 @@ def fitted(spark: SparkSession, sf_dir: str, params: op.ModelParams = op.ModelPa
     return _fitted[key]
 
 
+def folded_people(spark: SparkSession, sf_dir: str, n_folds: int) -> DataFrame:
+    """The training people with a fold of equal class shares, written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, f"{n_folds} folds")
+    rows = op.with_fold(training_people(spark, sf_dir), "label", [1 / n_folds] * n_folds)
+    if key not in _staged:
+        path = src.run_folder(spark, "folds")
+        src.stage_parquet(rows, path)
+        _staged[key] = path
+    return spark.read.schema(rows.schema).parquet(_staged[key])
+
+
+def held_out(spark: SparkSession, sf_dir: str) -> tuple[op.Classifier, DataFrame]:
+    """The two-class classifier of four fifths of the people, and the fifth it has not seen."""
+    training, rest = op.held_out_split(training_people(spark, sf_dir), "label", HELD_OUT)
+    key = (spark.sparkContext.applicationId, sf_dir, "held out")
+    if key not in _fitted:
+        _fitted[key] = op.fit_classifier(training, TWO_CLASSES)
+    return _fitted[key], rest
+
+
 def release_staged(spark: SparkSession) -> None:
     """Delete the staged people tables of this application and forget what was fitted on them."""
     app = spark.sparkContext.applicationId
@@ -377,6 +402,77 @@ def confidence_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(op.confidence_bands(op.confidence_cells(frozen(spark, sf_dir))))
 
 
+# --- ranking, held-out rows, folds, saved models
+
+
+def roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(op.roc_summary(op.roc_points(frozen(spark, sf_dir))))
+
+
+def _tied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of two decimals, so that most rows are tied; some labels are missing."""
+    scored = src.frozen_scores(src.people_nulls(spark, sf_dir, ["age", "workclass", "fnlwgt", "label"]).where("age IS NOT NULL AND workclass IS NOT NULL"))
+    p1 = F.round(class_probability(scored, "probability", 1), 2)
+    known = F.when(F.col("label").isNotNull(), F.col("label_indexed"))
+    return scored.select(F.array(1.0 - p1, p1).alias("probability"), known.alias("label_indexed"))
+
+
+def roc_auc_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(op.roc_summary(op.roc_points(_tied(spark, sf_dir))))
+
+
+def roc_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.roc_points(_tied(spark, sf_dir))
+
+
+def held_out_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per class and part, of people with missing labels."""
+    rows = src.stage_parquet(src.people_nulls(spark, sf_dir), src.run_folder(spark, "held_out_counts"))
+    parts = op.with_fold(rows, "label", [1 - HELD_OUT, HELD_OUT])
+    return parts.groupBy("label", "fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+def held_out_margins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many held-out rows of each class the classifier has judged."""
+    classifier, rest = held_out(spark, sf_dir)
+    cells = op.confusion_counts(op.bulk_score(classifier, rest))
+    label = op.decoded(classifier.labels, "label_indexed").alias("label")
+    return cells.groupBy(label).agg(F.sum("n").alias("n"))
+
+
+def held_out_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classifier, rest = held_out(spark, sf_dir)
+    return op.metrics_report(op.confusion_counts(op.bulk_score(classifier, rest)), classifier.positive_index)
+
+
+def fold_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return folded_people(spark, sf_dir, FOLDS).groupBy("label", "fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+def fold_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the fit without each fold is optimal on the rows it was given."""
+    rows = folded_people(spark, sf_dir, FOLDS)
+    found = [
+        op.fit_optimality(classifier, rows.where(F.col("fold") != fold), 1e-4).select(F.lit(fold).alias("fold"), "feature", "ok")
+        for (_, fold), classifier in op.fit_folds(rows, [TWO_CLASSES]).items()
+    ]
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+def cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.cross_validation(folded_people(spark, sf_dir, FOLDS), CANDIDATES)
+
+
+def score_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """People scored by a model that was saved and loaded again, after an older version of it."""
+    root = src.run_folder(spark, "models")
+    older = op.LinearModel(FIXED.params, FIXED.category_labels, FIXED.weights, [0.0, 0.0, 0.0])
+    for model in (older, FIXED):
+        op.save_model(spark, model, root)
+    scored = op.bulk_score(op.load_model(spark, root), src.people(spark, sf_dir))
+    return _fixed_scores(scored, [*src.PEOPLE_COLUMNS, "label_indexed"])
+
+
 # --- the contract
 
 
@@ -428,7 +524,7 @@ def core_queries() -> dict[str, Query]:
         "prediction_sample": prediction_sample,
         "score_new": score_new,
         "train_report": train_report,
-        "fit_optimality": fit_optimality("keep", 5e-3),
+        "fit_optimality": fit_optimality("keep", 1e-4),
         "fit_optimality_two_classes": fit_optimality("error", 1e-4),
         "train_margins": train_margins,
         "score_fixed": score_fixed,
@@ -440,6 +536,16 @@ def core_queries() -> dict[str, Query]:
         "weighted_metrics": weighted_metrics,
         "binary_metrics": binary_metrics,
         "class1_probability_summary": class1_probability_summary,
+        "roc_auc": roc_auc,
+        "roc_auc_ties": roc_auc_ties,
+        "roc_curve": roc_curve,
+        "held_out_counts": held_out_counts,
+        "held_out_margins": held_out_margins,
+        "held_out_report": held_out_report,
+        "fold_counts": fold_counts,
+        "fold_optimality": fold_optimality,
+        "cross_validation": cross_validation,
+        "score_saved": score_saved,
         "prediction_summary": prediction_summary,
         "confidence_stats": confidence_stats,
         "confidence_bands": confidence_bands,
@@ -500,6 +606,42 @@ metrics AS (
 )
 
 
+# The rows that roc_auc_ties scores: two decimals, some labels missing.
+_TIED = (
+    _NULLS
+    + """, tied AS (SELECT round(round(1 / (1 + exp(-(4.0::DOUBLE - 0.00008::DOUBLE * fnlwgt + 0.01::DOUBLE * (age - 25)
+      + CASE WHEN workclass = 'A' THEN 0.2::DOUBLE ELSE 0.0::DOUBLE END))), 12), 2) AS p1,
+    CASE label WHEN '<=50K' THEN 1.0::DOUBLE WHEN '>50K' THEN 0.0::DOUBLE END AS label_indexed
+  FROM holes WHERE age IS NOT NULL AND workclass IS NOT NULL),
+scored AS (SELECT * FROM tied WHERE label_indexed IS NOT NULL)"""
+)
+
+_POINTS = """points AS (SELECT *, sum(positives) OVER above AS tp, sum(negatives) OVER above AS fp FROM
+    (SELECT p1 AS threshold, count(*) FILTER (label_indexed = 1) AS positives, count(*) FILTER (label_indexed = 0) AS negatives
+     FROM scored GROUP BY p1) WINDOW above AS (ORDER BY threshold DESC))"""
+
+# The area from rank sums, ties at their mean rank; the rest from the points of the curve.
+_ROC = f"""ranked AS (SELECT label_indexed,
+    rank() OVER (ORDER BY p1) + (count(*) OVER (PARTITION BY p1) - 1) / 2.0::DOUBLE AS place FROM scored),
+sizes AS (SELECT count(*) FILTER (label_indexed = 1) AS n, count(*) FILTER (label_indexed = 0) AS m,
+    CAST(sum(place) FILTER (label_indexed = 1) AS DOUBLE) AS places FROM ranked),
+{_POINTS},
+far AS (SELECT threshold, tp, fp, positives, abs(tp / CAST(n AS DOUBLE) - fp / CAST(m AS DOUBLE)) AS distance, n FROM points, sizes)
+SELECT n AS n_positive, m AS n_negative, round((places - n * (n + 1) / 2.0::DOUBLE) / n / m, 6) AS auc,
+  (SELECT round(sum(positives * (tp / CAST(tp + fp AS DOUBLE))) / any_value(n), 6) FROM far) AS average_precision,
+  (SELECT round(max(distance), 6) FROM far) AS ks,
+  (SELECT round(threshold, 6) FROM far ORDER BY distance DESC, threshold DESC LIMIT 1) AS best_threshold
+FROM sizes"""
+
+
+def _fold_sql(relation: str, cuts: list[float]) -> str:
+    """Sizes of parts that end at these shares of a class, halves rounded up."""
+    return f"""sized AS (SELECT label, CAST(count(*) AS DOUBLE) AS n FROM {relation} GROUP BY label),
+parts AS (SELECT label, unnest(range({len(cuts)})) AS fold, unnest({[0.0, *cuts[:-1]]}) AS low, unnest({cuts}) AS high, n FROM sized),
+folds AS (SELECT label, CAST(fold AS INTEGER) AS fold,
+    CAST(floor(n * CAST(high AS DOUBLE) + 0.5::DOUBLE) - floor(n * CAST(low AS DOUBLE) + 0.5::DOUBLE) AS BIGINT) AS n FROM parts)"""
+
+
 def _union(columns: list[str], select: str) -> str:
     return " UNION ALL ".join(select.format(i=i, c=c) for i, c in enumerate(columns))
 
@@ -700,6 +842,18 @@ SELECT round(accuracy, 6) AS accuracy, round(p_1, 6) AS positive_precision,
   round(r_1, 6) AS positive_recall, round(f_1, 6) AS positive_f1 FROM metrics""",
         "class1_probability_summary": f"WITH {_SCORED}, class1 AS (SELECT p1 AS class1_probability FROM scored) "
         + _summary_sql("class1", ["class1_probability"], 6),
+        "roc_auc": f"WITH {_SCORED}, {_ROC}",
+        "roc_auc_ties": f"WITH {_TIED}, {_ROC}",
+        "roc_curve": f"""WITH {_TIED}, {_POINTS}
+SELECT threshold, positives, negatives, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp FROM points""",
+        "held_out_counts": f"""WITH {_NULLS}, {_fold_sql("holes", [1 - HELD_OUT, 1.0])}
+SELECT label, fold, n FROM folds WHERE n > 0""",
+        "held_out_margins": f"""WITH {_PEOPLE}, {_fold_sql("people", [1 - HELD_OUT, 1.0])}
+SELECT label, n FROM folds WHERE fold = 1""",
+        "fold_counts": f"""WITH {_PEOPLE}, {_fold_sql("people", [k / FOLDS for k in range(1, FOLDS + 1)])}
+SELECT label, fold, n FROM folds""",
+        "fold_optimality": f"""WITH slots AS ({_optimality_sql([1])})
+SELECT CAST(fold AS INTEGER) AS fold, feature, ok FROM slots, (SELECT unnest(range({FOLDS})) AS fold)""",
         "numeric_summary_narrowed": "WITH prices AS (SELECT l_extendedprice, l_extendedprice * l_discount AS rebate, "
         "ln(l_extendedprice) * 1e-3 AS scaled FROM lineitem) " + _summary_sql("prices", ["l_extendedprice", "rebate", "scaled"], 4),
         "fit_optimality": _optimality_sql([0, 1, 2]),
@@ -708,6 +862,8 @@ SELECT round(accuracy, 6) AS accuracy, round(p_1, 6) AS positive_precision,
 SELECT count(*) FILTER (label = '<=50K') AS negatives, count(*) FILTER (label = '>50K') AS positives, count(*) AS n_rows
 FROM people""",
         "score_fixed": f"""WITH {_PEOPLE}, {_fixed_sql("people")}
+SELECT {", ".join(src.PEOPLE_COLUMNS)}, {_FIXED_INDEX}, prediction, p0, p1, p2, {_FIXED_LABEL} FROM fixed""",
+        "score_saved": f"""WITH {_PEOPLE}, {_fixed_sql("people")}
 SELECT {", ".join(src.PEOPLE_COLUMNS)}, {_FIXED_INDEX}, prediction, p0, p1, p2, {_FIXED_LABEL} FROM fixed""",
         "score_fixed_new": f"""WITH {_NULLS}, {_fixed_sql("holes")}
 SELECT {", ".join(src.FEATURE_SCHEMA.names)}, prediction, p0, p1, p2, {_FIXED_LABEL} FROM fixed""",

@@ -18,6 +18,7 @@ from tallyframe.operators.features import (
     slot_names,
     slot_totals,
 )
+from tallyframe.operators.folds import held_out_split, with_fold
 from tallyframe.operators.model import (
     Classifier,
     ModelParams,
@@ -28,6 +29,7 @@ from tallyframe.operators.model import (
     fit_classifier,
     score,
 )
+from tallyframe.operators.model_store import load_model, save_model, versions
 from tallyframe.operators.profiling import (
     category_cells,
     column_profile,
@@ -44,6 +46,7 @@ from tallyframe.operators.profiling import (
     schema_listing,
 )
 from tallyframe.operators.quantiles import numeric_summary
+from tallyframe.operators.ranking import roc_points, roc_summary
 from tallyframe.operators.report import metrics_report, write_report
 from tallyframe.operators.scoring import LinearModel, bulk_score, fit_optimality, linear_model, prediction_sample, scorable
 from tallyframe.operators.summary import (
@@ -52,6 +55,7 @@ from tallyframe.operators.summary import (
     confidence_stats,
     prediction_summary,
 )
+from tallyframe.operators.validation import candidate_ranking, cross_validation, fit_folds, fits_at_once
 
 __all__ = [
     "Classifier",
@@ -62,6 +66,7 @@ __all__ = [
     "build_pipeline",
     "bulk_score",
     "calibration",
+    "candidate_ranking",
     "category_cells",
     "category_counts",
     "category_indexers",
@@ -74,19 +79,24 @@ __all__ = [
     "confidence_stats",
     "confusion_counts",
     "confusion_matrix",
+    "cross_validation",
     "crosstab",
     "decoded",
     "describe_numeric",
     "describe_string",
     "distinct_labels",
     "fit_classifier",
+    "fit_folds",
     "fit_optimality",
+    "fits_at_once",
     "head_rows",
+    "held_out_split",
     "index_counts",
     "label_check",
-    "linear_model",
     "label_distribution",
     "label_proportions",
+    "linear_model",
+    "load_model",
     "metrics_report",
     "missing_counts",
     "numeric_summary",
@@ -94,11 +104,16 @@ __all__ = [
     "outcome_cells",
     "prediction_sample",
     "prediction_summary",
+    "roc_points",
+    "roc_summary",
     "row_count",
+    "save_model",
     "schema_listing",
     "score",
     "slot_names",
     "slot_totals",
+    "versions",
     "weighted_metrics",
+    "with_fold",
     "write_report",
 ]

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tallyframe.functions import class_probability, ref, share
 from tallyframe.operators.quantiles import numeric_summary
 from tallyframe.operators.summary import confidence_measures
+from tallyframe.sources.staging import run_folder, stage_parquet
 
 
 def require_columns(df: DataFrame, *names: str) -> None:
@@ -129,8 +130,10 @@ def weighted_metrics(confusion: DataFrame) -> DataFrame:
 def class1_probability_summary(scored: DataFrame, probability_col: str = "probability") -> DataFrame:
     """count, mean, stddev, min, exact quartiles and max of the probability of class 1.
 
-    A probability vector of length one contributes its only entry.
+    A probability vector of length one contributes its only entry. The probabilities are written once, as one
+    column of doubles, so that the passes of the quantiles do not score the rows again.
     """
     require_columns(scored, probability_col)
-    p = scored.select(class_probability(scored, probability_col, 1).alias("class1_probability"))
-    return numeric_summary(p, ["class1_probability"])
+    p = scored.select(class_probability(scored, probability_col, 1).cast("double").alias("class1_probability"))
+    staged = stage_parquet(p, run_folder(scored.sparkSession, "class1_probability"))
+    return numeric_summary(staged, ["class1_probability"])

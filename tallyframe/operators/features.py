@@ -98,8 +98,9 @@ def slot_totals(assembled: DataFrame, vector: str = "features") -> DataFrame:
 
     Only stored entries are laid out as rows: one per column of a sparse row, not one per slot.
     They are summed per task before the shuffle, which moves one row per slot and task.
-    ``exact_total`` is a decimal sum, past 2**53 too; it is NULL for a slot with an entry that nine
-    decimals do not hold exactly. (The vector summarizer derives sums from means, which is inexact.)
+    ``exact_total`` is exact past 2**53 too: whole entries below 2**53 are summed in two halves of a long, others as
+    decimals; it is NULL for a slot with an entry that nine decimals do not hold exactly. (The
+    vector summarizer derives sums from means, which is inexact.)
     """
     vectors = assembled.select(F.unwrap_udt(ref(vector)).alias("v")).select(
         F.coalesce("v.indices", F.sequence(F.lit(0), F.size("v.values") - 1)).alias("slot"),
@@ -110,14 +111,23 @@ def slot_totals(assembled: DataFrame, vector: str = "features") -> DataFrame:
         F.col("id").cast("int").alias("slot"), F.lit(0.0).alias("entry")
     )
     entries = vectors.select(F.inline(F.arrays_zip("slot", "entry"))).unionByName(every_slot)
-    decimal = F.expr("try_cast(entry AS decimal(28, 9))")
-    held = F.coalesce(decimal.cast("double") == F.col("entry"), F.lit(False))
+    whole = F.expr("entry = floor(entry) AND abs(entry) < 9007199254740992D")
+    count = F.expr("CASE WHEN entry = floor(entry) AND abs(entry) < 9007199254740992D THEN cast(entry AS bigint) END")
+    # Where all entries are whole, as most slots' are, these are NULL and cost nothing.
+    broken = F.when(~F.col("whole"), F.expr("try_cast(entry AS decimal(28, 9))"))
+    held = F.col("whole") | F.coalesce(F.col("broken").cast("double") == F.col("entry"), F.lit(False))
+    entries = entries.select("slot", "entry", whole.alias("whole"), count.alias("count")).withColumn("broken", broken)
+    high, low = F.sum(F.shiftright("count", 26)), F.sum(F.col("count").bitwiseAND(F.lit((1 << 26) - 1)))
+    wide = "decimal(38, 9)"
+    exact = (
+        F.coalesce(high, F.lit(0)).cast("decimal(28, 0)") * F.lit(1 << 26) + F.coalesce(low, F.lit(0))
+    ).cast(wide) + F.coalesce(F.sum("broken"), F.lit(0)).cast(wide)
     feature = F.from_json(F.lit(json.dumps(names)), "array<string>")
     return (
         entries.groupBy("slot")
         .agg(
             F.sum("entry").alias("total"),
-            F.when(F.bool_and(held), F.sum(decimal)).alias("exact_total"),
+            F.when(F.bool_and(held), exact.cast(wide)).alias("exact_total"),
             F.count_if(F.col("entry") != 0).alias("non_zero"),
         )
         .select(

@@ -221,6 +221,22 @@ def test_optimality_fails_for_a_disturbed_weight(spark):
         assert not scoring.fit_optimality(none, rows, close).where("not ok").isEmpty()
 
 
+def test_optimality_notices_a_tenth_of_the_smallest_slot(spark):
+    """The default form, at the tolerance its query has: ten percent of any weight that is not zero shows."""
+    people = contract.training_people(spark, SF_DIR)
+    fit = scoring.linear_model(contract.fitted(spark, SF_DIR))
+    assert scoring.fit_optimality(fit, people, 1e-4).where("not ok").isEmpty()
+    spread = [people.agg({c: "stddev"}).first()[0] for c in fit.params.numeric_cols]
+    spread += [0.4] * (len(fit.slots) - len(spread))
+    sizes = [(abs(w) * spread[i], k, i) for k, row in enumerate(fit.weights) for i, w in enumerate(row) if w]
+    size, k, i = min(x for x in sizes if x[0] > 0.02)
+    weights = [list(row) for row in fit.weights]
+    weights[k][i] *= 1.1
+    worse = scoring.LinearModel(fit.params, fit.category_labels, weights, fit.intercepts)
+    broken = scoring.fit_optimality(worse, people, 1e-4).where("not ok")
+    assert not broken.where(f"class_index = {k} and slot = {i}").isEmpty(), (size, sizes)
+
+
 def test_exact_slot_sums(spark):
     big = 2**53
     frame = spark.createDataFrame([(float(big), 0.5), (1.0, 0.25), (1.0, 0.0), (1.0, 1e300)], "a double, b double")

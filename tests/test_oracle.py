@@ -18,6 +18,8 @@ ROWS_ONLY = {
     "prediction_sample",
     "score_new",
     "train_report",
+    "held_out_report",
+    "cross_validation",
 }
 
 
