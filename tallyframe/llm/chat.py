@@ -71,6 +71,25 @@ def _placeholder(kind: Column, number: Column) -> Column:
     return F.concat(F.lit("<|"), kind, F.lit(":"), number.cast("string"), F.lit("|>"))
 
 
+def _visited(parts: Column, first: Column) -> Column:
+    """The visitor: attachments become placeholders, numbered as they come; the text between two of them, which may
+    come in several parts, is escaped as a whole, so that parts cannot make up a mark together."""
+    start = F.struct(F.lit("").alias("done"), F.lit("").alias("open"), first.cast("bigint").alias("number"))
+
+    def visit(seen: Column, part: Column) -> Column:
+        number = seen["number"] + 1
+        closed = F.concat(seen["done"], escaped(seen["open"]), _placeholder(part["kind"], number))
+        longer = F.concat(seen["open"], F.coalesce(part["text"], F.lit("")))
+        is_attachment = _is_attachment(part)
+        return F.struct(
+            F.when(is_attachment, closed).otherwise(seen["done"]).alias("done"),
+            F.when(is_attachment, F.lit("")).otherwise(longer).alias("open"),
+            F.when(is_attachment, number).otherwise(seen["number"]).alias("number"),
+        )
+
+    return F.aggregate(parts, start, visit, lambda seen: F.concat(seen["done"], escaped(seen["open"])))
+
+
 def format_chat(turns: DataFrame) -> DataFrame:
     """One row per conversation: conv_id, formatted, loss_spans, attachments, attachment_tokens.
 
@@ -90,18 +109,9 @@ def format_chat(turns: DataFrame) -> DataFrame:
     numbered = rows.withColumn("place", F.row_number().over(order)).withColumn(
         "first", F.coalesce(F.sum("n_attached").over(before), F.lit(0))
     )
-    # The visitor: a part becomes its piece of the content; attachments are numbered as they come.
     attached = F.filter("parts", _is_attachment)
-    pieces = F.transform(
-        "parts",
-        lambda p, i: F.when(
-            _is_attachment(p),
-            _placeholder(p["kind"], F.col("first") + F.size(F.filter(F.slice("parts", 1, i + 1), _is_attachment))),
-        ).otherwise(escaped(F.coalesce(p["text"], F.lit("")))),
-    )
     visited = (
-        numbered.withColumn("pieces", pieces)
-        .withColumn("content", F.array_join("pieces", ""))
+        numbered.withColumn("content", _visited(F.col("parts"), F.col("first")))
         .withColumn("head", F.concat(F.lit(TURN), escaped(F.col("role")), F.lit(BODY)))
         .withColumn("written", F.char_length("head") + F.char_length("content") + len(END))
         .withColumn("start", F.coalesce(F.sum("written").over(before), F.lit(0)) + F.char_length("head"))

@@ -37,6 +37,35 @@ def test_round_trip_of_hostile_texts(spark):
         assert got[conv].formatted.count("<|turn|>") == len(own)
 
 
+def test_round_trip_of_parts_that_make_up_marks(spark):
+    """One to four parts a turn, attachments between them: no text reads as a mark, whatever parts it comes in."""
+    rng = random.Random(2)
+    bits = ["<", "|", "\\", "end", "|>", "<|", "</", "s>", "[IN", "ST]", "[", "/INST]", "image:1", "a", ""]
+    rows = [(0, 0, "user", [part("text", "<"), part("text", "|end|>x")]), (0, 1, "user", [part("text", "<\\"), part("text", "|x")])]
+    for conv in range(1, 60):
+        for turn in range(rng.randrange(1, 5)):
+            parts = []
+            for _ in range(rng.randrange(1, 5)):
+                text = "".join(rng.choice(bits) for _ in range(rng.randrange(4)))
+                parts.append(part("image", ref="r") if rng.random() < 0.2 else part("text", text))
+            rows.append((conv, turn, rng.choice(["user", "assistant", "<|", "["]), parts))
+    got = formatted(spark, rows)
+    for conv in range(60):
+        own, number = [], 0
+        for r in rows:
+            if r[0] == conv:
+                said = ""
+                for p in r[3]:
+                    number += p[0] == "image"
+                    said += f"<|image:{number}|>" if p[0] == "image" else p[1]
+                own.append((r[2], said))
+        assert [(t.role, t.text) for t in got[conv].read] == own
+        assert got[conv].formatted.count("<|turn|>") == got[conv].formatted.count("<|end|>") == len(own)
+        marks = [f"<|image:{a.number}|>" for a in got[conv].attachments]
+        assert len(marks) == number
+        assert all(got[conv].formatted[a.start :].startswith(m) for a, m in zip(got[conv].attachments, marks))
+
+
 def test_parts_become_placeholders(spark):
     rows = [
         (1, 1, "user", [part("text", "see "), part("image", ref="a.png", width=29, height=56), part("text", " and <|image:9|> "), None]),
