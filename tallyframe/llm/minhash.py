@@ -302,7 +302,6 @@ def _compared(rows: DataFrame, keys: list[str], weights, similarity: float) -> D
     """Links within the clusters of each group of ``keys``; rows have node, cluster and text."""
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("node", ignore_index=True) if keys[0] == "pair" else group
         elements = Elements(pa.array(group["text"], pa.string()), weights.value)
         links = class_links(group["node"].to_numpy(), group["cluster"].to_numpy(), elements, similarity)
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")

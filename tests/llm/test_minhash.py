@@ -109,6 +109,19 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, block):
     assert sorted(r.doc_id for r in stay.collect()) == sorted(100 + c for c in set(classes.values()))
 
 
+@pytest.mark.parametrize("block", [256, 8])
+def test_a_chain_of_texts_that_share_ids(spark, monkeypatch, block):
+    """Sixty texts, each one word from the next, two to an id: no link is lost between blocks."""
+    monkeypatch.setattr(minhash, "BLOCK_DOCS", block)
+    words = [f"w{k}" for k in range(80)]
+    texts = []
+    for k in range(60):
+        words[k] = f"x{k}"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame([(k // 2, t) for k, t in enumerate(texts)], "doc_id bigint, text string")
+    assert {r.class_id for r in minhash.near_duplicates(docs).collect()} == {0}
+
+
 def test_repeated_rows_nulls_and_empty_tables(spark):
     long = "a b c d e f g h"
     rows = [(1, long, "s"), (1, long, "s"), (None, long, "s"), (2, long, None), (3, None, "s"), (4, "", "s"), (3, None, "s")]
