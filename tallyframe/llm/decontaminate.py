@@ -12,10 +12,10 @@ ten), which is all that the binary search reads.
 
 Defined results: null and empty texts have no words and no hits; an item without words has no
 window; repeated items with the same id count once, and an item without id marks words as hit but is
-not listed; repeated documents are answered row by row. An empty benchmark hits nothing.
+not listed. Ids that are not integers are taken as text. Repeated documents are answered row by row. An empty benchmark hits nothing.
 
-The test items reach the tasks as broadcast blocks of at most ``BLOCK_BYTES`` of text each (or one
-item longer than that). A benchmark of more than one block takes a pass over the documents for each.
+The test items reach the tasks as broadcast blocks of at most ``BLOCK_BYTES`` of text each (and one
+item more); repeated items are folded first. A benchmark of more than one block takes a pass over the documents for each.
 """
 
 from __future__ import annotations
@@ -26,26 +26,29 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyframe.llm.staging import Workspace, columns_of, fresh
 from tallyframe.llm.words import Words, split_words, text_bytes, word_chunks
+from tallyframe.operators.running import with_running_totals
 
 SHARD_BYTES = 2 << 20
 BLOCK_BYTES = 8 << 20
 _PAIRS_AT_ONCE = 1 << 20
 
-FOUND = (
-    "struct<n_words:bigint,spans:array<int>,"
-    "matches:array<struct<item_id:bigint,length:int,doc_word:int,item_word:int>>>"
-)
+
+def found_type(id_type: str = "bigint") -> str:
+    return (
+        "struct<n_words:bigint,spans:array<int>,"
+        f"matches:array<struct<item_id:{id_type},length:int,doc_word:int,item_word:int>>>"
+    )
 
 
 @dataclass
 class TestSet:
     """Test items as word hashes; suffixes that can start a window, grouped by the window's text."""
 
-    ids: np.ndarray  # int64, an item each
-    known: np.ndarray  # whether the item has an id
+    ids: pa.Array  # of whole numbers or text, an item each
     hashes: np.ndarray  # all words
     item: np.ndarray  # the item of each word
     stop: np.ndarray  # where the item of each word ends
@@ -56,7 +59,6 @@ class TestSet:
 
 
 def build_test_set(ids: pa.Array, texts: pa.Array, n: int) -> TestSet:
-    known = np.asarray(ids.is_valid())
     words = split_words(0, *(lambda data, at: (data[at[0] : at[-1]], at - at[0]))(*text_bytes(texts)))
     item = words.docs
     stop = words.begins[1:][item]
@@ -75,9 +77,7 @@ def build_test_set(ids: pa.Array, texts: pa.Array, n: int) -> TestSet:
     window = window.reshape(-1)
     order = np.argsort(window, kind="stable")
     bounds = np.searchsorted(window[order], np.arange(len(one) + 1))
-    return TestSet(
-        np.asarray(ids.fill_null(0), np.int64), known, words.hashes, item, stop, at[one], need[one], bounds, at[order]
-    )
+    return TestSet(ids, words.hashes, item, stop, at[one], need[one], bounds, at[order])
 
 
 def ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -225,7 +225,7 @@ def search_shard(words: Words, test: TestSet, spans: list[np.ndarray] | None = N
 
 
 def search_texts(texts: pa.Array, test: TestSet, known: pa.Array | None = None) -> pa.Array:
-    """The FOUND struct of each text; ``known`` has spans found before, which stay hit."""
+    """The found struct of each text; ``known`` has spans found before, which stay hit."""
     starts = np.concatenate(([0], np.cumsum(np.bincount(test.item, minlength=len(test.ids))))) if len(test.ids) else None
     n_words, span_counts, span_values, match_counts, matches = [], [], [], [], []
     for words in word_chunks(texts, SHARD_BYTES):
@@ -239,7 +239,7 @@ def search_texts(texts: pa.Array, test: TestSet, known: pa.Array | None = None)
         per_doc = np.zeros(words.n_docs, np.int64)
         for (d, k), (length, at, suffix) in sorted(best.items()):
             per_doc[d] += 1
-            matches.append((int(test.ids[k]) if test.known[k] else None, -length, at, suffix - int(starts[k])))
+            matches.append((test.ids[k].as_py(), -length, at, suffix - int(starts[k])))
         match_counts.append(per_doc)
     none = [np.zeros(0, np.int64)]
 
@@ -248,7 +248,7 @@ def search_texts(texts: pa.Array, test: TestSet, known: pa.Array | None = None)
 
     columns = list(zip(*matches)) if matches else [[], [], [], []]
     match = pa.StructArray.from_arrays(
-        [pa.array(columns[0], pa.int64()), *[pa.array(c, pa.int32()) for c in columns[1:]]],
+        [pa.array(columns[0], test.ids.type), *[pa.array(c, pa.int32()) for c in columns[1:]]],
         ["item_id", "length", "doc_word", "item_word"],
     )
     return pa.StructArray.from_arrays(
@@ -262,38 +262,43 @@ def search_texts(texts: pa.Array, test: TestSet, known: pa.Array | None = None)
 
 
 def with_matches(docs: DataFrame, benchmark: DataFrame, name: str = "found", n: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The documents with a column ``name`` of type FOUND: words, spans of words hit, longest match by item.
+    """The documents with a column ``name`` of ``found_type``: words, spans of words hit, longest match by item.
 
     ``docs`` needs ``text``, ``benchmark`` needs ``item_id`` and ``text``; other columns stay as they are.
     """
     spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text")
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    blocks = max(1, -(-size // block_bytes))
+    whole = isinstance(benchmark.schema["item_id"].dataType, T.IntegralType)
+    id_type, types = ("bigint", (pa.int64(), pa.string())) if whole else ("string", (pa.string(), pa.string()))
+    items = benchmark.select(F.col("item_id").cast(id_type).alias("item_id"), F.coalesce("text", F.lit("")).alias("text")).distinct()
+    items = items.withColumn("bytes", F.octet_length("text").cast("bigint"))
+    size = items.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     work = Workspace(spark, "decontaminate")
+    if size > block_bytes:
+        # Items of whole blocks by running bytes; a row that passes the end of a block still belongs to it.
+        upto = with_running_totals(items, [F.md5("text"), F.col("item_id")], {"upto": "bytes"})
+        items = work.keep(upto.withColumn("block", F.floor((F.col("upto") - F.col("bytes")) / block_bytes).cast("int")))
+    blocks = [r[0] for r in items.select("block").distinct().collect()] if size > block_bytes else [None]
     out = docs
-    for b in range(blocks):
-        block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) if blocks > 1 else items
-        rows = block.toArrow().combine_chunks()
-        test = spark.sparkContext.broadcast(
-            build_test_set(*[pa.concat_arrays(rows[c].chunks) if rows.num_rows else pa.array([], t) for c, t in (("item_id", pa.int64()), ("text", pa.string()))], n)
-        )
-        out = out.withColumn(name, _searched(test) if b == 0 else _searched_again(test, name))
-        if b < blocks - 1:
+    for b in sorted(blocks) if size > block_bytes else blocks:
+        rows = (items if b is None else items.where(F.col("block") == b)).select("item_id", "text").toArrow().combine_chunks()
+        ids, texts = (pa.concat_arrays(rows[c].chunks) if rows.num_rows else pa.array([], t) for c, t in zip(("item_id", "text"), types))
+        test = spark.sparkContext.broadcast(build_test_set(ids, texts, n))
+        out = out.withColumn(name, _searched(test, id_type) if out is docs else _searched_again(test, name, id_type))
+        if b is not None:
             out = work.keep(out)
     return out
 
 
-def _searched(test) -> Column:
-    @F.arrow_udf(FOUND)
+def _searched(test, id_type: str) -> Column:
+    @F.arrow_udf(found_type(id_type))
     def search(texts: pa.Array) -> pa.Array:
         return search_texts(texts, test.value)
 
     return search(F.col("text"))
 
 
-def _searched_again(test, name: str) -> Column:
-    @F.arrow_udf(FOUND)
+def _searched_again(test, name: str, id_type: str) -> Column:
+    @F.arrow_udf(found_type(id_type))
     def search(texts: pa.Array, spans: pa.Array) -> pa.Array:
         return search_texts(texts, test.value, spans)
 

@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tallyframe.llm.decontaminate import build_test_set, contamination, decontaminated, search_texts
+from tallyframe.llm.decontaminate import build_test_set, contamination, decontaminated, search_texts, with_matches
 
 PATTERN = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -99,3 +99,16 @@ def test_empty_tables(spark):
     one = spark.createDataFrame([(1, "a b")], docs.schema)
     assert [(r.n_words, r.n_hit) for r in contamination(one, items).collect()] == [(2, 0)]
     assert hashlib.sha256(b"").hexdigest()
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 30])
+def test_ids_of_text_and_repeated_items(spark, block_bytes):
+    said = " ".join(f"w{k}" for k in range(12))
+    items = [("q-1", said), ("q-1", said), ("9z", "one two"), (None, "three"), ("empty", None)] * 5
+    frame = spark.createDataFrame(items, "item_id string, text string")
+    docs = spark.createDataFrame([(1, f"x {said} y one two"), (2, "three"), (3, None)], "doc_id bigint, text string")
+    found = {r["doc_id"]: r["found"] for r in with_matches(docs, frame, block_bytes=block_bytes).collect()}
+    assert sorted((m["item_id"], m["length"]) for m in found[1]["matches"]) == [("9z", 2), ("q-1", 12)]
+    assert [m["item_id"] for m in found[2]["matches"]] == [None] and found[3]["matches"] == []
+    got = {r.doc_id: r.item_ids for r in contamination(docs, frame).collect()}
+    assert got == {1: ["9z", "q-1"], 2: [], 3: []}
