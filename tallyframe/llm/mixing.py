@@ -5,16 +5,17 @@ what a source cannot take is shared among the others by weight. A document of a
 ``t`` and size ``s`` is to be taken ``t / s`` times on average: the whole part of that surely, and the rest
 with that inclusion probability.
 
-The cube method decides the fractions. Within a source, any three undecided documents allow one move
-of their probabilities that leaves both the sum of the probabilities (documents) and the sum of
-probability times size (words) as they are: the null vector of those two constraints. Moving along
-it, in either direction with the odds that keep each probability's mean, until one of the three is 0
-or 1 decides that document. So at most two documents of a block stay undecided. The undecided of all
-blocks of a source form the next, about 500 times smaller, round of blocks; once a source fits one
-block, its last two documents are landed on the nearest of the four outcomes.
-
-Blocks are dealt by a hash of the document's id and have about ``BLOCK`` rows, however many documents
-a source has. Random choices come from hashes of ids, so that reruns agree.
+The cube method decides the fractions. A move of the undecided documents of a block changes their probabilities along
+a vector that leaves both their sum (documents) and the sum of probability times size (words) as they are:
+a vector of the null space of those two constraints. It goes in either direction, with the odds that keep each
+probability's mean, until one of them is 0 or 1 and that document decided. At most two documents of
+a block stay undecided. The undecided of all blocks of a source form the next, about 500 times smaller, round
+of blocks; once a source fits one block, its last two documents are landed on the nearest of the four outcomes.
+
+Blocks are dealt by a hash of the id and the text, rows that repeat often by a running number too, and have about ``BLOCK``
+rows, however many documents
+a source has. A block decides its longest documents first, so that the undecided ones are short and a source lands near its
+target. Random choices come from hashes, so that reruns agree.
 
 Defined results: a null text has size 0; documents of size 0 are taken like any other, as 0 words;
 rows with the same id are documents of their own; a source of size 0 has target 0; an empty table
@@ -79,33 +80,57 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, max_cop
 
 
 def move(chance: list[float], size: list[float], draws: list[float]) -> list[float]:
-    """The flight of a block: probabilities after moves through the null space, at most two of them undecided."""
-    chance, chosen = list(chance), iter(draws)  # every move decides a document, so there is a draw for each
-    waiting = [k for k, x in enumerate(chance) if _CLOSE < x < 1 - _CLOSE]
-    trio: list[int] = []
-    at = 0
+    """The flight of a block: probabilities after moves through the null space, at most two of them undecided.
+
+    Each move takes the longest undecided document one way and all other undecided ones the other, those nearer to a
+    half by more, so that documents and words stay as they are. A long document is so decided while the many
+    short ones can still make up for it.
+    """
+    chance, size = np.array(chance, np.float64), np.array(size, np.float64)
+    chance[chance <= _CLOSE], chance[chance >= 1 - _CLOSE] = 0.0, 1.0
+    chosen = iter(draws)  # every move decides a document, so there is a draw for each
+    left = np.argsort(-size, kind="stable")
     while True:
-        while len(trio) < 3 and at < len(waiting):
-            trio.append(waiting[at])
-            at += 1
-        if len(trio) < 3 and (len(trio) < 2 or size[trio[0]] != size[trio[1]]):
-            return chance
-        if len(trio) == 2:
-            along = (1.0, -1.0)
-        else:
-            a, b, c = (size[k] for k in trio)
-            along = (b - c, c - a, a - b) if not a == b == c else (1.0, -1.0, 0.0)
-        ahead = back = float("inf")
-        for k, u in zip(trio, along):
-            if u > 0:
-                ahead, back = min(ahead, (1 - chance[k]) / u), min(back, chance[k] / u)
-            elif u < 0:
-                ahead, back = min(ahead, -chance[k] / u), min(back, (chance[k] - 1) / u)
+        left = left[(chance[left] > 0) & (chance[left] < 1)]
+        if len(left) < 2:
+            return chance.tolist()
+        moving, along = left, _balanced(chance[left], size[left])
+        if along is None and len(left) > 2:
+            # The others are all as long as each other, and so can move among themselves.
+            moving, along = left[1:], _balanced(chance[left[1:]], size[left[1:]])
+        if along is None:
+            return chance.tolist()
+        here = chance[moving]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            up, down = (1 - here) / np.abs(along), here / np.abs(along)
+        ahead = np.where(along > 0, up, np.where(along < 0, down, np.inf)).min()
+        back = np.where(along > 0, down, np.where(along < 0, up, np.inf)).min()
         step = ahead if next(chosen) * (ahead + back) < back else -back
-        for k, u in zip(trio, along):
-            x = chance[k] + step * u
-            chance[k] = 0.0 if x < _CLOSE else 1.0 if x > 1 - _CLOSE else x
-        trio = [k for k in trio if 0 < chance[k] < 1]
+        moved = here + step * along
+        moved[moved < _CLOSE], moved[moved > 1 - _CLOSE] = 0.0, 1.0
+        chance[moving] = moved
+
+
+def _balanced(chance: np.ndarray, size: np.ndarray) -> np.ndarray | None:
+    """A direction that raises the first probability and keeps their sum and the sum of the words; None if there is none."""
+    room = chance * (1 - chance)
+    room[0] = 0.0
+    total, words = room.sum(), (room * size).sum()
+    # Sizes from their mean, so that equal ones are told by a zero.
+    off = size - words / total
+    varied = (room * off * off).sum()
+    if varied <= _CLOSE * max(1.0, words / total) ** 2 * total:
+        if abs(off[0]) > _CLOSE * max(1.0, size[0]):
+            return None
+        along = -room / total
+    elif len(chance) < 3:
+        return None
+    else:
+        along = -room * (1 / total + off * off[0] / varied)
+    along[0] = 1.0
+    # The least part of a move that counts; smaller ones are rounding.
+    along[np.abs(along) < 1e-12] = 0.0
+    return along
 
 
 def land(chance: list[float], size: list[float]) -> list[float]:
@@ -129,8 +154,9 @@ def _round(rows: DataFrame, salt: int, last: bool) -> DataFrame:
     """Decide all but two documents of each block, or, in the last round, all of them."""
 
     def decide(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values(["order", "doc_id", "size"], kind="stable", ignore_index=True)
-        seed = int(block["order"].iloc[0]) & 0xFFFFFFFF
+        # The longest first: the two documents that stay undecided are then the shortest.
+        block = block.sort_values(["size", "order", "doc_id"], ascending=[False, True, True], kind="stable", ignore_index=True)
+        seed = int(block["order"].min()) & 0xFFFFFFFF
         draws = (stream(seed * 64 + salt, len(block)) >> np.uint64(11)).astype(np.float64) / 2.0**53
         chance = move(block["chance"].tolist(), block["size"].astype(float).tolist(), draws.tolist())
         if last:
@@ -138,14 +164,23 @@ def _round(rows: DataFrame, salt: int, last: bool) -> DataFrame:
         return block.assign(chance=chance)
 
     blocks = F.greatest(F.ceil(F.col("n_docs") / BLOCK), F.lit(1))
-    dealt = rows.withColumn("block", F.lit(0).cast("bigint") if last else F.pmod(F.xxhash64("order", F.lit(salt)), blocks))
+    dealt = rows.withColumn("block", F.lit(0).cast("bigint") if last else F.pmod(F.xxhash64("order", "spread", F.lit(salt)), blocks))
     return dealt.groupBy("source", "block").applyInPandas(decide, dealt.schema).drop("block")
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_copies: int = MAX_COPIES) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, copies and taken = copies * size."""
     work = Workspace(docs.sparkSession, "mix")
-    sizes = work.keep(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")))
+    order = F.xxhash64("doc_id", "text")
+    sizes = work.keep(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), order.alias("order")))
+    # Rows that repeat are alike, so it does not matter which of them go to which block.
+    often = work.keep(
+        sizes.groupBy(F.col("order").alias("alike")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK / 10)
+    )
+    spread = F.when(F.col("n").isNotNull(), F.pmod(F.monotonically_increasing_id(), F.ceil(F.col("n") * 10 / BLOCK))).otherwise(F.lit(0))
+    sizes = work.keep(
+        sizes.join(often, F.col("order") == F.col("alike"), "left").select("doc_id", "source", "size", "order", spread.cast("bigint").alias("spread"))
+    )
     targets = source_targets(sizes, weights, max_copies)
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     # A share that is a whole number up to rounding leaves nothing to chance.
@@ -158,7 +193,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_copies: int = M
         "target",
         whole.cast("bigint").alias("whole"),
         F.greatest(share - whole, F.lit(0.0)).alias("chance"),
-        F.xxhash64("doc_id").alias("order"),
+        "order",
+        "spread",
         "n_docs",
     )
     decided = []

@@ -6,6 +6,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from tallyframe.llm import mixing
 
 
@@ -99,3 +101,38 @@ def test_targets(spark, sizes):
     got = {r.source: r.target for r in mixing.source_targets(frame).collect()}
     for i, target in enumerate(brute_targets(sizes)):
         assert got[chr(97 + i)] == pytest.approx(target, abs=1e-9)
+
+
+def test_sources_land_near_their_targets(spark):
+    """Within the smallest documents' sizes, though some documents hold a hundredth of their source."""
+    docs = spark.range(6000).select(
+        F.col("id").alias("doc_id"),
+        F.repeat(F.lit("w "), F.when(F.col("id") % 97 == 0, 900).otherwise(3 + F.col("id") % 41).cast("int")).alias("text"),
+        F.concat(F.lit("s"), (F.col("id") % 3).cast("string")).alias("source"),
+    )
+    for row in mixing.mix(docs).groupBy("source").agg(F.max("target").alias("target"), F.sum("taken").alias("taken")).collect():
+        assert abs(row["taken"] - row["target"]) <= max(4, 0.002 * row["target"])
+
+
+def test_a_third_of_the_rows_under_one_id(spark, monkeypatch):
+    """Blocks stay near BLOCK rows, and repeated rows are all there."""
+    monkeypatch.setattr(mixing, "BLOCK", 100)
+    sizes = []
+    dealt = mixing._round
+
+    def seen(rows, salt, last):
+        if not salt:
+            blocks = F.greatest(F.ceil(F.col("n_docs") / mixing.BLOCK), F.lit(1))
+            key = F.pmod(F.xxhash64("order", "spread", F.lit(salt)), blocks)
+            sizes.extend(r["count"] for r in rows.groupBy("source", key).count().collect())
+        return dealt(rows, salt, last)
+
+    monkeypatch.setattr(mixing, "_round", seen)
+    docs = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("a b")).otherwise(F.concat(F.lit("a "), F.col("id"))).alias("text"),
+        F.lit(None).cast("string").alias("source"),
+    )
+    got = mixing.mix(docs)
+    assert got.count() == 6000 and got.where("doc_id = 7").count() == 2001
+    assert max(sizes) < 3 * mixing.BLOCK
