@@ -142,6 +142,27 @@ def scoring_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.read_unlabelled(spark, src.stage_csv(unlabelled, folder))
 
 
+def _faulty_csv(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """People as lines of text with a fault by line number, read back: all rows, and those that did not parse."""
+    rows = src.read_table(spark, sf_dir, "lineitem").selectExpr(
+        """concat_ws(',', CASE l_linenumber WHEN 2 THEN '3x' WHEN 3 THEN '30.5' WHEN 4 THEN 'NaN' ELSE cast(cast(l_quantity AS int) AS string) END,
+        l_linestatus, l_returnflag, CASE l_linenumber WHEN 3 THEN '99999999999' ELSE cast(floor(l_extendedprice) AS string) END,
+        '"a, b"', '', CASE WHEN l_linenumber <> 5 THEN '>50K' END, CASE WHEN l_linenumber = 6 THEN 'one more' END) AS line"""
+    )
+    folder = src.run_folder(spark, name)
+    rows.write.text(f"{folder}/text")
+    return src.read_checked(spark, f"{folder}/text", src.LABELLED_SCHEMA, f"{folder}/rows", header=False)
+
+
+def csv_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return src.fault_counts(_faulty_csv(spark, sf_dir, "csv_faults")[1])
+
+
+def checked_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with faults stay, with NULL where a field could not be read or was not there."""
+    return _faulty_csv(spark, sf_dir, "checked_rows")[0]
+
+
 def metrics_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = op.metrics_report(frozen_cells(spark, sf_dir))
     folder = src.run_folder(spark, "metrics_report")
@@ -236,6 +257,17 @@ def numeric_summary_narrowed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(op.numeric_summary(rows, rows.columns, direct_values=500), 4)
 
 
+def profile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The column profile put together from the written states of the parts that the rows come in."""
+    rows = src.people_nulls(spark, sf_dir)
+    parts = [rows.where("sex = 'O'"), rows.where("sex = 'F' AND age < 20"), rows.where("sex IS NULL OR sex NOT IN ('O', 'F')")]
+    parts.append(rows.where("sex = 'F' AND (age >= 20 OR age IS NULL)"))
+    folder = src.run_folder(spark, "profile_states")
+    for k, part in enumerate(parts):
+        op.profile_state(part, NUMERIC, [*CATEGORICAL, "label"]).write.parquet(f"{folder}/part={k}")
+    return rounded(op.merged_profile(spark.read.parquet(folder).drop("part")), 4)
+
+
 # --- features
 
 
@@ -490,6 +522,8 @@ def core_queries() -> dict[str, Query]:
     return {
         "typed_csv_scan": typed_csv_scan,
         "scoring_scan": scoring_scan,
+        "csv_faults": csv_faults,
+        "checked_rows": checked_rows,
         "metrics_report": metrics_report,
         "row_count": row_count,
         "schema_listing": schema_listing,
@@ -497,6 +531,7 @@ def core_queries() -> dict[str, Query]:
         "describe_numeric": describe_numeric,
         "describe_string": describe_string,
         "column_profile": column_profile,
+        "profile_merged": profile_merged,
         "missing_numeric": missing_numeric,
         "missing_string": missing_string,
         "distinct_labels": distinct_labels,
@@ -719,6 +754,26 @@ def _slots_sql(relation: str, first_slot: int) -> str:
   col || '_encoded_' || value AS feature, n FROM ({counted})"""
 
 
+def _profile_sql(strings: list[str]) -> str:
+    return (
+        f"WITH {_NULLS} "
+        + _union(
+            NUMERIC,
+            "SELECT '{c}' AS column, count(*) AS n_rows, count({c}) AS count, "
+            "count(*) FILTER ({c} IS NULL) AS missing, round(avg({c}), 4) AS mean, "
+            "round(stddev_samp({c}), 4) AS stddev, CAST(min({c}) AS DOUBLE) AS min, "
+            "CAST(max({c}) AS DOUBLE) AS max, CAST(NULL AS VARCHAR) AS first, CAST(NULL AS VARCHAR) AS last "
+            "FROM holes",
+        )
+        + " UNION ALL "
+        + _union(
+            strings,
+            "SELECT '{c}', count(*), count({c}), count(*) FILTER ({c} IS NULL), NULL, NULL, NULL, NULL, "
+            "min({c}), max({c}) FROM holes",
+        )
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     optional = {} if llm is None else dict(llm.oracle_sql())
     if llm is not None and corpus_pipeline.ORACLE_SQL is not None:
@@ -734,6 +789,7 @@ def core_oracle_sql() -> dict[str, str]:
         for i, (c, t) in enumerate(types.items())
     )
     strings = [*CATEGORICAL, "label"]
+    profile = _profile_sql(strings)
     numeric_missing = ["age_or_nan", *NUMERIC]
     return {
         "typed_csv_scan": f"WITH {_NULLS} SELECT {', '.join(src.PEOPLE_COLUMNS)} FROM holes",
@@ -763,21 +819,15 @@ UNION ALL SELECT 'confusion_matrix', 'tp', CAST(tp AS DOUBLE) FROM metrics""",
             "SELECT '{c}' AS column, count({c}) AS count, CAST(NULL AS DOUBLE) AS mean, "
             "CAST(NULL AS DOUBLE) AS stddev, min({c}) AS min, max({c}) AS max FROM holes",
         ),
-        "column_profile": f"WITH {_NULLS} "
-        + _union(
-            NUMERIC,
-            "SELECT '{c}' AS column, count(*) AS n_rows, count({c}) AS count, "
-            "count(*) FILTER ({c} IS NULL) AS missing, round(avg({c}), 4) AS mean, "
-            "round(stddev_samp({c}), 4) AS stddev, CAST(min({c}) AS DOUBLE) AS min, "
-            "CAST(max({c}) AS DOUBLE) AS max, CAST(NULL AS VARCHAR) AS first, CAST(NULL AS VARCHAR) AS last "
-            "FROM holes",
-        )
-        + " UNION ALL "
-        + _union(
-            strings,
-            "SELECT '{c}', count(*), count({c}), count(*) FILTER ({c} IS NULL), NULL, NULL, NULL, NULL, "
-            "min({c}), max({c}) FROM holes",
-        ),
+        "column_profile": profile,
+        "profile_merged": profile,
+        "csv_faults": """SELECT 'unreadable' AS cause, 'age' AS column, count(*) AS n FROM lineitem WHERE l_linenumber IN (2, 3, 4) HAVING n > 0
+UNION ALL SELECT 'unreadable', 'fnlwgt', count(*) AS n FROM lineitem WHERE l_linenumber = 3 HAVING n > 0
+UNION ALL SELECT 'short', NULL, count(*) AS n FROM lineitem WHERE l_linenumber = 5 HAVING n > 0
+UNION ALL SELECT 'long', NULL, count(*) AS n FROM lineitem WHERE l_linenumber = 6 HAVING n > 0""",
+        "checked_rows": """SELECT CASE WHEN l_linenumber NOT IN (2, 3, 4) THEN CAST(l_quantity AS INTEGER) END AS age, l_linestatus AS sex,
+  l_returnflag AS workclass, CASE WHEN l_linenumber <> 3 THEN CAST(floor(l_extendedprice) AS INTEGER) END AS fnlwgt,
+  'a, b' AS education, CAST(NULL AS INTEGER) AS hours_per_week, CASE WHEN l_linenumber <> 5 THEN '>50K' END AS label FROM lineitem""",
         "missing_numeric": f"WITH {_NULLS} SELECT "
         + ", ".join(
             f"count(*) FILTER ({c} IS NULL OR isnan(CAST({c} AS DOUBLE))) AS {c}" for c in numeric_missing

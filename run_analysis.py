@@ -27,12 +27,15 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--reg-param", type=float, default=defaults.reg_param)
     parser.add_argument("--elastic-net", type=float, default=defaults.elastic_net)
     parser.add_argument("--max-category-values", type=int, default=None)
+    parser.add_argument("--held-out", type=float, default=0.0, help="share of every class the fit does not see")
+    parser.add_argument("--save-model", default=None, help="folder to save the fitted model in, as its next version")
     args = vars(parser.parse_args(argv))
     paths = [args.pop(name) for name in ("training_csv", "scoring_csv", "out_dir")]
+    more = {"held_out": args.pop("held_out"), "model_root": args.pop("save_model")}
 
     spark = SparkSession.builder.appName("tallyframe-analysis").getOrCreate()
-    results = run_analysis(spark, *paths, ModelParams(**args))
-    for name in ("table_counts", "label_distribution", "metrics_report", "prediction_summary", "confidence_bands"):
+    results = run_analysis(spark, *paths, ModelParams(**args), **more)
+    for name in ("table_counts", "training_rows_faults", "label_distribution", "metrics_report", "prediction_summary", "confidence_bands"):
         print(name)
         results[name].show(truncate=False)
     spark.stop()

@@ -41,7 +41,10 @@ from tallyframe.operators.profiling import (
     label_check,
     label_distribution,
     label_proportions,
+    merged_profile,
+    merged_states,
     missing_counts,
+    profile_state,
     row_count,
     schema_listing,
 )
@@ -97,6 +100,8 @@ __all__ = [
     "label_proportions",
     "linear_model",
     "load_model",
+    "merged_profile",
+    "merged_states",
     "metrics_report",
     "missing_counts",
     "numeric_summary",
@@ -104,6 +109,7 @@ __all__ = [
     "outcome_cells",
     "prediction_sample",
     "prediction_summary",
+    "profile_state",
     "roc_points",
     "roc_summary",
     "row_count",

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -128,6 +128,47 @@ def column_profile(df: DataFrame, numeric: Sequence[str], strings: Sequence[str]
     return df.agg(*[e.alias(name) for name, e in wide.items()]).select(F.inline(F.array(*rows)))
 
 
+def profile_state(df: DataFrame, numeric: Sequence[str], strings: Sequence[str]) -> DataFrame:
+    """The column profile of a part of a table in a form that merges: counts, means and squared deviations.
+
+    One row per column: column, n_rows, count, missing, mean, squares, min, max, first, last. Written
+    and unioned with the states of other parts, ``merged_profile`` gives the profile of all of them.
+    """
+    squares = (F.col("count") - 1) * F.col("stddev") * F.col("stddev")
+    profile = column_profile(df, numeric, strings)
+    return profile.withColumn("squares", F.when(F.col("count") == 1, F.lit(0.0)).otherwise(squares)).drop("stddev")
+
+
+def merged_states(states: DataFrame) -> DataFrame:
+    """One state per column, of all rows behind the given ones."""
+    every = Window.partitionBy("column")
+    n = F.sum("count").over(every)
+    mean = F.try_divide(F.sum(F.col("mean") * F.col("count")).over(every), n)
+    # The parts' squared deviations are from their own means; the rest is what their means deviate.
+    apart = F.col("count") * (F.col("mean") - F.col("__mean")) * (F.col("mean") - F.col("__mean"))
+    return (
+        states.withColumn("__mean", mean)
+        .groupBy("column")
+        .agg(
+            *[F.sum(c).alias(c) for c in ("n_rows", "count", "missing")],
+            F.first("__mean").alias("mean"),
+            (F.sum("squares") + F.sum(apart)).alias("squares"),
+            F.min("min").alias("min"),
+            F.max("max").alias("max"),
+            F.min("first").alias("first"),
+            F.max("last").alias("last"),
+        )
+    )
+
+
+def merged_profile(states: DataFrame) -> DataFrame:
+    """The ``column_profile`` of the whole table from the states of its parts, which are small and may come one by one."""
+    deviation = F.when(F.col("count") > 1, F.sqrt(F.col("squares") / (F.col("count") - 1)))
+    return merged_states(states).select(
+        "column", "n_rows", "count", "missing", "mean", deviation.alias("stddev"), "min", "max", "first", "last"
+    )
+
+
 def missing_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row with the number of missing values (NULL, or NaN for floats) of each column."""
     return df.agg(*[F.count_if(is_missing(df, c)).alias(c) for c in columns])

@@ -1,5 +1,5 @@
 """End-to-end flows built from the operators."""
 
-from tallyframe.plans.analysis import profile_tables, run_analysis, score_file
+from tallyframe.plans.analysis import profile_tables, run_analysis, score_file, score_with_saved
 
-__all__ = ["profile_tables", "run_analysis", "score_file"]
+__all__ = ["profile_tables", "run_analysis", "score_file", "score_with_saved"]

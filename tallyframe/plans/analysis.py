@@ -13,9 +13,9 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.operators import evaluation, model, profiling, quantiles, report, scoring, summary
+from tallyframe.operators import evaluation, folds, model, model_store, profiling, quantiles, ranking, report, scoring, summary
 from tallyframe.operators.features import slot_names
-from tallyframe.sources import read_labelled, read_unlabelled, stage_parquet
+from tallyframe.sources import FEATURE_SCHEMA, LABELLED_SCHEMA, fault_counts, read_checked, stage_parquet
 
 
 def label_column_names(labels: list[str]) -> dict[str, str]:
@@ -68,7 +68,7 @@ def _schema_listing(rows: DataFrame, profile: DataFrame) -> DataFrame:
     return fields.join(counted, "column").select("position", "column", "type", "nullable", "filled")
 
 
-def score_file(classifier: model.Classifier, new_rows: DataFrame) -> DataFrame:
+def score_file(classifier: model.Classifier | scoring.LinearModel, new_rows: DataFrame) -> DataFrame:
     """Unlabelled rows with their predicted label and class."""
     scored = scoring.bulk_score(classifier, new_rows)
     return scored.select(
@@ -88,15 +88,27 @@ def run_analysis(
     scoring_csv: str,
     out_dir: str,
     params: model.ModelParams = model.ModelParams(),
+    held_out: float = 0.0,
+    model_root: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Run everything, write each result below ``out_dir``, and return the written tables."""
+    """Run everything, write each result below ``out_dir``, and return the written tables.
+
+    ``held_out`` is the share of every class that the fit does not see; its metrics stand beside those of the
+    training rows, as ``held_out_*``. With ``model_root`` the fitted model is saved there as the next version.
+    """
     written: dict[str, DataFrame] = {}
 
     def keep(name: str, df: DataFrame) -> DataFrame:
         written[name] = stage_parquet(df, f"{out_dir}/{name}")
         return written[name]
 
-    rows = keep("training_rows", read_labelled(spark, training_csv))
+    def read(name: str, path: str, schema) -> DataFrame:
+        """The rows of a CSV; those that did not parse are also written by themselves, and counted by cause."""
+        written[name], rejected = read_checked(spark, path, schema, f"{out_dir}/{name}")
+        keep(f"{name}_faults", fault_counts(keep(f"{name}_rejected", rejected)))
+        return written[name]
+
+    rows = read("training_rows", training_csv, LABELLED_SCHEMA)
     cells = keep("category_cells", profiling.category_cells(rows, params.categorical_cols, params.label_col))
 
     profile = keep(
@@ -109,15 +121,25 @@ def run_analysis(
     for name, table in profile_tables(rows, params, labels, profile, cells).items():
         keep(name, table)
 
-    classifier = model.fit_classifier(rows, params)
+    training, rest = folds.held_out_split(rows, params.label_col, held_out) if held_out else (rows, None)
+    classifier = model.fit_classifier(training, params)
+    if model_root is not None:
+        model_store.save_model(spark, classifier, model_root)
     through_stages = model.score(classifier, rows)
     keep("coefficients", model.coefficient_table(spark, classifier, slot_names(through_stages)))
-    keep("prediction_sample", scoring.prediction_sample(classifier, rows))
-    scored = scoring.bulk_score(classifier, rows)
-    outcomes = keep(
-        "outcome_cells", evaluation.outcome_cells(scored, label_col=f"{params.label_col}_indexed")
-    )
+    keep("prediction_sample", scoring.prediction_sample(classifier, training))
+    scored = scoring.bulk_score(classifier, training)
+    label = f"{params.label_col}_indexed"
+    outcomes = keep("outcome_cells", evaluation.outcome_cells(scored, label_col=label))
     positive = classifier.positive_index
+    if rest is not None:
+        unseen = scoring.bulk_score(classifier, rest)
+        cells = keep("held_out_outcome_cells", evaluation.outcome_cells(unseen, label_col=label))
+        keep("held_out_binary_metrics", evaluation.binary_metrics(cells, positive))
+        keep("held_out_weighted_metrics", evaluation.weighted_metrics(cells))
+        points = keep("held_out_roc_points", ranking.roc_points(unseen, label, positive=int(positive)))
+        keep("held_out_ranking", ranking.roc_summary(points))
+    keep("train_ranking", ranking.roc_summary(ranking.roc_points(scored, label, positive=int(positive))))
     keep("confusion_matrix", evaluation.confusion_matrix(outcomes, positive))
     keep("train_binary_metrics", evaluation.binary_metrics(outcomes, positive))
     keep("train_weighted_metrics", evaluation.weighted_metrics(outcomes))
@@ -126,9 +148,21 @@ def run_analysis(
     keep("prediction_summary", summary.prediction_summary(outcomes, classifier.labels))
     keep("confidence_stats", summary.confidence_stats(outcomes))
     keep("confidence_bands", summary.confidence_bands(outcomes))
-    new_rows = keep("scoring_rows", read_unlabelled(spark, scoring_csv))
+    new_rows = read("scoring_rows", scoring_csv, FEATURE_SCHEMA)
     predictions = keep("new_predictions", score_file(classifier, new_rows))
     counted = {"training_rows": rows, "scoring_rows": new_rows, "new_predictions": predictions}
     counts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("table"), "n_rows") for n, df in counted.items()]
     keep("table_counts", counts[0].unionByName(counts[1]).unionByName(counts[2]))
     return written
+
+
+def score_with_saved(
+    spark: SparkSession, model_root: str, scoring_csv: str, out_dir: str, version: int | None = None
+) -> dict[str, DataFrame]:
+    """Score a CSV with a model saved earlier (the latest version, if none is named), without fitting anything."""
+    saved = model_store.load_model(spark, model_root, version)
+    rows, rejected = read_checked(spark, scoring_csv, FEATURE_SCHEMA, f"{out_dir}/scoring_rows")
+    tables = {"scoring_rows_rejected": rejected, "new_predictions": score_file(saved, rows)}
+    written = {name: stage_parquet(df, f"{out_dir}/{name}") for name, df in tables.items()}
+    written["scoring_rows_faults"] = stage_parquet(fault_counts(written["scoring_rows_rejected"]), f"{out_dir}/scoring_rows_faults")
+    return written | {"scoring_rows": rows}

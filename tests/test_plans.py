@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as contract
 from tallyframe import sources as src
 from tallyframe.operators.model import ModelParams
-from tallyframe.plans import run_analysis
+from tallyframe.plans import run_analysis, score_with_saved
 from tallyframe.plans.analysis import label_column_names
 from tallyframe.sources.people import spread
 from conftest import DATA
@@ -92,6 +92,29 @@ def test_full_analysis(spark, tmp_path):
     assert out["coefficients"].count() == 3 * 15
 
 
+def test_held_out_metrics_rejected_rows_and_a_saved_model(spark, tmp_path):
+    training, scoring, root = (str(tmp_path / name) for name in ("training.csv", "scoring", "models"))
+    rows = census()
+    header = ",".join(src.LABELLED_SCHEMA.names)
+    lines = [",".join(map(str, r)) for r in rows] + ["30,Male,Gov,1,Masters,forty,>50K", "30,Male"]
+    (tmp_path / "training.csv").write_text("\n".join([header, *lines]) + "\n")
+    src.stage_csv(spark.createDataFrame(NEW_ROWS, src.FEATURE_SCHEMA), scoring)
+    params = ModelParams(max_iter=10, numeric_handle_invalid="skip")
+    out = run_analysis(spark, training, scoring, str(tmp_path / "out"), params, held_out=0.25, model_root=root)
+
+    faults = {(r["cause"], r["column"]): r["n"] for r in out["training_rows_faults"].collect()}
+    assert faults == {("unreadable", "hours_per_week"): 1, ("short", None): 1}
+    assert out["training_rows_rejected"].count() == 2 and out["scoring_rows_rejected"].count() == 0
+    seen, unseen = (out[f"{part}outcome_cells"].agg({"n": "sum"}).first()[0] for part in ("", "held_out_"))
+    assert abs(unseen - len(rows) / 4) <= 2 and seen + unseen == len(rows)
+    assert 0 <= out["held_out_binary_metrics"].first()["accuracy"] <= 1
+    sizes = [sum(out[name].first()[:2]) for name in ("train_ranking", "held_out_ranking")]
+    assert sizes == [seen, unseen]
+    again = score_with_saved(spark, root, scoring, str(tmp_path / "later"))
+    ours, theirs = again["new_predictions"], out["new_predictions"]
+    assert ours.exceptAll(theirs).isEmpty() and ours.count() == 20 and again["scoring_rows_faults"].count() == 0
+
+
 def test_profile_is_written_even_if_the_fit_is_refused(spark, tmp_path):
     training, out = str(tmp_path / "training"), str(tmp_path / "out")
     one_class = [(*r[:6], "<=50K") for r in census()]

@@ -191,3 +191,27 @@ def test_numeric_summary_integers(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x int")
     (got,) = rows(numeric_summary(df, ["x"]))
     same(got[1:], expected_summary([None if v is None else float(v) for v in values]))
+
+
+@pytest.mark.parametrize("cuts", [[10], [1, 2, 40], [0, 60]])
+def test_states_of_parts_merge_to_the_whole(spark, cuts):
+    rows = [(None if k % 7 == 0 else k * 1000003 % 89, float(k % 5) if k % 4 else None, "xyz"[k % 3] if k % 11 else None) for k in range(60)]
+    schema = "a int, b double, s string"
+    whole = profiling.column_profile(spark.createDataFrame(rows, schema), ["a", "b"], ["s"])
+    states = None
+    for low, high in zip([0, *cuts], [*cuts, 60]):
+        state = profiling.profile_state(spark.createDataFrame(rows[low:high], schema), ["a", "b"], ["s"])
+        states = state if states is None else profiling.merged_states(states.unionByName(state))
+    merged = {r["column"]: r for r in profiling.merged_profile(states).collect()}
+    for row in whole.collect():
+        got = merged[row["column"]]
+        for name in whole.columns:
+            assert got[name] == (pytest.approx(row[name]) if isinstance(row[name], float) else row[name]), name
+
+
+def test_state_of_far_values_keeps_its_deviation(spark):
+    """The parts' deviations survive a mean far larger than they are."""
+    values = [1e9 + k for k in range(10)]
+    parts = [profiling.profile_state(spark.createDataFrame([(v,) for v in p], "v double"), ["v"], []) for p in (values[:3], values[3:])]
+    got = profiling.merged_profile(parts[0].unionByName(parts[1])).first()
+    assert got["stddev"] == pytest.approx(3.0276503540974917, rel=1e-6)

@@ -98,3 +98,36 @@ def test_two_data_folders_stay_readable(spark):
         second = contract.queries()[name](spark, f"{DATA}/sf0.01")
         assert first.count() == (8 if name == "metrics_report" else 6000)
         assert second.count() == (8 if name == "metrics_report" else 60000)
+
+
+def test_rows_that_do_not_parse(spark, tmp_path):
+    """Every fault a line can have, with the columns at fault; rows without fault are not listed."""
+    lines = [
+        "age,sex,workclass,fnlwgt,education,hours_per_week,label",
+        "30,Male,Gov,1,Masters,40,>50K",
+        "3x,Male,Gov,1,Masters,40,>50K",
+        "30.5,Male,Gov,99999999999,Masters,NaN,>50K",
+        ",,,,,,",
+        "30,Male,Gov,1,Masters,40",
+        "3x",
+        "30,Male,Gov,1,Masters,40,>50K,",
+        "x,Male,Gov,1,Masters,40,>50K,more,and more",
+        '30," Male","Gov, or not",1,"",40,>50K',
+        "",
+    ]
+    path = tmp_path / "people.csv"
+    path.write_text("\n".join(lines) + "\n")
+    rows, rejected = src.read_checked(spark, str(path), src.LABELLED_SCHEMA, str(tmp_path / "rows"))
+    plain = src.read_labelled(spark, str(path))
+    assert rows.exceptAll(plain).isEmpty() and plain.exceptAll(rows).isEmpty() and rows.count() == 9
+    found = {r["raw_line"]: [tuple(f) for f in r["faults"]] for r in rejected.collect()}
+    assert found == {
+        lines[2]: [("unreadable", "age")],
+        lines[3]: [("unreadable", "age"), ("unreadable", "fnlwgt"), ("unreadable", "hours_per_week")],
+        lines[5]: [("short", None)],
+        lines[6]: [("short", None), ("unreadable", "age")],
+        lines[7]: [("long", None)],
+        lines[8]: [("long", None), ("unreadable", "age")],
+    }
+    counts = {(r["cause"], r["column"]): r["n"] for r in src.fault_counts(rejected).collect()}
+    assert counts[("unreadable", "age")] == 4 and counts[("long", None)] == counts[("short", None)] == 2
