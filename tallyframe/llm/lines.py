@@ -76,8 +76,10 @@ def boilerplate(pages: DataFrame, max_ratio: float = MAX_RATIO, min_pages: int =
 def without_boilerplate(
     pages: DataFrame, site: Column, text: Column, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES
 ) -> DataFrame:
-    """The pages with three more columns: ``kept_text``, ``n_lines`` and ``n_dropped``."""
-    own, of, lines, dropped, kept = fresh(pages, "site", "line_site", "lines", "dropped", "kept")
+    """The pages with three more columns: ``kept_text``, ``n_lines`` and ``n_dropped``, renamed where pages have such columns."""
+    own, of, lines, dropped, kept, kept_text, n_lines, n_dropped = fresh(
+        pages, "site", "line_site", "lines", "dropped", "kept", "kept_text", "n_lines", "n_dropped"
+    )
     found = boilerplate(pages.select(site.alias("site"), text.alias("text")), max_ratio, min_pages)
     found = found.select(F.col("site").alias(own), F.col("dropped").alias(dropped))
     joined = pages.withColumns({of: site, lines: F.split(text, "\n")}).join(found, F.col(of).eqNullSafe(F.col(own)), "left")
@@ -86,9 +88,9 @@ def without_boilerplate(
         joined.withColumn(kept, F.when(F.col(dropped).isNull(), F.col(lines)).otherwise(stays))
         .withColumns(
             {
-                "kept_text": F.array_join(kept, "\n"),
-                "n_lines": F.coalesce(F.size(lines), F.lit(0)).cast("bigint"),
-                "n_dropped": F.coalesce(F.size(lines) - F.size(kept), F.lit(0)).cast("bigint"),
+                kept_text: F.array_join(kept, "\n"),
+                n_lines: F.coalesce(F.size(lines), F.lit(0)).cast("bigint"),
+                n_dropped: F.coalesce(F.size(lines) - F.size(kept), F.lit(0)).cast("bigint"),
             }
         )
         .drop(own, of, lines, dropped, kept)

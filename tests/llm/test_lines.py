@@ -64,3 +64,10 @@ def test_counts_and_hosts(spark):
 def test_native_plans(spark, name):
     plan = llm.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", plan)
+
+
+def test_columns_that_clash_stay(spark):
+    pages = spark.createDataFrame([(1, "s", "a\nb", "mine", -1)], "page_id int, site string, page string, kept_text string, N_Lines int")
+    (row,) = lines.without_boilerplate(pages, F.col("site"), F.col("page")).collect()
+    assert (row["kept_text"], row["N_Lines"]) == ("mine", -1)
+    assert (row["kept_text_"], row["n_lines_"], row["n_dropped"]) == ("a\nb", 2, 0)
