@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.llm.learning import labelled_sample
+from tallyframe.llm.staging import Workspace
 from tallyframe.llm.words import LOWERED, Words, word_chunks
 
 MAX_TRAINING = 20_000
@@ -271,7 +272,9 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAINING)
     """``docs`` has doc_id and text; ``labels`` has doc_id and toxic, only of rows that may be learned from."""
     sample = labelled_sample(docs, labels, "toxic", most)
     said = F.array_distinct(F.regexp_extract_all(F.translate(F.coalesce("text", F.lit("")), CAPITALS, SMALL), F.lit(LETTERS), 0))
-    by_word = (
+    # Read by six actions below, so written once.
+    work = Workspace(docs.sparkSession, "toxicity")
+    by_word = work.keep(
         # An empty word stands for the document itself.
         sample.select("label", F.explode(F.array_append(said, F.lit(""))).alias("word"))
         .groupBy("word")
@@ -328,6 +331,7 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAINING)
         for r in seen_near.collect()
         if r["toxic"] + r["clean"] >= MIN_DOCS
     }
+    work.drop(by_word)
     return Lexicon(automaton, np.array([reliability[t] for t in terms]), frozenset(exempt), exact, misspelled)
 
 
