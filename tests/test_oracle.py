@@ -77,5 +77,7 @@ def test_rows_only(spark, name):
         "prediction_sample": 20,
         "score_new": people,
         "train_report": 8,
+        "held_out_report": 8,
+        "cross_validation": 6,
     }
     assert df.count() == expected[name]
