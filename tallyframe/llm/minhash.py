@@ -5,20 +5,23 @@ none). The weight of a shingle is its count in the text times ``1 + idf / highes
 ``idf = ln(documents / documents with the shingle)``. Two texts are linked if their weighted Jaccard
 similarity is 0.8 or more; classes are the connected components of the links.
 
-1. Document frequencies are counted over all documents. Only frequencies of at least 1 / 2**17 of all
-   (document, shingle) pairs matter, because rarer shingles share the highest idf; there can be no more
-   than 2**17 such shingles, so their table can be sent to every task. Mergeable hashed counters find
-   the few slots that may hold one, and a second pass counts the shingles of those slots exactly.
+1. The document frequency of every shingle is counted over all documents. Tasks send sorted runs of
+   ids with their counts, cut by ranges of ids, and a table keeps each shingle of three documents or
+   more; shingles of one or two share the highest idf, which is that of two documents. The frequencies
+   of at least 1 / 2**17 of all (document, shingle) pairs, of which there can be no more than 2**17, are sent to
+   every task; the others are joined to the texts whose similarity is computed.
 2. Each text gets 100 samples by improved consistent weighted sampling: a sample is the shingle with
    the smallest ``c / (y e^r)``, where ``ln y = r (floor(ln w / r + beta) - beta)`` and r, c and beta come from
    tables indexed by a hash of the shingle. Two texts agree on a sample with a probability equal to
    their similarity. Samples are banded, five to a band: at 0.8 at least one band of 20 agrees with
-   probability 0.9996.
+   probability 0.9996. Samples weigh shingles below 1 / 2**17 of all pairs like unique ones. With
+   400 shingles to a document and up to 10**8 documents that raises a weight by half at most, so that a pair at
+   0.8 samples like one of 0.72 at the worst, which a band finds with probability 0.98.
 3. Exact copies fold into one text. Texts that agree on a band belong to one candidate cluster.
 4. Exact weighted similarities are computed between all texts of a cluster, in blocks of bounded
    size. A cluster of more than one block is first compared within its blocks and with its most
    central text; only if that leaves it in several classes are its pairs of blocks compared as well.
-   Tasks return the classes found, not the pairs.
+   Tasks return the classes found, not the pairs. These similarities use every frequency exactly.
 
 Defined results: null texts and texts without words are linked with nothing, not even each other.
 Rows without ``doc_id`` are linked with nothing and have no class. Rows that share a ``doc_id`` are one
@@ -44,10 +47,12 @@ SIMILARITY = 0.8
 BANDS, ROWS = 20, 5
 SAMPLES = BANDS * ROWS
 
-SLOTS = 1 << 20
-SLICES = 64
-FAN_IN = 1024
+#: Shingles of so many documents share the highest idf.
+LEAST = 2
+#: Frequencies of at least 1 / HEAVY_SHARE of all (document, shingle) pairs are sent to every task.
 HEAVY_SHARE = 1 << 17
+#: A task counts so many shingles before it sends them, and adds up those of so many bytes of texts at once.
+RUN, SLICE_BYTES = 1 << 21, 16 << 20
 
 BLOCK_DOCS, BLOCK_BYTES = 256, 16 << 20
 _TABLE = 1 << 14
@@ -60,94 +65,146 @@ _CLOSE = 1e-9
 
 
 class Weights:
-    """Global weights of shingles: those of the frequent ones, and 2 for all others."""
+    """Global weights of shingles: those whose frequencies are given, and 2 for all others."""
 
     def __init__(self, n_docs: int, least: int, ids: np.ndarray, frequencies: np.ndarray) -> None:
         order = np.argsort(ids)
-        self.ids = ids[order].astype(np.uint64)
+        self.n_docs, self.least = n_docs, least
+        self.ids, self.frequencies = ids[order].astype(np.uint64), frequencies[order]
         top = np.log(max(n_docs, 1) / least)
-        idf = np.log(max(n_docs, 1) / np.maximum(frequencies[order], least)) if top > 0 else np.full(len(ids), top)
+        idf = np.log(max(n_docs, 1) / np.maximum(self.frequencies, least)) if top > 0 else np.full(len(ids), top)
         self.factors = np.maximum(1.0, 1.0 + idf / top) if top > 0 else np.full(len(ids), 2.0)
 
+    def extended(self, ids: np.ndarray, frequencies: np.ndarray) -> Weights:
+        """The weights with more frequencies, of shingles that may be given several times."""
+        ids, first = np.unique(np.concatenate((self.ids, ids.astype(np.uint64))), return_index=True)
+        return Weights(self.n_docs, self.least, ids, np.concatenate((self.frequencies, frequencies))[first])
+
+    def knows(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which ids have a given frequency, and the places of these."""
+        if not len(self.ids):
+            return np.zeros(len(ids), bool), np.zeros(0, np.int64)
+        at = np.minimum(np.searchsorted(self.ids, ids), len(self.ids) - 1)
+        known = self.ids[at] == ids
+        return known, at[known]
+
     def of(self, ids: np.ndarray) -> np.ndarray:
         out = np.full(len(ids), 2.0)
-        if len(self.ids):
-            at = np.minimum(np.searchsorted(self.ids, ids), len(self.ids) - 1)
-            known = self.ids[at] == ids
-            out[known] = self.factors[at[known]]
+        known, at = self.knows(ids)
+        out[known] = self.factors[at]
         return out
 
 
-def _slots(ids: np.ndarray) -> np.ndarray:
-    return (mixed(ids) % np.uint64(SLOTS)).astype(np.int64)
-
-
-def _count_slots(batches):
-    counts, n_docs, n_pairs = np.zeros(SLOTS, np.int64), 0, 0
-    for batch in batches:
-        n_docs += len(batch)
-        for words in word_chunks(batch.column(0)):
-            _, ids, _ = shingle_counts(words, SHINGLE_WORDS)
-            n_pairs += len(ids)
-            counts += np.bincount(_slots(ids), minlength=SLOTS)
-    slices = counts.reshape(SLICES, -1)
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.arange(SLICES), pa.int32()),
-            pa.array([s.tobytes() for s in slices], pa.binary()),
-            pa.array([n_docs] + [0] * (SLICES - 1), pa.int64()),
-            pa.array([n_pairs] + [0] * (SLICES - 1), pa.int64()),
-        ],
-        ["slice", "counts", "n_docs", "n_pairs"],
-    )
+def _planes(values: np.ndarray) -> bytes:
+    """64-bit integers a byte plane after the other, so that their high bytes, mostly zeros, compress."""
+    return values.view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
-def _add_slices(part: pd.DataFrame) -> pd.DataFrame:
-    total = np.zeros(SLOTS // SLICES, np.int64)
-    for counts in part["counts"]:
-        total += np.frombuffer(counts, np.int64)
-    first = part.iloc[:1].copy()
-    return first.assign(counts=[total.tobytes()], n_docs=part["n_docs"].sum(), n_pairs=part["n_pairs"].sum())
+def _values(planes: bytes) -> np.ndarray:
+    return np.frombuffer(planes, np.uint8).reshape(8, -1).T.copy().view(np.uint64).ravel()
 
 
-def shingle_weights(work: Workspace, texts: DataFrame) -> Weights:
-    """Weights from the document frequencies of all rows; ``texts`` has the text as its only column."""
-    schema = "slice int, counts binary, n_docs bigint, n_pairs bigint"
-    by_task = texts.mapInArrow(_count_slots, schema).withColumn("part", F.spark_partition_id() % FAN_IN)
-    added = by_task.groupBy("slice", "part").applyInPandas(_add_slices, schema + ", part int")
-    slots = work.keep(added.drop("part").groupBy("slice").applyInPandas(_add_slices, schema))
-    n_docs, n_pairs = slots.agg(F.coalesce(F.sum("n_docs"), F.lit(0)), F.coalesce(F.sum("n_pairs"), F.lit(0))).first()
-    least = max(2, -(-n_pairs // HEAVY_SHARE))
+def _counted_runs(slices: int):
+    """Arrow batches of texts to runs of shingles: range of ids, differences of the sorted ids, documents of each."""
+    edges = np.ceil(np.arange(slices + 1) * (2.0**SHINGLE_BITS / slices)).astype(np.uint64)
 
-    def reached(batches):
-        for batch in batches:
-            for which, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                slot = np.flatnonzero(np.frombuffer(counts, np.int64) >= least) + which * (SLOTS // SLICES)
-                yield pa.RecordBatch.from_arrays([pa.array(slot, pa.int64())], ["slot"])
-
-    # At most HEAVY_SHARE slots can have so many pairs.
-    heavy = slots.select("slice", "counts").mapInArrow(reached, "slot bigint").toPandas()["slot"].to_numpy()
-    work.drop(slots)
-    maybe = np.zeros(SLOTS, bool)
-    maybe[heavy] = True
-    marked = work.spark.sparkContext.broadcast(np.packbits(maybe))
-
-    def count_exactly(batches):
-        wanted = np.unpackbits(marked.value).astype(bool)
+    def run(found: list[np.ndarray]) -> pa.RecordBatch:
+        ids, counts = np.unique(np.concatenate(found), return_counts=True)
+        cuts = np.searchsorted(ids, edges)
+        some = np.flatnonzero(np.diff(cuts))
+        parts = [slice(cuts[k], cuts[k + 1]) for k in some]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(some, pa.int64()),
+                pa.array([_planes(np.diff(ids[p], prepend=np.uint64(0))) for p in parts], pa.binary()),
+                pa.array([_planes(counts[p].astype(np.uint64)) for p in parts], pa.binary()),
+            ],
+            ["slice", "steps", "counts"],
+        )
+
+    def count(batches):
+        found, held = [], 0
         for batch in batches:
-            found = [np.zeros(0, np.uint64)]
             for words in word_chunks(batch.column(0)):
                 _, ids, _ = shingle_counts(words, SHINGLE_WORDS)
-                found.append(ids[wanted[_slots(ids)]])
-            ids = np.sort(np.concatenate(found))
-            new = np.flatnonzero(np.diff(ids, prepend=np.uint64(1 << 63)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[new].astype(np.int64)), pa.array(np.diff(np.append(new, len(ids))))], ["id", "n"]
-            )
+                found.append(ids)
+                held += len(ids)
+                if held >= RUN:
+                    yield run(found)
+                    found, held = [], 0
+        if held:
+            yield run(found)
+
+    return count
+
+
+def _added_runs(runs: pa.Table) -> pa.Table:
+    """Frequencies above LEAST of one range of ids; the row without id holds the sum of all frequencies."""
+    ids = np.concatenate([np.cumsum(_values(r)) for r in runs["steps"].to_pylist()])
+    counts = np.concatenate([_values(r) for r in runs["counts"].to_pylist()]).astype(np.int64)
+    order = np.argsort(ids, kind="stable")
+    ids = ids[order]
+    first = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
+    total = np.add.reduceat(counts[order], first)
+    kept = total > LEAST
+    named = pa.array(ids[first[kept]].astype(np.int64))
+    return pa.table(
+        {
+            "id": pa.concat_arrays([pa.nulls(1, pa.int64()), named]),
+            "n": pa.array(np.concatenate(([total.sum()], total[kept])), pa.int64()),
+        }
+    )
+
+
+def shingle_weights(work: Workspace, texts: DataFrame) -> tuple[Weights, DataFrame, bool]:
+    """Weights from the document frequencies of all rows; ``texts`` has the text as its only column.
+
+    Besides the weights that every task gets: a table (id, n) of the other frequencies above LEAST, and whether
+    there can be any.
+    """
+    n_docs, n_bytes = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text").cast("bigint")), F.lit(0))).first()
+    runs = texts.mapInArrow(_counted_runs(max(1, -(-n_bytes // SLICE_BYTES))), "slice bigint, steps binary, counts binary")
+    counted = work.keep(runs.groupBy("slice").applyInArrow(_added_runs, "id bigint, n bigint"))
+    n_pairs = counted.where("id IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    heavy = max(LEAST, -(-n_pairs // HEAVY_SHARE))
+    named = counted.where("id IS NOT NULL")
+    frequent = named.where(F.col("n") >= heavy).toPandas()  # at most HEAVY_SHARE rows
+    weights = Weights(n_docs, LEAST, frequent["id"].to_numpy(np.uint64), frequent["n"].to_numpy(np.float64))
+    return weights, named.where(F.col("n") < heavy), heavy > LEAST + 1
 
-    counted = texts.mapInArrow(count_exactly, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
-    frequent = counted.where(F.col("n") >= least).toPandas()  # at most HEAVY_SHARE rows
-    return Weights(n_docs, least, frequent["id"].to_numpy(np.uint64), frequent["n"].to_numpy(np.float64))
+
+def unsent(weights):
+    """Column function: the shingles of a text whose frequencies ``weights``, a broadcast, does not have."""
+
+    @F.arrow_udf("array<bigint>")
+    def ids_of(texts: pa.Array) -> pa.Array:
+        parts = []
+        for words in word_chunks(texts):
+            bounds, ids, _ = shingle_counts(words, SHINGLE_WORDS)
+            known, _ = weights.value.knows(ids)
+            bounds = np.concatenate(([0], np.cumsum(~known)))[bounds]
+            parts.append(list_array(bounds, pa.array(ids[~known].astype(np.int64))))
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int64()))
+
+    return ids_of
+
+
+def with_frequencies(work: Workspace, texts: DataFrame, weights, others: DataFrame, any_: bool) -> DataFrame:
+    """The texts with ``seen_ids`` and ``seen_counts``, their shingles in ``others`` and the frequencies of these.
+
+    A shingle of ``others`` is in fewer than 1 / HEAVY_SHARE of all pairs, so that no key of the join is hot.
+    """
+    if not any_:
+        none = F.lit(None).cast("array<bigint>")
+        return texts.select("*", none.alias("seen_ids"), none.alias("seen_counts"))
+    # Texts that share a key would share their frequencies, which are the same for all.
+    key = F.xxhash64("node", "text_md5")
+    wanted = texts.select(key.alias("of"), F.explode(unsent(weights)("text")).alias("id"))
+    seen = wanted.join(others, "id").groupBy("of").agg(F.collect_list(F.struct("id", "n")).alias("seen"))
+    seen = seen.select("of", F.col("seen.id").alias("seen_ids"), F.col("seen.n").alias("seen_counts"))
+    frame = work.keep(texts.withColumn("of", key).join(seen, "of", "left").drop("of"))
+    work.drop(texts)
+    return frame
 
 
 # --- signatures
@@ -299,14 +356,16 @@ def class_links(nodes: np.ndarray, clusters: np.ndarray, elements: Elements, sim
 
 
 def _compared(rows: DataFrame, keys: list[str], weights, similarity: float) -> DataFrame:
-    """Links within the clusters of each group of ``keys``; rows have node, cluster and text."""
+    """Links within the clusters of each group of ``keys``; rows have node, cluster, text, seen_ids and seen_counts."""
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        elements = Elements(pa.array(group["text"], pa.string()), weights.value)
+        ids, counts = (np.concatenate([np.zeros(0, np.int64), *group[c].dropna()]) for c in ("seen_ids", "seen_counts"))
+        known = weights.value.extended(ids, counts.astype(np.float64))
+        elements = Elements(pa.array(group["text"], pa.string()), known)
         links = class_links(group["node"].to_numpy(), group["cluster"].to_numpy(), elements, similarity)
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
-    return rows.select("node", "cluster", "text", *keys).groupBy(*keys).applyInPandas(compare, "a bigint, b bigint")
+    return rows.select("node", "cluster", "text", "seen_ids", "seen_counts", *keys).groupBy(*keys).applyInPandas(compare, "a bigint, b bigint")
 
 
 def text_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -316,7 +375,8 @@ def text_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataF
     without id or words are not comparable.
     """
     work = Workspace(docs.sparkSession, "minhash")
-    weights = work.spark.sparkContext.broadcast(shingle_weights(work, docs.select("text")))
+    sent, others, any_ = shingle_weights(work, docs.select("text"))
+    weights = work.spark.sparkContext.broadcast(sent)
     signed = work.keep(
         docs.select(
             "doc_id",
@@ -360,6 +420,7 @@ def text_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataF
     )
     source = docs.select(F.col("doc_id").alias("node"), "text", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
     stored = work.keep(assigned.join(source, "node").dropDuplicates(["node", "text_md5"]))
+    stored = with_frequencies(work, stored, weights, others, any_)
     home = F.when(small, F.lit(-1)).otherwise(F.col("cluster"))
     every_block = F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)
     at = F.when(~small & (F.col("node") == F.col("pilot")), every_block).otherwise(F.array("block"))
@@ -385,7 +446,7 @@ def text_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataF
         more = work.keep(_compared(dealt, ["pair", "home"], weights, similarity))
         if not more.isEmpty():
             classes = connected_components(work, links.unionByName(more))
-    work.drop(stored, shared)
+    work.drop(shared)
 
     named = texts.select("text_md5", "node").join(classes, "node", "left")
     named = named.select("text_md5", "node", F.coalesce("component", "node").alias("class"))

@@ -122,6 +122,69 @@ def test_a_chain_of_texts_that_share_ids(spark, monkeypatch, block):
     assert {r.class_id for r in minhash.near_duplicates(docs).collect()} == {0}
 
 
+@pytest.mark.parametrize("block", [256, 8])
+def test_similarities_use_every_frequency(spark, monkeypatch, block):
+    """Frequencies too small to be sent to every task count as exactly as the others."""
+    rng = random.Random(21)
+    texts = []
+    for g in range(40):
+        # Passages of four to nine documents weigh less than unique ones; pairs beside the limit depend on it.
+        base = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+        for _ in range(rng.randrange(4, 10)):
+            text = edited(rng, base, rng.choice([0, 1, 1, 2]))
+            texts.append(" ".join(text + [f"y{rng.randrange(10**6)}" for _ in range(rng.randrange(8))]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    nodes = range(len(texts))
+    exact = weighted_similarities(texts)
+    expected = components_of(nodes, [k for k, s in exact.items() if s >= 0.8 - 1e-9])
+    monkeypatch.setattr(minhash, "HEAVY_SHARE", 64)
+    floored = components_of(nodes, [k for k, s in weighted_similarities(texts).items() if s >= 0.8 - 1e-9])
+    assert floored != expected
+    monkeypatch.setattr(minhash, "BLOCK_DOCS", block)
+    monkeypatch.setattr(minhash, "RUN", 500)
+    monkeypatch.setattr(minhash, "SLICE_BYTES", 5000)
+    assert {r.doc_id: r.class_id for r in minhash.near_duplicates(docs).collect()} == expected
+
+
+def test_frequencies_equal_counts(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "HEAVY_SHARE", 100)
+    monkeypatch.setattr(minhash, "RUN", 50)
+    monkeypatch.setattr(minhash, "SLICE_BYTES", 300)
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice("ab") for _ in range(rng.randrange(30))) for _ in range(80)] + [None, "", "a"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    weights, others, any_ = minhash.shingle_weights(Workspace(spark, "test"), docs)
+    bags = [shingle_counter(t or "") for t in texts]
+    frequencies = Counter(s for b in bags for s in b)
+    heavy = -(-sum(frequencies.values()) // 100)
+    assert heavy > 3 and any_
+    assert weights.n_docs == len(texts)
+    assert sorted(weights.frequencies) == sorted(n for n in frequencies.values() if n >= heavy)
+    assert sorted(r.n for r in others.collect()) == sorted(n for n in frequencies.values() if 2 < n < heavy)
+
+
+def test_classes_of_a_given_table_equal_brute_force(spark):
+    """All pairs that share a shingle, on the whole table: recall and precision of the links are 1."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    bags = {i: shingle_counter(t or "") for i, t in rows.items()}
+    frequencies = Counter(s for b in bags.values() for s in b)
+    top = math.log(len(rows) / 2)
+    factor = {s: 1 + math.log(len(rows) / max(n, 2)) / top for s, n in frequencies.items()}
+    size = {i: sum(n * factor[s] for s, n in b.items()) for i, b in bags.items()}
+    holders = {}
+    for i, bag in bags.items():
+        for s in bag:
+            holders.setdefault(s, []).append(i)
+    common = Counter()
+    for s, ids in holders.items():
+        for i, j in combinations(sorted(ids), 2):
+            common[i, j] += min(bags[i][s], bags[j][s]) * factor[s]
+    links = [(i, j) for (i, j), c in common.items() if c / (size[i] + size[j] - c) >= 0.8 - 1e-9]
+    assert len(links) > 50
+    assert {r.doc_id: r.class_id for r in minhash.near_duplicates(docs).collect()} == components_of(rows, links)
+
+
 def test_repeated_rows_nulls_and_empty_tables(spark):
     long = "a b c d e f g h"
     rows = [(1, long, "s"), (1, long, "s"), (None, long, "s"), (2, long, None), (3, None, "s"), (4, "", "s"), (3, None, "s")]
