@@ -257,6 +257,17 @@ def numeric_summary_narrowed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(op.numeric_summary(rows, rows.columns, direct_values=500), 4)
 
 
+def with_copies(people: DataFrame) -> DataFrame:
+    """People who stand for 0 to 3 equal rows each."""
+    return people.withColumn("copies", F.expr("hours_per_week % 4"))
+
+
+def numeric_summary_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summaries of the rows that the weights stand for, narrowed as columns of many values are."""
+    rows = with_copies(src.people(spark, sf_dir, NUMERIC))
+    return rounded(op.numeric_summary(rows, NUMERIC, direct_values=500, weight="copies"), 4)
+
+
 def profile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The column profile put together from the written states of the parts that the rows come in."""
     rows = src.people_nulls(spark, sf_dir)
@@ -359,6 +370,16 @@ def fit_optimality(handling: str, tolerance: float) -> Query:
     return run
 
 
+def fit_optimality_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for a fit with weights, on the rows that the weights stand for, made by repeating them."""
+    params = op.ModelParams(label_handle_invalid="error", weight_col="copies")
+    people = with_copies(training_people(spark, sf_dir))
+    classifier = op.fit_classifier(people, params)
+    plain = op.LinearModel(TWO_CLASSES, **{k: getattr(op.linear_model(classifier), k) for k in ("category_labels", "weights", "intercepts")})
+    repeated = people.where("copies > 0").select("*", F.explode(F.expr("sequence(1, copies)")).alias("copy"))
+    return op.fit_optimality(plain, repeated, 1e-4)
+
+
 def train_margins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Actual labels in the report of the training rows: negatives, positives, all."""
     report = train_report(spark, sf_dir)
@@ -406,6 +427,12 @@ def confusion_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.confusion_counts(frozen(spark, sf_dir))
 
 
+def outcomes_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Confusion counts and confidence measures with rows counted by weight."""
+    rows = src.frozen_scores(with_copies(src.people(spark, sf_dir, ["age", "workclass", "fnlwgt", "hours_per_week", "label"])))
+    return rounded(op.outcome_cells(rows, weight="copies"))
+
+
 def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.confusion_matrix(frozen_cells(spark, sf_dir))
 
@@ -546,6 +573,7 @@ def core_queries() -> dict[str, Query]:
         "numeric_summary": numeric_summary,
         "numeric_summary_nulls": numeric_summary_nulls,
         "numeric_summary_narrowed": numeric_summary_narrowed,
+        "numeric_summary_weighted": numeric_summary_weighted,
         "index_sex": index_of("sex"),
         "index_workclass": index_of("workclass"),
         "index_education": index_of("education"),
@@ -561,12 +589,14 @@ def core_queries() -> dict[str, Query]:
         "train_report": train_report,
         "fit_optimality": fit_optimality("keep", 1e-4),
         "fit_optimality_two_classes": fit_optimality("error", 1e-4),
+        "fit_optimality_weighted": fit_optimality_weighted,
         "train_margins": train_margins,
         "score_fixed": score_fixed,
         "score_fixed_new": score_fixed_new,
         "sample_fixed": sample_fixed,
         "decoded_predictions": decoded_predictions,
         "confusion_counts": confusion_counts,
+        "outcomes_weighted": outcomes_weighted,
         "confusion_matrix": confusion_matrix,
         "weighted_metrics": weighted_metrics,
         "binary_metrics": binary_metrics,
@@ -728,14 +758,18 @@ _FIXED_INDEX = (
 )
 
 
-def _optimality_sql(classes: list[int]) -> str:
+# Every row as often as it counts.
+_COPIES = "copies AS (SELECT *, unnest(range(hours_per_week % 4)) AS copy FROM {relation})"
+
+
+def _optimality_sql(classes: list[int], relation: str = "people") -> str:
     """Every class with every slot, in the order of the indexes; every condition holds."""
     lists = " UNION ALL ".join(
         f"SELECT {i} AS part, '{c}_encoded_' || {c} AS feature, n, {c} AS value FROM "
-        f"(SELECT {c}, count(*) AS n FROM people GROUP BY {c})"
+        f"(SELECT {c}, count(*) AS n FROM {relation} GROUP BY {c})"
         for i, c in enumerate(CATEGORICAL)
     )
-    return f"""WITH {_PEOPLE}, slots AS (
+    return f"""WITH {_PEOPLE}, {_COPIES.format(relation="people")}, slots AS (
   SELECT -1 AS slot, 'intercept' AS feature
   UNION ALL SELECT * FROM (VALUES (0, 'age'), (1, 'fnlwgt'), (2, 'hours_per_week'))
   UNION ALL SELECT 2 + row_number() OVER (ORDER BY part, n DESC, value), feature FROM ({lists}))
@@ -858,6 +892,7 @@ SELECT label, count(*) AS count FROM holes WHERE label IS NOT NULL GROUP BY labe
             "SELECT '{c}' AS column, {c} AS value, label, count(*) AS n FROM holes GROUP BY {c}, label",
         ),
         "numeric_summary": f"WITH {_PEOPLE} " + _summary_sql("people", NUMERIC, 4),
+        "numeric_summary_weighted": f"WITH {_PEOPLE}, {_COPIES.format(relation='people')} " + _summary_sql("copies", NUMERIC, 4),
         "numeric_summary_nulls": f"WITH {_NULLS} " + _summary_sql("holes", ["age_or_nan", "age"], 4),
         "index_sex": _index_sql("sex"),
         "index_workclass": _index_sql("workclass"),
@@ -880,6 +915,12 @@ SELECT label, count(*) AS count FROM holes WHERE label IS NOT NULL GROUP BY labe
         "decoded_predictions": f"""WITH {_SCORED}
 SELECT {', '.join(src.FEATURE_SCHEMA.names)}, prediction,
   CASE WHEN prediction = 0 THEN '>50K' ELSE '<=50K' END AS predicted_label FROM scored""",
+        "outcomes_weighted": f"""WITH {_SCORED}, {_COPIES.format(relation="scored")}
+SELECT label_indexed, prediction, count(*) AS n, count(confidence) AS n_confidence, round(sum(confidence), 6) AS confidence_sum,
+  round(min(confidence), 6) AS confidence_min, round(max(confidence), 6) AS confidence_max,
+  count(*) FILTER (confidence >= 0.8) AS n_high, count(*) FILTER (confidence >= 0.6 AND confidence < 0.8) AS n_medium,
+  count(*) FILTER (confidence < 0.6) AS n_low
+FROM copies GROUP BY label_indexed, prediction""",
         "confusion_counts": f"""WITH {_SCORED}
 SELECT label_indexed, prediction, count(*) AS n FROM scored GROUP BY label_indexed, prediction""",
         "confusion_matrix": f"WITH {_CELLS} SELECT tn, fp, fn, tp, CAST(0 AS BIGINT) AS other FROM cells",
@@ -908,6 +949,7 @@ SELECT CAST(fold AS INTEGER) AS fold, feature, ok FROM slots, (SELECT unnest(ran
         "ln(l_extendedprice) * 1e-3 AS scaled FROM lineitem) " + _summary_sql("prices", ["l_extendedprice", "rebate", "scaled"], 4),
         "fit_optimality": _optimality_sql([0, 1, 2]),
         "fit_optimality_two_classes": _optimality_sql([1]),
+        "fit_optimality_weighted": _optimality_sql([1], "copies"),
         "train_margins": f"""WITH {_PEOPLE}
 SELECT count(*) FILTER (label = '<=50K') AS negatives, count(*) FILTER (label = '>50K') AS positives, count(*) AS n_rows
 FROM people""",

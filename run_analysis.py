@@ -27,6 +27,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--reg-param", type=float, default=defaults.reg_param)
     parser.add_argument("--elastic-net", type=float, default=defaults.elastic_net)
     parser.add_argument("--max-category-values", type=int, default=None)
+    parser.add_argument("--weight-col", default=None, help="column that says how many equal rows a row stands for in fit and metrics")
     parser.add_argument("--held-out", type=float, default=0.0, help="share of every class the fit does not see")
     parser.add_argument("--save-model", default=None, help="folder to save the fitted model in, as its next version")
     args = vars(parser.parse_args(argv))

@@ -1,6 +1,6 @@
 """Column expressions shared by the operators. All of them are JVM-side built-ins."""
 
-from tallyframe.functions.columns import is_missing, ref, share
+from tallyframe.functions.columns import is_missing, ref, row_weight, share
 from tallyframe.functions.probabilities import class_probability, confidence, probability_array
 
 __all__ = [
@@ -9,5 +9,6 @@ __all__ = [
     "is_missing",
     "probability_array",
     "ref",
+    "row_weight",
     "share",
 ]

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyframe.functions import class_probability, ref, share
+from tallyframe.functions import class_probability, ref, row_weight, share
 from tallyframe.operators.quantiles import numeric_summary
-from tallyframe.operators.summary import confidence_measures
+from tallyframe.operators.summary import confidence_measures, weighted_rows
 from tallyframe.sources.staging import run_folder, stage_parquet
 
 
@@ -22,13 +23,19 @@ def require_columns(df: DataFrame, *names: str) -> None:
 
 
 def confusion_counts(
-    scored: DataFrame, label_col: str = "label_indexed", prediction_col: str = "prediction"
+    scored: DataFrame,
+    label_col: str = "label_indexed",
+    prediction_col: str = "prediction",
+    weight: str | None = None,
 ) -> DataFrame:
-    """Rows per (label_indexed, prediction)."""
+    """Rows per (label_indexed, prediction); with ``weight``, a column's name, the sum of their weights."""
     require_columns(scored, label_col, prediction_col)
-    return scored.groupBy(
-        ref(label_col).alias("label_indexed"), ref(prediction_col).alias("prediction")
-    ).agg(F.count(F.lit(1)).alias("n"))
+    n = F.count(F.lit(1)) if weight is None else F.sum(row_weight(weight))
+    return (
+        weighted_rows(scored, weight)
+        .groupBy(ref(label_col).alias("label_indexed"), ref(prediction_col).alias("prediction"))
+        .agg(n.alias("n"))
+    )
 
 
 def outcome_cells(
@@ -36,15 +43,17 @@ def outcome_cells(
     label_col: str = "label_indexed",
     prediction_col: str = "prediction",
     probability_col: str = "probability",
+    weight: str | None = None,
 ) -> DataFrame:
-    """Confusion counts and confidence measures of the same cells, in one pass.
+    """Confusion counts and confidence measures of the same cells, in one pass, rows by weight if one is named.
 
     Input to every metric and summary function of the package.
     """
     require_columns(scored, label_col, prediction_col, probability_col)
+    scored = weighted_rows(scored, weight)
     return scored.groupBy(
         ref(label_col).alias("label_indexed"), ref(prediction_col).alias("prediction")
-    ).agg(*confidence_measures(scored, probability_col))
+    ).agg(*confidence_measures(scored, probability_col, weight))
 
 
 def _cells(positive: float) -> dict[str, Column]:
@@ -66,8 +75,12 @@ def _cells(positive: float) -> dict[str, Column]:
 
 
 def confusion_matrix(confusion: DataFrame, positive: float = 1.0) -> DataFrame:
-    """One row: tn, fp, fn, tp, and ``other`` for NULL or unknown-class labels and predictions."""
-    return confusion.agg(*[e.cast("long").alias(name) for name, e in _cells(positive).items()])
+    """One row: tn, fp, fn, tp, and ``other`` for NULL or unknown-class labels and predictions.
+
+    Longs, or doubles where rows were counted by weights that are no whole numbers.
+    """
+    kind = "long" if isinstance(confusion.schema["n"].dataType, T.IntegralType) else "double"
+    return confusion.agg(*[e.cast(kind).alias(name) for name, e in _cells(positive).items()])
 
 
 def binary_metrics(confusion: DataFrame, positive: float = 1.0) -> DataFrame:
@@ -127,13 +140,16 @@ def weighted_metrics(confusion: DataFrame) -> DataFrame:
     )
 
 
-def class1_probability_summary(scored: DataFrame, probability_col: str = "probability") -> DataFrame:
-    """count, mean, stddev, min, exact quartiles and max of the probability of class 1.
+def class1_probability_summary(
+    scored: DataFrame, probability_col: str = "probability", weight: str | None = None
+) -> DataFrame:
+    """count, mean, stddev, min, exact quartiles and max of the probability of class 1, rows by whole weights if named.
 
     A probability vector of length one contributes its only entry. The probabilities are written once, as one
     column of doubles, so that the passes of the quantiles do not score the rows again.
     """
     require_columns(scored, probability_col)
-    p = scored.select(class_probability(scored, probability_col, 1).cast("double").alias("class1_probability"))
+    counted = [] if weight is None else [ref(weight).alias("weight")]
+    p = scored.select(class_probability(scored, probability_col, 1).cast("double").alias("class1_probability"), *counted)
     staged = stage_parquet(p, run_folder(scored.sparkSession, "class1_probability"))
-    return numeric_summary(staged, ["class1_probability"])
+    return numeric_summary(staged, ["class1_probability"], weight=None if weight is None else "weight")

@@ -9,7 +9,7 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssemble
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.functions import ref
+from tallyframe.functions import ref, row_weight
 
 
 def indexed(column: str) -> str:
@@ -20,24 +20,29 @@ def encoded(column: str) -> str:
     return f"{column}_encoded"
 
 
-def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows per (column, value) of several categorical columns, in one pass; NULL is left out."""
-    return (
-        df.select(*[ref(c).cast("string").alias(c) for c in columns])
-        .unpivot([], [ref(c) for c in columns], "column", "value")
-        .where(F.col("value").isNotNull())
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+def category_counts(df: DataFrame, columns: Sequence[str], weight: str | None = None) -> DataFrame:
+    """Rows (or their weights) per (column, value) of several categorical columns, in one pass; NULL is left out."""
+    values = [ref(c).cast("string").alias(c) for c in columns]
+    if weight is None:
+        long = df.select(*values).unpivot([], [ref(c) for c in columns], "column", "value")
+        n = F.count(F.lit(1))
+    else:
+        # The entries go by position, so that a column named like the weight stays apart.
+        entries = [F.struct(F.lit(c).alias("column"), v.alias("value")) for c, v in zip(columns, values)]
+        long = df.select(row_weight(weight).alias("weight"), F.explode(F.array(*entries)).alias("e")).select("weight", "e.*")
+        n = F.sum("weight")
+    return long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(n.alias("n"))
 
 
-def category_labels(df: DataFrame, columns: Sequence[str], max_values: int | None = None) -> dict[str, list[str]]:
-    """Values of each categorical column, most frequent first, ties in value order.
+def category_labels(
+    df: DataFrame, columns: Sequence[str], max_values: int | None = None, weight: str | None = None
+) -> dict[str, list[str]]:
+    """Values of each categorical column, most frequent (by weight, if given) first, ties in value order.
 
     One scan for all columns. The lists live on the driver and in every scoring task, as in any
     Spark ML indexer; with ``max_values``, more values than that in all columns together raise.
     """
-    counts = category_counts(df, columns)
+    counts = category_counts(df, columns, weight)
     rows = (counts if max_values is None else counts.limit(max_values + 1)).collect()
     if max_values is not None and len(rows) > max_values:
         raise ValueError(f"more than {max_values} distinct values in the categorical columns {list(columns)}")

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import math
+from dataclasses import dataclass, replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.functions import probability_array, ref
+from tallyframe.functions import probability_array, ref, row_weight, share
 from tallyframe.operators import features as feature_stages
 
 UNKNOWN = "__unknown"
@@ -36,6 +37,8 @@ class ModelParams:
     max_category_values: int | None = None
     # Depth of the gradient reduction; raise it for very many partitions or slots.
     aggregation_depth: int = 2
+    # A column that says how many equal rows a row stands for, fractions allowed; NULL and 0 leave it out.
+    weight_col: str | None = None
 
 
 @dataclass(frozen=True)
@@ -57,10 +60,34 @@ class Classifier:
 
 def training_rows(df: DataFrame, params: ModelParams) -> DataFrame:
     """The columns and rows the fit reads."""
-    used = df.select(*[ref(c) for c in (*params.numeric_cols, *params.categorical_cols, params.label_col)])
+    names = [*params.numeric_cols, *params.categorical_cols, params.label_col]
+    if params.weight_col is not None:
+        df = df.where(row_weight(params.weight_col) > 0)
+        names.append(params.weight_col)
+    used = df.select(*[ref(c) for c in dict.fromkeys(names)])
     return used if params.keep_null_labels else used.where(ref(params.label_col).isNotNull())
 
 
+def _for_weights(params: ModelParams, rows: DataFrame) -> ModelParams:
+    """The penalty that makes weights count as rows.
+
+    The regression divides features by a deviation whose divisor is W - V / W, for sums W of the weights and V of
+    their squares; that of equal repeated rows is W - 1. All features' deviations differ by the one factor, which
+    moves into the two parts of the penalty. The skipping of rows with missing numbers is as in the assembly stage.
+    """
+    if params.numeric_handle_invalid == "skip":
+        for c in params.numeric_cols:
+            rows = rows.where(ref(c).isNotNull() & ~F.isnan(ref(c).cast("double")))
+    w = row_weight(params.weight_col).cast("double")
+    total, squares = rows.agg(F.sum(w), F.sum(w * w)).first()
+    if total is None or total <= 1:
+        raise ValueError(f"the weights in {params.weight_col!r} must add up to more than one row, not {total or 0}")
+    factor = math.sqrt(max(total - squares / total, 0.0) / (total - 1))
+    l1 = params.reg_param * params.elastic_net * factor
+    l2 = params.reg_param * (1 - params.elastic_net) * factor**2
+    return replace(params, reg_param=l1 + l2, elastic_net=l1 / (l1 + l2) if l1 else 0.0)
+
+
 def build_pipeline(params: ModelParams, labels: dict[str, list[str]]) -> Pipeline:
     """The stages in order: category indexes, label index, one-hot, assembly, regression.
 
@@ -85,6 +112,7 @@ def build_pipeline(params: ModelParams, labels: dict[str, list[str]]) -> Pipelin
                 regParam=params.reg_param,
                 elasticNetParam=params.elastic_net,
                 aggregationDepth=params.aggregation_depth,
+                weightCol=params.weight_col or "",
             ),
         ]
     )
@@ -98,14 +126,15 @@ def fit_classifier(df: DataFrame, params: ModelParams = ModelParams()) -> Classi
     """
     rows = training_rows(df, params)
     labels = feature_stages.category_labels(
-        rows, [*params.categorical_cols, params.label_col], params.max_category_values
+        rows, [*params.categorical_cols, params.label_col], params.max_category_values, params.weight_col
     )
     classes = labels[params.label_col]
     if len(classes) != 2:
         raise ValueError(f"a binary target needs 2 label values, {params.label_col!r} has {classes[:10]}")
     if params.positive_label not in classes:
         raise ValueError(f"positive label {params.positive_label!r} is not one of {classes}")
-    return Classifier(build_pipeline(params, labels).fit(rows), params, labels)
+    fitted = params if params.weight_col is None else _for_weights(params, rows)
+    return Classifier(build_pipeline(fitted, labels).fit(rows), params, labels)
 
 
 def score(classifier: Classifier, df: DataFrame) -> DataFrame:
@@ -138,17 +167,22 @@ def coefficient_table(spark: SparkSession, classifier: Classifier, names: list[s
 
 
 def calibration(classifier: Classifier, scored: DataFrame) -> DataFrame:
-    """Per label: its share of the labelled rows and its mean predicted probability, one pass.
+    """Per label: its share of the labelled rows and its mean predicted probability, one pass, rows by weight.
 
     The intercepts carry no penalty, so at the optimum the two agree on the training rows.
     """
     p = probability_array(scored)
     label = ref(classifier.params.label_col)
     known = scored.where(label.isNotNull())
+    weight = classifier.params.weight_col
+
+    def mean(value: Column) -> Column:
+        return F.avg(value) if weight is None else share(F.sum(row_weight(weight) * value), F.sum(row_weight(weight)))
+
     wide = known.agg(
-        *[F.avg(F.get(p, F.lit(i))).alias(f"p_{i}") for i, _ in enumerate(classifier.labels)],
+        *[mean(F.get(p, F.lit(i))).alias(f"p_{i}") for i, _ in enumerate(classifier.labels)],
         *[
-            F.avg(F.when(label == v, 1.0).otherwise(0.0)).alias(f"s_{i}")
+            mean(F.when(label == v, 1.0).otherwise(0.0)).alias(f"s_{i}")
             for i, v in enumerate(classifier.labels)
         ],
     )

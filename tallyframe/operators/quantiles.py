@@ -21,11 +21,11 @@ import struct
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyframe.functions import ref
+from tallyframe.functions import ref, row_weight
 from tallyframe.functions.sort_keys import with_sort_key
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -96,7 +96,12 @@ def _in_brackets(values: DataFrame, brackets: Sequence[_Bracket]) -> DataFrame:
     the input columns would make the optimizer copy whatever expression defines them.
     """
     number = "CASE " + " ".join(f"WHEN {b.holds()} THEN {i}" for i, b in enumerate(brackets)) + " END"
-    return values.selectExpr(f"{number} AS bracket", "value").where("bracket IS NOT NULL")
+    return values.selectExpr(f"{number} AS bracket", "* EXCEPT (name)").where("bracket IS NOT NULL")
+
+
+def _tally(values: DataFrame) -> Column:
+    """How many rows the values count for: their weights, where they have any."""
+    return F.sum("weight") if "weight" in values.columns else F.count(F.lit(1))
 
 
 def _with_start(counted: DataFrame, order: str) -> DataFrame:
@@ -111,7 +116,12 @@ def _split(values: DataFrame, brackets: Sequence[_Bracket]) -> list[_Bracket]:
     counted = (
         with_sort_key(_in_brackets(values, brackets), 64)
         .groupBy("bracket", F.expr(bucket).alias("bucket"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+        .agg(
+            _tally(values).alias("n"),
+            F.count(F.lit(1)).alias("held"),
+            F.min("value").alias("low"),
+            F.max("value").alias("high"),
+        )
     )
     narrowed = []
     for row in _with_start(counted, "bucket").where(_wanted(brackets)).collect():
@@ -121,7 +131,7 @@ def _split(values: DataFrame, brackets: Sequence[_Bracket]) -> list[_Bracket]:
             for key, rank in parent.ranks.items()
             if row["start"] <= rank < row["start"] + row["n"]
         }
-        narrowed.append(_Bracket(parent.slot, row["low"], row["high"], row["n"], ranks, parent.integral))
+        narrowed.append(_Bracket(parent.slot, row["low"], row["high"], row["held"], ranks, parent.integral))
     return narrowed
 
 
@@ -130,6 +140,7 @@ def numeric_summary(
     columns: Sequence[str],
     probabilities: Sequence[float] = QUARTILES,
     direct_values: int | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """count, mean, sample stddev, min, quantiles and max per column; NULL and NaN are skipped.
 
@@ -137,10 +148,22 @@ def numeric_summary(
     A column without values gives n = 0 and NULL statistics. The moments and the narrowing run
     when this is called, the last pass when the result is read. ``direct_values`` is how many values
     of a bracket one task may rank (``DIRECT_VALUES`` if not given).
+
+    ``weight`` names a column of whole numbers: how many equal rows a row stands for. All results, ``n`` and the
+    ranks of the quantiles included, are those of the repeated rows, which are never made. NULL and 0 leave a
+    row out, a negative weight stops the job. One more pass sums the squared deviations.
     """
     most = DIRECT_VALUES if direct_values is None else direct_values
-    numbered = df.select(*[ref(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
-    moments = _moments(numbered)
+    slots = [f"v{i}" for i in range(len(columns))]
+    numbers = [ref(c).cast("double").alias(v) for c, v in zip(columns, slots)]
+    if weight is None:
+        numbered, kept = df.select(*numbers), []
+        moments = _moments(numbered)
+    else:
+        if not isinstance(df.schema[weight].dataType, T.IntegralType):
+            raise ValueError(f"weights must be whole numbers, {weight!r} is {df.schema[weight].dataType.simpleString()}")
+        numbered, kept = df.select(*numbers, row_weight(weight).cast("bigint").alias("weight")).where("weight > 0"), ["weight"]
+        moments = _weighted_moments(numbered, slots)
 
     types = [df.schema[c].dataType for c in columns]
     brackets, fractions = [], {}
@@ -153,9 +176,9 @@ def numeric_summary(
             ranks[q, 0], ranks[q, 1] = math.floor(position), math.ceil(position)
             fractions[slot, q] = position - math.floor(position)
         integral = isinstance(types[slot], T.IntegralType)
-        brackets.append(_Bracket(slot, m["min"], m["max"], m["n"], ranks, integral))
+        brackets.append(_Bracket(slot, m["min"], m["max"], m.get("held", m["n"]), ranks, integral))
 
-    values = numbered.unpivot([], numbered.columns, "name", "value").where("value IS NOT NULL AND NOT isnan(value)")
+    values = numbered.unpivot(kept, slots, "name", "value").where("value IS NOT NULL AND NOT isnan(value)")
     while large := [b for b in brackets if not b.direct(most)]:
         brackets = [b for b in brackets if b not in large] + _split(values, large)
 
@@ -164,7 +187,7 @@ def numeric_summary(
     known = {(b.slot, key): _sql(b.low) for b in brackets if b.single for key in b.ranks}
     rest = [b for b in brackets if not b.single]
     if rest:
-        counted = _in_brackets(values, rest).groupBy("bracket", "value").agg(F.count(F.lit(1)).alias("n"))
+        counted = _in_brackets(values, rest).groupBy("bracket", "value").agg(_tally(values).alias("n"))
         picks = {(b.slot, key): _has(i, rank) for i, b in enumerate(rest) for key, rank in b.ranks.items()}
         found = (
             _with_start(counted, "value")
@@ -218,7 +241,35 @@ def _moments(numbered: DataFrame) -> list[dict]:
             "max": f"max(nanvl({v}, NULL))",
         }.items()
     ]
-    row = numbered.selectExpr(*measures).first().asDict()
-    return [
-        {k.removeprefix(f"{v}_"): x for k, x in row.items() if k.startswith(f"{v}_")} for v in numbered.columns
-    ]
+    return _by_column(numbered.selectExpr(*measures), numbered.columns)
+
+
+def _weighted_moments(numbered: DataFrame, slots: Sequence[str]) -> list[dict]:
+    """The same of the rows that the weights stand for, and how many values are held; the deviations in a second pass.
+
+    Squares of deviations from the known mean add up without the cancellation that sums of squares suffer.
+    """
+    measures = []
+    for v in slots:
+        own = f"CASE WHEN {v} IS NOT NULL AND NOT isnan({v}) THEN weight END"
+        measures += [
+            f"coalesce(sum({own}), 0L) AS {v}_n",
+            f"count({own}) AS {v}_held",
+            f"sum(nanvl({v}, NULL) * weight) / sum({own}) AS {v}_mean",
+            f"min(nanvl({v}, NULL)) AS {v}_min",
+            f"max(nanvl({v}, NULL)) AS {v}_max",
+        ]
+    found = _by_column(numbered.selectExpr(*measures), slots)
+    apart = {v: f"(nanvl({v}, NULL) - {_sql(m['mean'])})" for v, m in zip(slots, found) if m["n"] > 1}
+    squares = {}
+    if apart:
+        squares = numbered.selectExpr(*[f"sum(weight * {d} * {d}) AS {v}" for v, d in apart.items()]).first().asDict()
+    for v, m in zip(slots, found):
+        m["stddev"] = math.sqrt(squares[v] / (m["n"] - 1)) if v in apart else None
+    return found
+
+
+def _by_column(measured: DataFrame, slots: Sequence[str]) -> list[dict]:
+    """The measures of each column from the one row that has them all."""
+    row = measured.first().asDict()
+    return [{k.removeprefix(f"{v}_"): x for k, x in row.items() if k.startswith(f"{v}_")} for v in slots]

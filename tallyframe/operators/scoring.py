@@ -15,7 +15,7 @@ from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.functions import ref
+from tallyframe.functions import ref, row_weight
 from tallyframe.operators.features import indexed
 from tallyframe.operators.model import Classifier, ModelParams
 
@@ -187,7 +187,7 @@ def fit_optimality(classifier: Classifier | LinearModel, training: DataFrame, to
     over weights w of features scaled to unit deviation; the intercepts, slot -1, carry no penalty. At
     the minimum the gradient of a weight other than zero cancels its penalty's, and that of a zero
     weight is no larger than the penalty's slope. ``ok`` is that condition up to ``tolerance``; a slot
-    without deviation must have weight zero.
+    without deviation must have weight zero. With a ``weight_col`` a row counts as that many equal rows.
 
     One pass: every row adds its residuals to the slots it fills, summed per task before the shuffle.
     """
@@ -195,6 +195,8 @@ def fit_optimality(classifier: Classifier | LinearModel, training: DataFrame, to
     p, first = model.params, model.first_slots()
     label = p.label_col
     known = training if p.keep_null_labels else training.where(ref(label).isNotNull())
+    if p.weight_col is not None:
+        known = known.where(row_weight(p.weight_col) > 0)
     rows, margins, numbers, places = with_margins(model, known)
     rows, _ = with_probability(rows, margins)
     position = F.array_position(constant_array(model.labels, "string"), ref(label).cast("string")) - 1
@@ -211,11 +213,13 @@ def fit_optimality(classifier: Classifier | LinearModel, training: DataFrame, to
         F.when(F.col(place) < len(model.category_labels[c]), filled(F.col(place) + first[c], F.lit(1.0)))
         for c, place in places.items()
     ]
-    long = rows.select(*residuals, F.explode(F.array_compact(F.array(*entries))).alias("e"))
+    weight = F.lit(1.0) if p.weight_col is None else row_weight(p.weight_col).cast("double")
+    long = rows.select(*residuals, weight.alias("w"), F.explode(F.array_compact(F.array(*entries))).alias("e"))
+    weighted = F.col("w") * F.col("e.value")
     sums = long.groupBy("e.slot").agg(
-        F.sum("e.value").alias("s1"),
-        F.sum(F.col("e.value") * F.col("e.value")).alias("s2"),
-        *[F.sum(F.col(f"r{k}") * F.col("e.value")).alias(f"g{k}") for k in classes],
+        F.sum(weighted).alias("s1"),
+        F.sum(weighted * F.col("e.value")).alias("s2"),
+        *[F.sum(F.col(f"r{k}") * weighted).alias(f"g{k}") for k in classes],
     )
     # One row per slot from here on.
     n = F.max(F.when(F.col("slot") == -1, F.col("s1"))).over(Window.partitionBy())

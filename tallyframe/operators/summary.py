@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.functions import confidence, ref, share
+from tallyframe.functions import confidence, ref, row_weight, share
 from tallyframe.operators.model import decoded
 
 # Limits of the confidence bands (fixed values).
@@ -19,9 +19,31 @@ HIGH_CONFIDENCE = 0.8
 MEDIUM_CONFIDENCE = 0.6
 
 
-def confidence_measures(scored: DataFrame, probability_col: str = "probability") -> list[Column]:
-    """Additive measures of row confidence: any grouping of them can be merged further."""
+def confidence_measures(
+    scored: DataFrame, probability_col: str = "probability", weight: str | None = None
+) -> list[Column]:
+    """Additive measures of row confidence: any grouping of them can be merged further.
+
+    With ``weight``, the name of a column, a row counts as that many equal rows; rows of weight 0 belong out of
+    the input (``weighted_rows``), as they would still count for the extremes.
+    """
     c = confidence(scored, probability_col)
+    if weight is not None:
+        w = row_weight(weight)
+
+        def within(condition: Column) -> Column:
+            return F.coalesce(F.sum(F.when(condition, w)), F.lit(0))
+
+        return [
+            F.sum(w).alias("n"),
+            within(c.isNotNull()).alias("n_confidence"),
+            F.sum(w * c).alias("confidence_sum"),
+            F.min(c).alias("confidence_min"),
+            F.max(c).alias("confidence_max"),
+            within(c >= HIGH_CONFIDENCE).alias("n_high"),
+            within((c >= MEDIUM_CONFIDENCE) & (c < HIGH_CONFIDENCE)).alias("n_medium"),
+            within(c < MEDIUM_CONFIDENCE).alias("n_low"),
+        ]
     return [
         F.count(F.lit(1)).alias("n"),
         F.count(c).alias("n_confidence"),
@@ -34,12 +56,18 @@ def confidence_measures(scored: DataFrame, probability_col: str = "probability")
     ]
 
 
+def weighted_rows(df: DataFrame, weight: str | None) -> DataFrame:
+    """The rows that count: all, or those of a weight above 0."""
+    return df if weight is None else df.where(row_weight(weight) > 0)
+
+
 def confidence_cells(
-    scored: DataFrame, prediction_col: str = "prediction", probability_col: str = "probability"
+    scored: DataFrame, prediction_col: str = "prediction", probability_col: str = "probability", weight: str | None = None
 ) -> DataFrame:
-    """Row count and confidence measures per predicted class."""
+    """Row count (or weight) and confidence measures per predicted class."""
+    scored = weighted_rows(scored, weight)
     return scored.groupBy(ref(prediction_col).alias("prediction")).agg(
-        *confidence_measures(scored, probability_col)
+        *confidence_measures(scored, probability_col, weight)
     )
 
 

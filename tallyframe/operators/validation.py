@@ -13,10 +13,11 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyframe.functions import ref, share
+from tallyframe.functions import ref, row_weight, share
 from tallyframe.operators.evaluation import binary_metrics
 from tallyframe.operators.model import Classifier, ModelParams, fit_classifier
 from tallyframe.operators.scoring import bulk_score, linear_model
+from tallyframe.operators.summary import weighted_rows
 
 #: The share of the free storage memory that the rows of all running fits may take.
 MEMORY_SHARE = 0.5
@@ -70,18 +71,23 @@ def fit_folds(
 
 
 def judged(classifier: Classifier, held_out: DataFrame) -> tuple:
-    """n_rows, log_loss, accuracy, positive precision, recall and F1 on rows with a label, in one pass."""
-    label = classifier.params.label_col
-    scored = bulk_score(classifier, held_out.where(ref(label).isNotNull()))
+    """n_rows, log_loss, accuracy, positive precision, recall and F1 on rows with a label, in one pass.
+
+    With a ``weight_col`` all but n_rows count a row as that many equal ones.
+    """
+    label, weight = classifier.params.label_col, classifier.params.weight_col
+    scored = bulk_score(classifier, weighted_rows(held_out.where(ref(label).isNotNull()), weight))
+    w = F.lit(1) if weight is None else row_weight(weight)
     known = F.get("probability", F.col(f"`{label}_indexed`").cast("int"))
     cells = scored.groupBy(F.col(f"`{label}_indexed`").alias("label_indexed"), "prediction").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(-F.log(known)).alias("loss")
+        F.sum(w).alias("n"), F.sum(-F.log(known) * w).alias("loss"), F.count(F.lit(1)).alias("n_rows")
     )
     few = cells.collect()
     n = sum(r["n"] for r in few)
-    table = held_out.sparkSession.createDataFrame([tuple(r)[:3] for r in few], "label_indexed double, prediction double, n bigint")
+    kind = cells.schema["n"].dataType.simpleString()
+    table = held_out.sparkSession.createDataFrame([tuple(r)[:3] for r in few], f"label_indexed double, prediction double, n {kind}")
     metrics = binary_metrics(table, classifier.positive_index).first()
-    return (n, sum(r["loss"] for r in few) / n if n else None, *metrics)
+    return (sum(r["n_rows"] for r in few), sum(r["loss"] for r in few) / n if n else None, *metrics)
 
 
 def cross_validation(

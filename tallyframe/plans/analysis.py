@@ -130,11 +130,11 @@ def run_analysis(
     keep("prediction_sample", scoring.prediction_sample(classifier, training))
     scored = scoring.bulk_score(classifier, training)
     label = f"{params.label_col}_indexed"
-    outcomes = keep("outcome_cells", evaluation.outcome_cells(scored, label_col=label))
+    outcomes = keep("outcome_cells", evaluation.outcome_cells(scored, label_col=label, weight=params.weight_col))
     positive = classifier.positive_index
     if rest is not None:
         unseen = scoring.bulk_score(classifier, rest)
-        cells = keep("held_out_outcome_cells", evaluation.outcome_cells(unseen, label_col=label))
+        cells = keep("held_out_outcome_cells", evaluation.outcome_cells(unseen, label_col=label, weight=params.weight_col))
         keep("held_out_binary_metrics", evaluation.binary_metrics(cells, positive))
         keep("held_out_weighted_metrics", evaluation.weighted_metrics(cells))
         points = keep("held_out_roc_points", ranking.roc_points(unseen, label, positive=int(positive)))
