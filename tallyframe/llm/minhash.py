@@ -53,6 +53,8 @@ LEAST = 2
 HEAVY_SHARE = 1 << 17
 #: A task counts so many shingles before it sends them, and adds up those of so many bytes of texts at once.
 RUN, SLICE_BYTES = 1 << 21, 16 << 20
+#: A task sends about so many counted shingles in one batch.
+SENT = 1 << 17
 
 BLOCK_DOCS, BLOCK_BYTES = 256, 16 << 20
 _TABLE = 1 << 14
@@ -108,19 +110,29 @@ def _counted_runs(slices: int):
     """Arrow batches of texts to runs of shingles: range of ids, differences of the sorted ids, documents of each."""
     edges = np.ceil(np.arange(slices + 1) * (2.0**SHINGLE_BITS / slices)).astype(np.uint64)
 
-    def run(found: list[np.ndarray]) -> pa.RecordBatch:
-        ids, counts = np.unique(np.concatenate(found), return_counts=True)
+    def run(found: list[np.ndarray]):
+        """Batches of ranges of about SENT ids; ``found`` is emptied, so that its ids are held once."""
+        ids = np.concatenate(found)
+        found.clear()
+        ids.sort()
+        first = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
+        counts = np.diff(np.append(first, len(ids))).astype(np.uint64)
+        ids = ids[first]
+        del first
         cuts = np.searchsorted(ids, edges)
         some = np.flatnonzero(np.diff(cuts))
-        parts = [slice(cuts[k], cuts[k + 1]) for k in some]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(some, pa.int64()),
-                pa.array([_planes(np.diff(ids[p], prepend=np.uint64(0))) for p in parts], pa.binary()),
-                pa.array([_planes(counts[p].astype(np.uint64)) for p in parts], pa.binary()),
-            ],
-            ["slice", "steps", "counts"],
-        )
+        while len(some):
+            n = max(1, int(np.searchsorted(cuts[some + 1], cuts[some[0]] + SENT, "right")))
+            parts = [slice(cuts[k], cuts[k + 1]) for k in some[:n]]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(some[:n], pa.int64()),
+                    pa.array([_planes(np.diff(ids[p], prepend=np.uint64(0))) for p in parts], pa.binary()),
+                    pa.array([_planes(counts[p]) for p in parts], pa.binary()),
+                ],
+                ["slice", "steps", "counts"],
+            )
+            some = some[n:]
 
     def count(batches):
         found, held = [], 0
@@ -130,10 +142,10 @@ def _counted_runs(slices: int):
                 found.append(ids)
                 held += len(ids)
                 if held >= RUN:
-                    yield run(found)
-                    found, held = [], 0
+                    yield from run(found)
+                    held = 0
         if held:
-            yield run(found)
+            yield from run(found)
 
     return count
 
