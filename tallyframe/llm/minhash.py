@@ -52,7 +52,7 @@ LEAST = 2
 #: Frequencies of at least 1 / HEAVY_SHARE of all (document, shingle) pairs are sent to every task.
 HEAVY_SHARE = 1 << 17
 #: A task counts so many shingles before it sends them, and adds up those of so many bytes of texts at once.
-RUN, SLICE_BYTES = 1 << 21, 16 << 20
+RUN, SLICE_BYTES = 1 << 19, 4 << 20
 #: A task sends about so many counted shingles in one batch.
 SENT = 1 << 17
 
@@ -225,17 +225,23 @@ def with_frequencies(work: Workspace, texts: DataFrame, weights, others: DataFra
 @lru_cache(maxsize=1)
 def _sampling_tables():
     """r, 1 / r, ln c and beta for a shingle's table row and each sample; scores and steps of the plain weight 2."""
-    uniform = [
-        ((stream(10 + i, _TABLE * SAMPLES) >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53 for i in range(5)
-    ]
-    r = -np.log(uniform[0] * uniform[1])
-    c = -np.log(uniform[2] * uniform[3])
-    tables = [t.reshape(_TABLE, SAMPLES).astype(np.float32) for t in (r, 1 / r, np.log(c), uniform[4])]
-    score, step = _sample(tables, np.arange(_TABLE), np.full(_TABLE, np.log(2.0), np.float32))
+
+    def uniform(i: int) -> np.ndarray:
+        return ((stream(10 + i, _TABLE * SAMPLES) >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
+
+    def narrow(t: np.ndarray) -> np.ndarray:
+        return t.reshape(_TABLE, SAMPLES).astype(np.float32)
+
+    # One wide array after the other: a worker keeps what it once took.
+    r = -np.log(uniform(0) * uniform(1))
+    tables = [narrow(r), narrow(1 / r)]
+    del r
+    tables += [narrow(np.log(-np.log(uniform(2) * uniform(3)))), narrow(uniform(4))]
+    score, step = _sample(tables, slice(None), np.full(_TABLE, np.log(2.0), np.float32))
     return tables, score, step
 
 
-def _sample(tables, rows: np.ndarray, log_weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _sample(tables, rows: np.ndarray | slice, log_weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     r, inverse, log_c, beta = (t[rows] for t in tables)
     step = np.floor(log_weight[:, None] * inverse + beta)
     return log_c - r * (step - beta) - r, step.astype(np.int32)

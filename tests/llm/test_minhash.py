@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 from collections import Counter
 from itertools import combinations
 
@@ -221,3 +222,28 @@ def test_samples_agree_as_often_as_texts_are_similar():
         a, b = shingle_counter(texts[0]), shingle_counter(texts[j])
         similarity = sum((a & b).values()) / sum((a | b).values())
         assert (sampled[0] == sampled[j]).mean() == pytest.approx(similarity, abs=0.15)
+
+
+def peak_mb(run):
+    tracemalloc.start()
+    out = run()
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    return out, peak
+
+
+def test_counting_and_sampling_take_little_memory():
+    rng = np.random.default_rng(3)
+    texts = [" ".join(map(str, rng.integers(0, 10**6, 4000))) for _ in range(700)]
+    slices = -(-sum(map(len, texts)) // minhash.SLICE_BYTES)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    sent, counting = peak_mb(lambda: [r.to_pydict() for r in minhash._counted_runs(slices)(iter([batch]))])
+    # What is sent, about 45 MB, is held here.
+    assert counting < 100
+    of = [(s, a, c) for r in sent for s, a, c in zip(r["slice"], r["steps"], r["counts"])]
+    runs = [pa.table({"steps": [a for s, a, _ in of if s == k], "counts": [c for s, _, c in of if s == k]}) for k in range(slices)]
+    added = [peak_mb(lambda k=k: minhash._added_runs(runs[k])) for k in range(slices)]
+    assert sum(out["n"][0].as_py() for out, _ in added) == 700 * 3996
+    assert max(peak for _, peak in added) < 45
+    minhash._sampling_tables.cache_clear()
+    assert peak_mb(minhash._sampling_tables)[1] < 80
