@@ -353,3 +353,26 @@ def test_one_hot_in_a_pipeline_needs_no_pass_of_its_own(spark):
     Pipeline(stages=stages).fit(people)
     assert list(tracker.getJobIdsForGroup("encoder-fit")) == []
     spark.sparkContext.setJobGroup("default", "")
+
+
+def test_parts_of_a_fit_do_not_grow_with_the_table(spark, monkeypatch):
+    plain = small(spark, census()).coalesce(1)
+    whole = scoring.linear_model(model.fit_classifier(plain, ModelParams(label_handle_invalid="error", **FAST)))
+    monkeypatch.setattr(model, "PART_VALUES", 6 * 10, raising=False)
+    seen = []
+
+    class Watched:
+        def __init__(self, pipeline):
+            self.pipeline = pipeline
+
+        def fit(self, rows):
+            seen.extend(rows.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect())
+            return self.pipeline.fit(rows)
+
+    build = model.build_pipeline
+    monkeypatch.setattr(model, "build_pipeline", lambda *args: Watched(build(*args)))
+    fitted = scoring.linear_model(model.fit_classifier(plain, ModelParams(label_handle_invalid="error", **FAST)))
+    assert sum(seen) == plain.count() and max(seen) <= 20
+    assert fitted.category_labels == whole.category_labels
+    for a, b in zip(fitted.weights + [fitted.intercepts], whole.weights + [whole.intercepts]):
+        assert a == pytest.approx(b, abs=1e-3)
