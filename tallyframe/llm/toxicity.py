@@ -316,7 +316,10 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAINING)
         return pa.StructArray.from_arrays([pa.array(terms_of, pa.int32()), pa.array(errors_of, pa.int32())], ["term", "errors"])
 
     short = by_word.where((F.length("word") <= automaton.longest) & (F.length("word") >= 4))
-    near = short.withColumn("match", matched("word")).where("match.errors > 0").select("word", "toxic", "clean", "match.*")
+    # Written before it is filtered: a filter on the match would be pushed below it and match again in the same task, which
+    # takes a second Python worker for every core, and executors keep their workers.
+    tried = work.keep(short.withColumn("match", matched("word")))
+    near = tried.where("match.errors > 0").select("word", "toxic", "clean", "match.*")
     harmless = (F.col("clean") > F.col("toxic")) & (F.col("clean") >= MIN_CLEAN)
     exempt = [w.encode() for w in HARMLESS] + [r["word"].encode() for r in near.where(harmless).select("word").collect()]
     # At most a row for each term and number of errors.
@@ -331,7 +334,7 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAINING)
         for r in seen_near.collect()
         if r["toxic"] + r["clean"] >= MIN_DOCS
     }
-    work.drop(by_word)
+    work.drop(by_word, tried)
     return Lexicon(automaton, np.array([reliability[t] for t in terms]), frozenset(exempt), exact, misspelled)
 
 

@@ -179,3 +179,24 @@ def test_misspelled_hits_count_by_evidence(spark):
     assert b"morron" not in lexicon.exempt and b"idioz" in lexicon.exempt
     texts = ["what a morron, once", 'the word "morron" is an insult', "what an idioz, once"]
     assert (lexicon.scores(pa.array(texts)) >= toxicity.THRESHOLD).tolist() == [True, False, False]
+
+
+def test_learning_takes_one_python_worker_a_task(spark, monkeypatch):
+    """Words are matched once in a task: each Python step of a plan takes a worker of its own, which the executor keeps."""
+    plans = []
+
+    def noted(method):
+        def call(self, *args, **kwargs):
+            df = args[0] if args else self
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return method(self, *args, **kwargs)
+
+        return call
+
+    docs = spark.createDataFrame([(i, f"what a mor{'aoz'[i % 3]}on, filler{i}") for i in range(60)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 2)) for i in range(60)], "doc_id bigint, toxic int")
+    monkeypatch.setattr(toxicity.Workspace, "keep", noted(toxicity.Workspace.keep))
+    monkeypatch.setattr(type(docs), "collect", noted(type(docs).collect))
+    lexicon = toxicity.learn_lexicon(docs, labels)
+    assert {b"moraon", b"moroon"} <= lexicon.exempt
+    assert max(plan.count("ArrowEvalPython") for plan in plans) == 1
