@@ -1,7 +1,7 @@
 """Cross-validation: one staged table with a fold column, a fit for every candidate and fold, one pass to judge each.
 
 Fits run side by side, as many as fit memory: a fit keeps its standardized rows in the executors' storage
-(``fits_at_once``). What comes back from a fit is its weights, and from judging it a few counts.
+(``fits_at_once``). Large tables are dealt out into parts once for all fits. What comes back from a fit is its weights, and from judging it a few counts.
 """
 
 from __future__ import annotations
@@ -9,13 +9,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyframe.functions import ref, row_weight, share
 from tallyframe.operators.evaluation import binary_metrics
-from tallyframe.operators.model import Classifier, ModelParams, fit_classifier
+from tallyframe.operators.model import Classifier, ModelParams, dealt, fit_classifier, training_columns
 from tallyframe.operators.scoring import bulk_score, linear_model
 from tallyframe.operators.summary import weighted_rows
 
@@ -56,17 +56,29 @@ def fit_folds(
     """For each candidate (by position) and fold the classifier fitted on all other folds."""
     tasks = [(k, fold) for k in range(len(candidates)) for fold in fold_numbers(rows, fold_col)]
 
-    def fit(task: tuple[int, int]) -> Classifier:
-        return fit_classifier(without_fold(rows, task[1], fold_col), candidates[task[0]])
-
     if not tasks:
         return {}
-    # The first fit tells how many slots the rows have.
-    first = fit(tasks[0])
-    if at_once is None:
-        at_once = fits_at_once(rows.count(), len(linear_model(first).slots), free_storage(rows.sparkSession))
-    with ThreadPool(max(1, min(at_once, len(tasks)))) as pool:
-        rest = pool.map(inheritable_thread_target(rows.sparkSession)(fit), tasks[1:], chunksize=1)
+    n_rows = rows.count()
+    names = dict.fromkeys([*[c for p in candidates for c in training_columns(p)], fold_col])
+    used = rows.select(*[ref(c) for c in names])
+    parts = dealt(used, max(candidates, key=lambda p: len(p.numeric_cols) + len(p.categorical_cols)), n_rows)
+    in_parts = parts is not used
+
+    def fit(task: tuple[int, int]) -> Classifier:
+        return fit_classifier(without_fold(parts, task[1], fold_col), candidates[task[0]], in_parts)
+
+    if in_parts:
+        parts.persist(StorageLevel.DISK_ONLY)
+    try:
+        # The first fit tells how many slots the rows have.
+        first = fit(tasks[0])
+        if at_once is None:
+            at_once = fits_at_once(n_rows, len(linear_model(first).slots), free_storage(rows.sparkSession))
+        with ThreadPool(max(1, min(at_once, len(tasks)))) as pool:
+            rest = pool.map(inheritable_thread_target(rows.sparkSession)(fit), tasks[1:], chunksize=1)
+    finally:
+        if in_parts:
+            parts.unpersist()
     return dict(zip(tasks, [first, *rest]))
 
 

@@ -1,6 +1,7 @@
 """Features, fit, scoring: fitted values against plain SQL, and the awkward inputs."""
 
 import math
+from dataclasses import replace
 
 import pytest
 from pyspark.ml import Pipeline
@@ -221,6 +222,23 @@ def test_optimality_fails_for_a_disturbed_weight(spark):
         assert not scoring.fit_optimality(none, rows, close).where("not ok").isEmpty()
 
 
+def test_optimality_lays_out_slots_only(spark):
+    """A row becomes one of the intercept and one for each category, with whole numbers; its numbers are summed beside."""
+    rows = small(spark, census(60))
+    fit = scoring.LinearModel(
+        ModelParams(label_handle_invalid="error"),
+        {c: sorted(r[0] for r in rows.where(f"{c} is not null").select(c).distinct().collect()) for c in ("sex", "workclass", "education")}
+        | {"label": ["<=50K", ">50K"]},
+        [],
+        [],
+    )
+    fit = replace(fit, weights=[[0.0] * len(fit.slots)], intercepts=[0.0])
+    checked = scoring.fit_optimality(fit, rows, 1e-4)
+    plan = checked._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and plan.count("Generate explode") == 2  # the slots of rows, and the classes of slots
+    assert checked.count() == len(fit.slots) + 1
+
+
 def test_optimality_notices_a_tenth_of_the_smallest_slot(spark):
     """The default form, at the tolerance its query has: ten percent of any weight that is not zero shows."""
     people = contract.training_people(spark, SF_DIR)

@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 from conftest import DATA
-from tallyframe.operators import evaluation, folds, model_store, scoring, validation
+from tallyframe.operators import evaluation, folds, model, model_store, scoring, validation
 
 SF_DIR = f"{DATA}/sf0.001"
 
@@ -34,6 +34,21 @@ def test_results_equal_single_fits(spark, people):
     assert validation.candidate_ranking(results, "accuracy", largest=True).count() == 2
 
 
+def test_folds_are_dealt_out_once(spark, people, monkeypatch):
+    whole = validation.fit_folds(people, [contract.TWO_CLASSES], at_once=1)
+    kept, held = [], spark.sparkContext._jsc.getPersistentRDDs().size()
+    persist = type(people).persist
+    monkeypatch.setattr(type(people), "persist", lambda self, *args: kept.append(self) or persist(self, *args))
+    monkeypatch.setattr(model, "PART_VALUES", people.count() * 6 // 10)
+    dealt = validation.fit_folds(people, [contract.TWO_CLASSES], at_once=2)
+    assert len(kept) == 1 and spark.sparkContext._jsc.getPersistentRDDs().size() == held
+    assert whole.keys() == dealt.keys() and len(dealt) == contract.FOLDS
+    for key, fit in whole.items():
+        one, other = scoring.linear_model(fit), scoring.linear_model(dealt[key])
+        assert one.category_labels == other.category_labels
+        assert one.weights[0] == pytest.approx(other.weights[0], abs=1e-3)
+
+
 def test_memory_bounds_the_fits():
     assert validation.fits_at_once(10**6, 14, 2 * 128 * 10**6) == 1
     assert validation.fits_at_once(10**6, 14, 8 * 128 * 10**6) == 4
